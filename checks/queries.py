@@ -373,7 +373,7 @@ def fact_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kpi_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.kpi_daily(fact_trips(spark, sf_dir))
+    return marts.kpi_daily(marts.fact_trips(_enriched(spark, sf_dir), dim_zone(spark, sf_dir), sides=["pickup"]))
 
 
 ALL: dict[str, Query] = {

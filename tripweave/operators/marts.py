@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,14 +34,14 @@ def _with_zone(trips: DataFrame, zones: DataFrame, side: str) -> DataFrame:
     return trips.join(named, f"{side}_zone", "left").fillna(UNKNOWN_ZONE, [f"{side}_zone_name", f"{side}_borough"])
 
 
-def fact_trips(enriched: DataFrame, zones: DataFrame) -> DataFrame:
-    """Enriched trips with event date and both zones looked up; none is lost.
+def fact_trips(enriched: DataFrame, zones: DataFrame, sides: Sequence[str] = ("pickup", "dropoff")) -> DataFrame:
+    """Enriched trips with event date and zones looked up on the given sides; none is lost.
 
     No broadcast is forced. Spark broadcasts the zones if they are below its size
     limit at run time, and otherwise splits hot zones in a sort-merge join.
     """
     facts = enriched.withColumn("event_date", F.to_date("event_time"))
-    return _with_zone(_with_zone(facts, zones, "pickup"), zones, "dropoff")
+    return reduce(lambda trips, side: _with_zone(trips, zones, side), sides, facts)
 
 
 def kpi_daily(facts: DataFrame) -> DataFrame:

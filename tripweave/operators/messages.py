@@ -43,14 +43,17 @@ def decode(messages: DataFrame, schema: StructType = TRIP) -> DataFrame:
 def decode_checked(messages: DataFrame, schema: StructType = TRIP, required: list[str] | None = None) -> DataFrame:
     """Decode with two more columns: ``raw`` text and ``reject_reason``.
 
-    The reason is NULL for a good message. One parse serves both outcomes, so the
-    good and the rejected rows are plain filters on the result.
+    The reason is NULL for a good message, so the good and the rejected rows are
+    plain filters on the result. The parse goes through a one-element explode:
+    otherwise such a filter is pushed below it and parses every message again for
+    each column it looks at.
     """
     required = REQUIRED_TRIP_COLUMNS if required is None else required
     with_corrupt = StructType([*schema.fields, StructField(CORRUPT, StringType())])
     text = F.col("value").cast("string")
     parsed = F.from_json(text, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    rows = messages.select(text.alias("raw"), parsed.alias("data")).select("raw", "data.*", F.col("data").isNull().alias("_no_object"))
+    once = messages.select(text.alias("raw"), F.explode(F.array(parsed)).alias("data"))
+    rows = once.select("raw", "data.*", F.col("data").isNull().alias("_no_object"))
     missing = F.array_compact(F.array(*[F.when(F.col(n).isNull(), F.lit(n)) for n in required]))
     reason = (
         F.when(F.col("_no_object"), F.lit("empty"))

@@ -37,6 +37,12 @@ def untreated_bounds(trips: DataFrame) -> tuple[datetime, datetime] | None:
     return None if row["a"] is None else (from_micros(row["a"]), from_micros(row["b"]))
 
 
+def _lazy_bounds(trips: DataFrame) -> tuple[Column, Column]:
+    # One subquery for both ends: two would be merged into a struct, which no scan filters on.
+    t0 = untreated_min(trips).scalar()
+    return t0, t0 + F.expr(BATCH_SPAN)
+
+
 def within(trips: DataFrame, t0: Bound, t1: Bound) -> Column:
     """Event time in [t0, t1], both ends included; prunes event dates where the table has them."""
     t0, t1 = instant(t0), instant(t1)
@@ -49,22 +55,18 @@ def within(trips: DataFrame, t0: Bound, t1: Bound) -> Column:
 def untreated_day(trips: DataFrame, bounds: tuple[datetime, datetime] | None = None) -> DataFrame:
     """Rows within one day from the earliest untreated event time, treated ones included.
 
-    Without ``bounds`` the earliest time is a scalar subquery, so the whole
-    operator is one plan; with them (see ``untreated_bounds``) they are literals.
+    Without ``bounds`` the earliest time is a scalar subquery and the operator is
+    one plan, in which the scan filters on the lower end. With them (see
+    ``untreated_bounds``) both ends are literals that the scan filters on.
     """
     if bounds is not None:
         return trips.where(within(trips, *bounds))
-    window = untreated_window(trips)
-    return trips.where(within(trips, window.select("t0").scalar(), window.select("t1").scalar()))
+    return trips.where(within(trips, *_lazy_bounds(trips)))
 
 
 def mark_treated(trips: DataFrame, bounds: tuple[datetime, datetime] | None = None) -> DataFrame:
     """Set the flag on the rows of ``untreated_day``, so that the next batch moves on."""
-    if bounds is None:
-        window = untreated_window(trips)
-        inside = within(trips, window.select("t0").scalar(), window.select("t1").scalar())
-    else:
-        inside = within(trips, *bounds)
+    inside = within(trips, *(bounds or _lazy_bounds(trips)))
     return trips.withColumn("treated", F.when(inside, F.lit(TREATED)).otherwise(F.col("treated")))
 
 
