@@ -64,6 +64,8 @@ def test_scratch_uses_the_shared_folder(spark):
 
 
 class _Context:
+    applicationId = "app"
+
     def __init__(self, master):
         self.master = master
 
@@ -82,6 +84,21 @@ def test_a_cluster_without_a_shared_folder_is_an_error():
     assert scratch.scratch_path(_Session("local[2]"), "x")
 
 
+def test_a_staged_copy_goes_when_its_block_succeeds(spark):
+    import os
+
+    with scratch.staged(frame(spark, [trip("a")]), "x") as copy:
+        folder = os.path.dirname(copy.inputFiles()[0].removeprefix("file://"))
+        assert copy.count() == 1 and os.path.isdir(folder)
+    assert not os.path.exists(folder)
+    try:
+        with scratch.staged(frame(spark, [trip("a")]), "x") as copy:
+            folder = os.path.dirname(copy.inputFiles()[0].removeprefix("file://"))
+            raise OSError
+    except OSError:
+        assert os.path.isdir(folder)
+
+
 # JDBC: no database is started; ranges run as Spark filters and calls are recorded.
 
 
@@ -173,3 +190,29 @@ def test_event_times_before_the_epoch(spark):
     from tripweave.operators import messages
 
     assert rows_of(messages.decode(messages.encode(old))) == rows_of(old)
+
+
+def test_sample_plan_writes_a_typed_subset(spark, tmp_path):
+    from checks import fixtures
+    from tripweave.plans.sample import write_sample
+
+    source, out = str(tmp_path / "raw"), str(tmp_path / "sample")
+    fixtures.full_raw_trips(spark, "/root/testdata/sf0.001").write.parquet(source)
+    for _ in range(2):
+        write_sample(spark, source, out, target=200, seed=1)
+    sample = spark.read.parquet(out)
+    assert sample.columns == RAW_TRIP.names and 130 < sample.count() < 270
+    assert sample.exceptAll(spark.read.parquet(source)).isEmpty()
+
+
+def test_kafka_stream_plan_passes_its_options(spark, monkeypatch):
+    from tripweave.plans import stream
+
+    seen = {}
+    monkeypatch.setattr(stream, "read_topic", lambda s, fmt, **o: seen.update(fmt=fmt, **o))
+    monkeypatch.setattr(stream, "stream_to_staging", lambda m, *a: seen.update(args=a))
+    stream.start_staging(spark, "host:1", "/stg", "/ck", maxOffsetsPerTrigger="10")
+    assert seen == {
+        "fmt": "kafka", "kafka.bootstrap.servers": "host:1", "subscribe": "rides_raw", "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": "10", "args": ("/stg", "/ck", "5 seconds"),
+    }

@@ -105,9 +105,13 @@ def ride_key(df: DataFrame, key_field: str | None) -> Column:
     """The configured key as text; a row digest where it is missing, zero or empty."""
     if not key_field or key_field not in df.columns:
         return row_digest(df)
-    key = F.col(key_field)
-    empty = key == F.lit("") if isinstance(df.schema[key_field].dataType, T.StringType) else key == F.lit(0)
-    return F.when(key.isNull() | empty, row_digest(df)).otherwise(key.cast("string"))
+    key, dtype = F.col(key_field), df.schema[key_field].dataType
+    absent = key.isNull()
+    if isinstance(dtype, T.StringType):
+        absent = absent | (key == "")
+    elif isinstance(dtype, T.NumericType):
+        absent = absent | (key == 0)
+    return F.when(absent, row_digest(df)).otherwise(key.cast("string"))
 
 
 def unit_hash(key: Column) -> Column:

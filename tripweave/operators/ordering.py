@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripweave.functions.columns import MICROS
-from tripweave.sources.scratch import scratch_path
+from tripweave.sources.scratch import materialise, scratch_path
 
 # One simulated day per real minute, and no least delay.
 SPEEDUP = 1440.0
@@ -58,7 +58,6 @@ def _slice_table(trips: DataFrame, floor_us: int, slices: int) -> DataFrame:
     It is written out because slice numbers come from sampled range bounds: both
     readers below, and any retry, must see the same cut.
     """
-    spark = trips.sparkSession
     in_slice = Window.partitionBy("_slice").orderBy(*ORDER)
     up_to_here = in_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = (
@@ -74,9 +73,7 @@ def _slice_table(trips: DataFrame, floor_us: int, slices: int) -> DataFrame:
             F.sum(F.when(F.col("_gap_us").isNull(), F.lit(0)).otherwise(_floored(F.col("_gap_us"), floor_us))).over(up_to_here),
         )
     )
-    path = scratch_path(spark, "event-order")
-    local.write.parquet(path)
-    return spark.read.parquet(path)
+    return materialise(local, scratch_path(trips.sparkSession, "event-order"))
 
 
 def _floored(gap_us: Column, floor_us: int) -> Column:

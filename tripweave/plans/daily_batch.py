@@ -8,16 +8,18 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripweave.functions.columns import instant
 from tripweave.operators.enrich import DEFAULT_CHAIN, Transform, enrich
 from tripweave.operators.treatment import backfill_range, mark_treated, untreated_bounds, untreated_day
-from tripweave.sources.tables import EVENT_DATE, read_table, replace_partitions, stage, upsert_table
+from tripweave.sources.scratch import staged
+from tripweave.sources.tables import EVENT_DATE, read_table, replace_partitions, upsert_table
 from tripweave.streaming.jobs import BATCH_ID
 
 Bounds = tuple[datetime, datetime]
 
 
-def _warehouse_rows(staged: DataFrame, transforms: Iterable[Transform]) -> DataFrame:
-    return enrich(staged.drop(BATCH_ID), transforms)
+def _warehouse_rows(trips: DataFrame, transforms: Iterable[Transform]) -> DataFrame:
+    return enrich(trips.drop(BATCH_ID), transforms)
 
 
 def mark_day(spark: SparkSession, staging: str, bounds: Bounds) -> None:
@@ -25,28 +27,43 @@ def mark_day(spark: SparkSession, staging: str, bounds: Bounds) -> None:
 
     Batches that arrive meanwhile have partitions of their own and are left alone.
     """
-    staged = read_table(spark, staging)
     t0, t1 = bounds
-    touched = staged.where(F.col(EVENT_DATE).between(F.lit(t0).cast("date"), F.lit(t1).cast("date")))
-    marked = stage(mark_treated(touched, bounds).hint("rebalance", EVENT_DATE, BATCH_ID), "marked-day")
-    replace_partitions(marked, staging, [EVENT_DATE, BATCH_ID])
+    dates = F.col(EVENT_DATE).between(instant(t0).cast("date"), instant(t1).cast("date"))
+    marked = mark_treated(read_table(spark, staging).where(dates), bounds)
+    with staged(marked.hint("rebalance", EVENT_DATE, BATCH_ID), "marked-day") as day:
+        replace_partitions(day, staging, [EVENT_DATE, BATCH_ID])
 
 
-def run_day(spark: SparkSession, staging: str, warehouse: str, transforms: Iterable[Transform] = DEFAULT_CHAIN) -> Bounds | None:
+def run_day(
+    spark: SparkSession,
+    staging: str,
+    warehouse: str,
+    transforms: Iterable[Transform] = DEFAULT_CHAIN,
+    keys_move: bool = True,
+) -> Bounds | None:
     """Enrich the untreated day into the warehouse and mark it; None if nothing is left.
 
     The bounds are read once and used throughout. If a run dies before the mark,
     the next one takes the same day again and the upsert makes that harmless.
+    Looking for the earliest untreated time skips the row groups of treated days by
+    their statistics. ``keys_move`` is that of ``upsert_table``.
     """
-    staged = read_table(spark, staging)
-    bounds = untreated_bounds(staged) if staged is not None else None
+    trips = read_table(spark, staging)
+    bounds = untreated_bounds(trips) if trips is not None else None
     if bounds is None:
         return None
-    upsert_table(_warehouse_rows(untreated_day(staged, bounds), transforms), warehouse)
+    upsert_table(_warehouse_rows(untreated_day(trips, bounds), transforms), warehouse, keys_move=keys_move)
     mark_day(spark, staging, bounds)
     return bounds
 
 
-def backfill(spark: SparkSession, staging: str, warehouse: str, start: datetime, end: datetime, transforms: Iterable[Transform] = DEFAULT_CHAIN) -> None:
+def backfill(
+    spark: SparkSession,
+    staging: str,
+    warehouse: str,
+    start: datetime,
+    end: datetime,
+    transforms: Iterable[Transform] = DEFAULT_CHAIN,
+) -> None:
     """Enrich event times in [start, end) again, whatever their flag."""
     upsert_table(_warehouse_rows(backfill_range(read_table(spark, staging), start, end), transforms), warehouse)

@@ -1,11 +1,13 @@
-"""Where intermediate tables go: a folder every executor can reach."""
+"""Intermediate tables, in a folder every executor can reach."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -13,12 +15,32 @@ _SETTING = "spark.checkpoint.dir"
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under the folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting. Tables written here live as
-    long as reliable checkpoints do: whoever owns the folder clears it.
+    Only a local session may go without the setting. Paths are grouped by
+    application, so what a finished application left can be cleared as a whole.
     """
     root = spark.conf.get(_SETTING, None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {_SETTING} to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="tripweave-")
-    return f"{root.rstrip('/')}/tripweave/{label}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/tripweave/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, path: str) -> DataFrame:
+    """A written copy: it cuts the lineage and outlives lost executors."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """A written copy for the length of a block.
+
+    It is removed when the block succeeds and kept when it fails, since it may
+    then hold the only whole copy of partitions that were being replaced.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    yield materialise(df, path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.operators.upsert import latest_per_key, upsert_latest
-from tripweave.sources.scratch import scratch_path
+from tripweave.sources.scratch import staged
 
 EVENT_DATE = "event_date"
 
@@ -39,18 +39,11 @@ def write_table(df: DataFrame, path: str) -> None:
 def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
     """Replace just the partitions that occur in ``df``; running it again changes nothing.
 
-    ``df`` must not read from ``path``: stage it first.
+    ``df`` must not read from ``path``: give a staged copy.
     """
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """A written copy in the shared folder: it cuts the lineage and outlives lost executors."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _dates(df: DataFrame) -> set:
     """The event dates of a table: as many as there are days, whatever its size."""
     return {r[EVENT_DATE] for r in df.select(EVENT_DATE).distinct().collect()}
@@ -63,19 +56,18 @@ def upsert_table(updates: DataFrame, path: str, key: str = "ride_id", version: s
     updates, and those where an updated key now lies. Finding the latter scans the
     key column alone; ``keys_move=False`` skips it when a key never changes its date.
     """
-    spark = updates.sparkSession
-    updates = stage(latest_per_key(with_event_date(updates), key, version), "upsert-updates")
-    target = read_table(spark, path)
-    if target is None:
-        write_table(updates, path)
-        return
-    dates = _dates(updates)
-    if not dates:
-        return
-    if keys_move:
-        dates |= _dates(target.select(key, EVENT_DATE).join(updates.select(key), key, "left_semi"))
-    affected = target.where(F.col(EVENT_DATE).isin(sorted(dates)))
-    merged = stage(_by_date(upsert_latest(affected, updates, key, version)), "upsert-merged")
-    replace_partitions(merged, path, [EVENT_DATE])
-    for emptied in dates - _dates(merged):
-        merged.where(F.lit(False)).drop(EVENT_DATE).write.mode("overwrite").parquet(f"{path}/{EVENT_DATE}={emptied}")
+    with staged(latest_per_key(with_event_date(updates), key, version), "upsert-updates") as newest:
+        target = read_table(updates.sparkSession, path)
+        if target is None:
+            write_table(newest, path)
+            return
+        dates = _dates(newest)
+        if not dates:
+            return
+        if keys_move:
+            dates |= _dates(target.select(key, EVENT_DATE).join(newest.select(key), key, "left_semi"))
+        affected = target.where(F.col(EVENT_DATE).isin(sorted(dates)))
+        with staged(_by_date(upsert_latest(affected, newest, key, version)), "upsert-merged") as merged:
+            replace_partitions(merged, path, [EVENT_DATE])
+            for emptied in dates - _dates(merged):
+                merged.where(F.lit(False)).drop(EVENT_DATE).write.mode("overwrite").parquet(f"{path}/{EVENT_DATE}={emptied}")
