@@ -133,6 +133,7 @@ ORACLES: dict[str, str] = {
     "stream_source": _MESSAGES,
     "decode_wire": f"WITH {TRIPS_SQL} SELECT {_FIELDS} FROM trips",
     "parse_quarantine": f"WITH {TRIPS_SQL}, {_OUTCOME} SELECT outcome, count(*) AS messages FROM spoilt GROUP BY outcome",
+    "stream_quarantine": f"WITH {TRIPS_SQL}, {_OUTCOME} SELECT outcome, count(*) AS messages FROM spoilt GROUP BY outcome",
     "accepted_messages": f"WITH {TRIPS_SQL}, {_OUTCOME} SELECT {_FIELDS} FROM spoilt WHERE outcome = 'accepted'",
     "clean_trips": f"WITH {_CLEANED} SELECT * FROM cleaned",
     "trip_duration": f"WITH {_ENRICHED} SELECT ride_id, duration FROM enriched",

@@ -117,6 +117,10 @@ def parse_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = messages.decode_checked(fx.spoilt_messages(messages.encode(fx.trips(spark, sf_dir))))
     good = messages.accepted(checked).select(F.lit("accepted").alias("outcome"))
     bad = messages.quarantined(checked).select(F.col("reject_reason").alias("outcome"))
+    return _outcomes(good, bad)
+
+
+def _outcomes(good: DataFrame, bad: DataFrame) -> DataFrame:
     return good.unionByName(bad).groupBy("outcome").agg(F.count(F.lit(1)).alias("messages"))
 
 
@@ -292,6 +296,16 @@ def stream_to_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).drop(jobs.BATCH_ID)
 
 
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes of spoilt messages in a stream."""
+    staging, bad, source = (scratch_path(spark, label) for label in ("staging", "quarantine", "topic"))
+    topics.publish(fx.spoilt_messages(messages.encode(fx.trips(spark, sf_dir))).repartition(4), "parquet", source)
+    stream = topics.read_topic(spark, "parquet", source, maxFilesPerTrigger="2")
+    jobs.stream_with_quarantine(stream, staging, bad, scratch_path(spark, "stream-state"), interval=None).awaitTermination()
+    good = spark.read.parquet(staging).select(F.lit("accepted").alias("outcome"))
+    return _outcomes(good, spark.read.parquet(bad).select(F.col("reject_reason").alias("outcome")))
+
+
 def stream_daily_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "windows")
     cleaned = jobs.clean_stream(_topic(spark, fx.trips(spark, sf_dir)))
@@ -385,7 +399,7 @@ ALL: dict[str, Query] = {
         untreated_min, untreated_day, mark_treated, backfill_range, daily_batch_warehouse, daily_batch_staging,
         row_count, sort_by_event_time, first_n_trips, sample_to_target, sample_hash, union_trip_parts,
         inter_arrival_gap, replay_delay, replay_schedule, replay_schedule_lineitem, emit_offsets,
-        stream_source, stream_clean, stream_to_staging, stream_daily_window, replay_as_stream, stream_dedup,
+        stream_source, stream_clean, stream_to_staging, stream_quarantine, stream_daily_window, replay_as_stream, stream_dedup,
         daily_window, hourly_zone_kpi, ingest_lag, freshness, upsert_latest, upsert_table,
         dq_not_null, dq_unique, dq_range, dq_business_rules, dim_zone, fact_trips, kpi_daily,
     )

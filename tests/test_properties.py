@@ -1,0 +1,82 @@
+"""Properties on generated rows. One frame holds all rows of an example."""
+
+from datetime import datetime, timedelta
+
+import pytest
+from helpers import frame, rows_of, trip
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from test_ordering import expected
+
+from tripweave.operators import enrich, messages, ordering
+from tripweave.operators.upsert import upsert_latest
+from tripweave.sources import jdbc
+
+few = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+times = st.datetimes(min_value=datetime(1990, 1, 1), max_value=datetime(2100, 1, 1))
+texts = st.text(st.characters(exclude_categories=["Cs"]), max_size=12)
+numbers = st.one_of(st.none(), st.floats(allow_nan=False, allow_infinity=False))
+trips = st.lists(
+    st.builds(
+        lambda ride, event, minutes, dist, fare, pay: trip(ride, event, minutes, distance=dist, fare=fare, payment=pay),
+        texts, times, st.one_of(st.none(), st.integers(-100, 10_000)), numbers, numbers, st.one_of(st.none(), texts),
+    ),
+    min_size=1,
+    max_size=30,
+)
+
+
+@few
+@given(trips)
+def test_decode_undoes_encode(spark, rows):
+    df = frame(spark, rows)
+    assert rows_of(messages.decode(messages.encode(df))) == rows_of(df)
+
+
+@few
+@given(trips)
+def test_cleaning_twice_is_cleaning_once(spark, rows):
+    once = enrich.clean_trips(frame(spark, rows))
+    assert rows_of(enrich.clean_trips(once)) == rows_of(once)
+
+
+@few
+@given(
+    st.lists(st.integers(0, 3_000_000_000), min_size=1, max_size=40),
+    st.integers(1, 12),
+    st.sampled_from([0.0, 0.01, 1.5]),
+    st.sampled_from([1.0, 60.0, 1440.0]),
+)
+def test_any_cut_gives_the_schedule_of_the_loop(spark, micros, slices, floor, speedup):
+    rows = [trip(f"{i:03d}", datetime(2024, 1, 1) + timedelta(microseconds=us)) for i, us in enumerate(micros)]
+    table = frame(spark, rows).select("ride_id", "event_time")
+    got = ordering.replay_schedule(table, speedup=speedup, min_delay_s=floor, slices=slices).orderBy("seq").collect()
+    for r, w in zip(got, expected(rows, speedup, floor), strict=True):
+        assert (r.ride_id, r.seq, r.gap_s, r.delay_s) == w[:4]
+        assert r.emit_offset_s == pytest.approx(w[4], abs=1e-5)
+
+
+@few
+@given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 4), st.integers(0, 9)), max_size=25), st.integers(0, 25))
+def test_upsert_is_idempotent_and_keeps_the_newest(spark, versions, cut):
+    base = datetime(2024, 1, 1)
+    rows = [trip(str(k), base, ingest=base + timedelta(hours=v), fare=float(f)) for k, v, f in versions]
+    target, update = frame(spark, rows[:cut]), frame(spark, rows[cut:])
+    once = upsert_latest(target, update)
+    assert rows_of(upsert_latest(once, update)) == rows_of(once)
+    newest = {}
+    for k, v, _ in versions:
+        newest[str(k)] = max(newest.get(str(k), 0), v)
+    assert {r.ride_id: (r.ingest_time - base) // timedelta(hours=1) for r in once.collect()} == newest
+
+
+@few
+@given(times, st.integers(1, 30), st.lists(st.integers(-10, 86_400_000_010), min_size=1, max_size=20))
+def test_ranges_take_each_row_of_the_day_once(spark, t0, parts, offsets):
+    day = timedelta(days=1)
+    rows = [trip(str(i), t0 + timedelta(microseconds=us)) for i, us in enumerate(offsets)]
+    ranges = jdbc.range_predicates(t0, t0 + day, parts)
+    hits = F.size(F.filter(F.array(*[F.expr(r) for r in ranges]), lambda hit: hit))
+    for r in frame(spark, rows).select("event_time", hits.alias("hits")).collect():
+        assert r.hits == (1 if t0 <= r.event_time <= t0 + day else 0)

@@ -172,10 +172,31 @@ def test_replay_messages_come_in_event_order(spark, tmp_path):
     assert keys == sorted(map(str, range(20)), key=lambda k: int(k) * 7 % 20)
     assert [bytes(r.key).decode() for r in replay_messages(raw, 5, key_field="ride_id").collect()] == keys[:5]
 
+
+
+def test_topic_is_filled_step_by_step(spark, tmp_path, monkeypatch):
+    from tripweave.operators import messages
+    from tripweave.plans import replay as plan
+
+    raw = frame(spark, [trip(str(i), T0 + timedelta(hours=(i * 7) % 60)) for i in range(60)]).select(
+        F.col("event_time").alias("tpep_pickup_datetime"), F.col("dropoff_time").alias("tpep_dropoff_datetime")
+    )
     source, out = str(tmp_path / "raw"), str(tmp_path / "topic")
     raw.write.parquet(source)
+    sent = []
+
+    def record(part, fmt, path, **options):
+        sent.append([r.event_time for r in messages.decode(part).collect()])
+        topics.publish(part, fmt, path, **options)
+
+    monkeypatch.setattr(plan, "publish", record)
     replay_to_topic(spark, source, "parquet", out=out)
-    assert spark.read.parquet(out).count() == 20
+    assert [len(s) for s in sent] == [16, 24, 20]
+    moments = [t for s in sent for t in s]
+    assert moments == sorted(moments)
+    assert messages.decode(spark.read.parquet(out)).where("event_time is not null").count() == 60
+    replay_to_topic(spark, source, "parquet", max_messages=5, out=str(tmp_path / "few"))
+    assert sent[-1] == moments[:5]
 
 
 def test_parquet_overwrite(spark, tmp_path):

@@ -56,6 +56,23 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     assert {r.batch_id: r["count"] for r in table.groupBy("batch_id").count().collect()} == {0: 30, 1: 5}
 
 
+def test_quarantine_stream_splits_and_repeats(spark, tmp_path):
+    staging, bad = str(tmp_path / "stg"), str(tmp_path / "bad")
+    good = messages.encode(some_trips(spark, 10))
+    junk = spark.createDataFrame([("x", "junk"), ("y", "{}")], "key string, value string").selectExpr("binary(key) key", "binary(value) value")
+    path = str(tmp_path / "topic")
+    topics.publish(good.unionByName(junk), "parquet", path)
+    stream = topics.read_topic(spark, "parquet", path, maxFilesPerTrigger="2")
+    jobs.stream_with_quarantine(stream, staging, bad, str(tmp_path / "ck"), interval=None).awaitTermination()
+    assert spark.read.parquet(staging).count() == 10
+    assert sorted(r.raw for r in spark.read.parquet(bad).collect()) == ["junk", "{}"]
+    write = jobs.checked_sink(staging + "2", bad + "2")
+    batch = messages.decode_checked(spark.read.parquet(path))
+    for _ in range(2):
+        write(batch, 7)
+    assert spark.read.parquet(staging + "2").count() == 10 and spark.read.parquet(bad + "2").count() == 2
+
+
 def test_jdbc_sink_skips_an_empty_batch(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(jobs, "write_jdbc", lambda df, *a, **k: seen.append((df.columns[-1], a, k)))

@@ -33,7 +33,8 @@ def daily_window(trips: DataFrame, span: str = "1 day") -> DataFrame:
     On a stream, put a watermark on the event time first.
     """
     grouped = trips.groupBy(F.window("event_time", span).alias("w")).agg(*_trip_measures())
-    return grouped.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "trips", "revenue_usd", "distance_km", "avg_fare_usd")
+    ends = [F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end")]
+    return grouped.select(*ends, "trips", "revenue_usd", "distance_km", "avg_fare_usd")
 
 
 def hourly_zone_kpi(trips: DataFrame) -> DataFrame:
@@ -54,4 +55,6 @@ def ingest_lag(trips: DataFrame, span: str = "1 day") -> DataFrame:
             mean("lag_s", 6).alias("avg_lag_s"),
         )
     )
-    return grouped.select(F.col("w.start").alias("window_start"), "trips", "min_lag_s", "max_lag_s", "avg_lag_s")
+    return grouped.select(
+        F.col("w.start").alias("window_start"), "trips", "min_lag_s", "max_lag_s", "avg_lag_s"
+    )

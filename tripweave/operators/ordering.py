@@ -48,8 +48,9 @@ def emit_offsets(trips: DataFrame, speedup: float = SPEEDUP) -> DataFrame:
     global minimum and neither a sort nor a shuffle of rows.
     """
     valid = trips.where(F.col("event_time").isNotNull())
-    first = valid.agg(F.min(F.unix_micros("event_time"))).scalar()
-    return valid.withColumn("emit_offset_s", (F.unix_micros("event_time") - first).cast("double") / F.lit(speedup * MICROS))
+    us = F.unix_micros("event_time")
+    first = valid.agg(F.min(us)).scalar()
+    return valid.withColumn("emit_offset_s", (us - first).cast("double") / F.lit(speedup * MICROS))
 
 
 def _slice_table(trips: DataFrame, floor_us: int, slices: int) -> DataFrame:
@@ -68,16 +69,16 @@ def _slice_table(trips: DataFrame, floor_us: int, slices: int) -> DataFrame:
         .withColumn("_gap_us", F.col("_us") - F.lag("_us").over(in_slice))
         .withColumn("_row", F.row_number().over(in_slice))
         # The first row of a slice waits on the slice before it, so it adds nothing here.
-        .withColumn(
-            "_wait_us",
-            F.sum(F.when(F.col("_gap_us").isNull(), F.lit(0)).otherwise(_floored(F.col("_gap_us"), floor_us))).over(up_to_here),
-        )
+        .withColumn("_own_us", F.coalesce(_floored(F.col("_gap_us"), floor_us), F.lit(0)))
+        .withColumn("_wait_us", F.sum("_own_us").over(up_to_here))
+        .drop("_own_us")
     )
     return materialise(local, scratch_path(trips.sparkSession, "event-order"))
 
 
 def _floored(gap_us: Column, floor_us: int) -> Column:
-    return F.greatest(gap_us, F.lit(floor_us).cast("long"))
+    """The gap, at least the floor; NULL where there is no gap."""
+    return F.when(gap_us.isNotNull(), F.greatest(gap_us, F.lit(floor_us).cast("long")))
 
 
 def replay_schedule(
@@ -95,7 +96,8 @@ def replay_schedule(
     microseconds of event time, so they do not depend on the order of addition.
 
     ``slices`` defaults to the shuffle partition count; set it so that one slice
-    fits a task. Pass only the columns you need: they are sorted and written once.
+    fits a task. Pass a stored table and only the columns you need: range cutting
+    reads the input twice, and its columns are sorted and written once.
     """
     spark = trips.sparkSession
     floor_us = round(min_delay_s * speedup * MICROS)

@@ -21,10 +21,8 @@ SPEED_LIMIT_KMH = 130.0
 
 def _failures(df: DataFrame, checks: Mapping[str, Column], label: str) -> DataFrame:
     """Rows (label, failures), counted in one pass over the table."""
-    names = list(checks)
-    counted = df.agg(*[F.count_if(checks[n]).alias(f"c{i}") for i, n in enumerate(names)])
-    rows = F.explode(F.array(*[F.struct(F.lit(n).alias(label), F.col(f"c{i}").alias("failures")) for i, n in enumerate(names)]))
-    return counted.select(rows.alias("r")).select("r.*")
+    counted = df.agg(*[F.count_if(bad).alias(name) for name, bad in checks.items()])
+    return counted.unpivot([], list(checks), label, "failures")
 
 
 def not_null(df: DataFrame, columns: Iterable[str]) -> DataFrame:

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 _SOURCE = "_source"
 
 
-def latest_per_key(rows: DataFrame, key: str = "ride_id", version: str = "ingest_time", prefer: str | None = None) -> DataFrame:
+def latest_per_key(
+    rows: DataFrame, key: str = "ride_id", version: str = "ingest_time", prefer: str | None = None
+) -> DataFrame:
     """One row per key: the highest version, then the highest ``prefer`` column.
 
     Rows equal in both are settled by the remaining columns, so a re-run gives the
@@ -22,7 +24,9 @@ def latest_per_key(rows: DataFrame, key: str = "ride_id", version: str = "ingest
     return newest.select(*[c if c == key else F.col("_row")[c].alias(c) for c in rows.columns])
 
 
-def upsert_latest(target: DataFrame, updates: DataFrame, key: str = "ride_id", version: str = "ingest_time") -> DataFrame:
+def upsert_latest(
+    target: DataFrame, updates: DataFrame, key: str = "ride_id", version: str = "ingest_time"
+) -> DataFrame:
     """The target with the updates merged in; on equal versions the update wins."""
     both = target.withColumn(_SOURCE, F.lit(0)).unionByName(updates.withColumn(_SOURCE, F.lit(1)))
     return latest_per_key(both, key, version, prefer=_SOURCE).drop(_SOURCE)

@@ -2,21 +2,49 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tripweave.operators.messages import encode
-from tripweave.operators.ordering import first_n, sort_by_event_time
-from tripweave.operators.payload import to_trips
+from tripweave.operators.ordering import first_n
+from tripweave.operators.payload import PICKUP_FIELD, to_trips
 from tripweave.sources.files import scan_trips
+from tripweave.sources.scratch import scratch_path
+from tripweave.sources.tables import with_event_date, write_table
 from tripweave.sources.topics import publish
+from tripweave.streaming.replay import event_slices
 
 
 def replay_messages(raw: DataFrame, max_messages: int | None = None, **mapping: object) -> DataFrame:
     """Raw trips as encoded messages in event order. Showing this is the dry run."""
-    trips = to_trips(raw, **mapping)
-    return encode(first_n(trips, max_messages) if max_messages else sort_by_event_time(trips))
+    return encode(first_n(to_trips(raw, **mapping), max_messages))
+
+
+def replay_to_topic(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "kafka",
+    ts_field: str = PICKUP_FIELD,
+    key_field: str | None = None,
+    max_messages: int | None = None,
+    step: timedelta = timedelta(days=1),
+    out: str | None = None,
+    **options: str,
+) -> None:
+    """Publish all parts under a directory in event order, one ``step`` after another.
 
+    ``max_messages`` sends the first so many only. The other ``options`` go to the sink.
 
-def replay_to_topic(spark: SparkSession, path: str, fmt: str = "kafka", max_messages: int | None = None, out: str | None = None, **options: str) -> None:
-    """Map, order and publish all parts under a directory."""
-    publish(replay_messages(scan_trips(spark, path), max_messages), fmt, out, **options)
+    Tasks of one job send side by side, so order holds between steps and, by key,
+    within a topic partition. The trips are first written by event date: each step
+    then reads its own dates.
+    """
+    trips = to_trips(scan_trips(spark, path), ts_field=ts_field, key_field=key_field)
+    if max_messages:
+        publish(encode(first_n(trips, max_messages)), fmt, out, **options)
+        return
+    by_date = scratch_path(spark, "replay-by-date")
+    write_table(with_event_date(trips), by_date)
+    for part in event_slices(spark.read.parquet(by_date), step):
+        publish(encode(part), fmt, out, **options)

@@ -23,7 +23,8 @@ def start_staging(
 
     The first run begins at ``starting`` and later ones at the checkpoint, so a
     restart neither loses nor repeats a trip. ``maxOffsetsPerTrigger`` bounds a
-    batch after a long stop.
+    batch after a long stop, and ``minPartitions`` gives the topic partition that a
+    hot key has filled to several tasks.
     """
     messages = read_topic(spark, "kafka", **kafka_options(servers, topic, starting), **options)
     return stream_to_staging(messages, staging, checkpoint, interval)

@@ -10,7 +10,9 @@ from pyspark.sql.types import StructType
 PART_GLOB = "part*.parquet"
 
 
-def scan_trips(spark: SparkSession, path: str | None, schema: StructType | None = None, glob: str = PART_GLOB) -> DataFrame:
+def scan_trips(
+    spark: SparkSession, path: str | None, schema: StructType | None = None, glob: str = PART_GLOB
+) -> DataFrame:
     """All Parquet parts under a directory as one table.
 
     Raises ValueError without a path and FileNotFoundError if no file matches.
@@ -41,7 +43,8 @@ def scan_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header; instants keep their microseconds."""
-    df.write.mode("overwrite").option("header", True).option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(path)
+    micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    df.write.mode("overwrite").option("header", True).option("timestampFormat", micros).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:

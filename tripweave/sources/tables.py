@@ -33,7 +33,8 @@ def _by_date(df: DataFrame) -> DataFrame:
 
 def write_table(df: DataFrame, path: str) -> None:
     """Write the whole table, replacing what is there."""
-    _by_date(df).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(EVENT_DATE).parquet(path)
+    writer = _by_date(df).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(EVENT_DATE).parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
@@ -49,7 +50,13 @@ def _dates(df: DataFrame) -> set:
     return {r[EVENT_DATE] for r in df.select(EVENT_DATE).distinct().collect()}
 
 
-def upsert_table(updates: DataFrame, path: str, key: str = "ride_id", version: str = "ingest_time", keys_move: bool = True) -> None:
+def upsert_table(
+    updates: DataFrame,
+    path: str,
+    key: str = "ride_id",
+    version: str = "ingest_time",
+    keys_move: bool = True,
+) -> None:
     """Merge updates into a table by event date; running it again changes nothing.
 
     Only dates that can change are read in full and rewritten: those of the
@@ -70,4 +77,5 @@ def upsert_table(updates: DataFrame, path: str, key: str = "ride_id", version: s
         with staged(_by_date(upsert_latest(affected, newest, key, version)), "upsert-merged") as merged:
             replace_partitions(merged, path, [EVENT_DATE])
             for emptied in dates - _dates(merged):
-                merged.where(F.lit(False)).drop(EVENT_DATE).write.mode("overwrite").parquet(f"{path}/{EVENT_DATE}={emptied}")
+                nothing = merged.where(F.lit(False)).drop(EVENT_DATE)
+                nothing.write.mode("overwrite").parquet(f"{path}/{EVENT_DATE}={emptied}")

@@ -11,7 +11,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from tripweave.operators.aggregates import daily_window
 from tripweave.operators.enrich import clean_trips
-from tripweave.operators.messages import decode
+from tripweave.operators.messages import accepted, decode, decode_checked, quarantined
 from tripweave.operators.treatment import flag_untreated
 from tripweave.sources.jdbc import STAGING_TABLE, write_jdbc
 from tripweave.sources.tables import EVENT_DATE, replace_partitions, with_event_date
@@ -35,12 +35,18 @@ def _triggered(writer: DataStreamWriter, checkpoint: str, interval: str | None)
     return writer.start()
 
 
-def append_stream(rows: DataFrame, path: str, checkpoint: str, interval: str | None = BATCH_INTERVAL) -> StreamingQuery:
+def append_stream(
+    rows: DataFrame, path: str, checkpoint: str, interval: str | None = BATCH_INTERVAL
+) -> StreamingQuery:
     """Append to Parquet files with the file sink's own commit log."""
-    return _triggered(rows.writeStream.outputMode("append").format("parquet").option("path", path), checkpoint, interval)
+    writer = rows.writeStream.outputMode("append").format("parquet").option("path", path)
+    return _triggered(writer, checkpoint, interval)
 
 
-def foreach_batch(rows: DataFrame, sink: BatchSink, checkpoint: str, interval: str | None = BATCH_INTERVAL, mode: str = "append") -> StreamingQuery:
+def foreach_batch(
+    rows: DataFrame, sink: BatchSink, checkpoint: str, interval: str | None = BATCH_INTERVAL, mode: str = "append"
+) -> StreamingQuery:
+    """Hand each micro-batch and its id to ``sink``."""
     return _triggered(rows.writeStream.outputMode(mode).foreachBatch(sink), checkpoint, interval)
 
 
@@ -62,6 +68,27 @@ def staging_sink(path: str) -> BatchSink:
     return write
 
 
+def checked_sink(path: str, quarantine: str) -> BatchSink:
+    """Split a batch of ``decode_checked``: good trips to staging, the rest to ``quarantine``.
+
+    Both tables repeat safely by batch id. The batch is kept while both are
+    written, so that no message is fetched or parsed twice.
+    """
+    stage = staging_sink(path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            stage(clean_trips(accepted(batch)), batch_id)
+            rejected = quarantined(batch).withColumn(BATCH_ID, F.lit(batch_id).cast("long"))
+            if not rejected.isEmpty():
+                replace_partitions(rejected, quarantine, [BATCH_ID])
+        finally:
+            batch.unpersist()
+
+    return write
+
+
 def jdbc_sink(url: str, properties: dict[str, str], table: str = STAGING_TABLE) -> BatchSink:
     """Append a batch, flagged untreated, to a relational staging table.
 
@@ -76,12 +103,27 @@ def jdbc_sink(url: str, properties: dict[str, str], table: str = STAGING_TABLE)
     return write
 
 
-def stream_to_staging(messages: DataFrame, path: str, checkpoint: str, interval: str | None = BATCH_INTERVAL) -> StreamingQuery:
+def stream_to_staging(
+    messages: DataFrame, path: str, checkpoint: str, interval: str | None = BATCH_INTERVAL
+) -> StreamingQuery:
     """Topic to staging table."""
     return foreach_batch(clean_stream(messages), staging_sink(path), checkpoint, interval)
 
 
-def stream_daily_window(trips: DataFrame, path: str, checkpoint: str, interval: str | None = BATCH_INTERVAL, watermark: str = "1 hour") -> StreamingQuery:
+def stream_with_quarantine(
+    messages: DataFrame, path: str, quarantine: str, checkpoint: str, interval: str | None = BATCH_INTERVAL
+) -> StreamingQuery:
+    """Topic to staging table, with malformed and incomplete messages set aside."""
+    return foreach_batch(decode_checked(messages), checked_sink(path, quarantine), checkpoint, interval)
+
+
+def stream_daily_window(
+    trips: DataFrame,
+    path: str,
+    checkpoint: str,
+    interval: str | None = BATCH_INTERVAL,
+    watermark: str = "1 hour",
+) -> StreamingQuery:
     """Keep the daily windows of a stream up to date, late trips included.
 
     Complete mode: each batch replaces the result, one row per day, by a new
@@ -91,7 +133,8 @@ def stream_daily_window(trips: DataFrame, path: str, checkpoint: str, interval:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
 
-    return foreach_batch(daily_window(trips.withWatermark("event_time", watermark)), write, checkpoint, interval, mode="complete")
+    windows = daily_window(trips.withWatermark("event_time", watermark))
+    return foreach_batch(windows, write, checkpoint, interval, mode="complete")
 
 
 def latest_version(versions: DataFrame) -> DataFrame:
@@ -100,13 +143,17 @@ def latest_version(versions: DataFrame) -> DataFrame:
     return versions.where(F.col("version") == newest).drop("version")
 
 
-def dedup_stream(trips: DataFrame, key: str = "ride_id", watermark: str = "1 hour", salts: int = 64) -> DataFrame:
+def dedup_stream(
+    trips: DataFrame, key: str = "ride_id", watermark: str = "1 hour", salts: int = 64
+) -> DataFrame:
     """One trip per key among those within the watermark of each other.
 
     A key re-sent very often would hit one state task with all its copies. So
     copies are first reduced under a salted key, which spreads them over ``salts``
     tasks, and the few left meet under the key itself. A key without copies keeps
-    one entry in each state, whatever the number of salts. ``salts=1`` skips that.
+    one entry in each state, whatever the number of salts. Salts come from a seeded
+    sequence per input partition, so a task that runs again draws the same.
+    ``salts=1`` skips all this.
     """
     timed = trips.withWatermark("event_time", watermark)
     if salts > 1:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,25 +20,34 @@ def event_span(trips: DataFrame) -> tuple[datetime, datetime] | None:
     return None if row["a"] is None else (from_micros(row["a"]), from_micros(row["b"]))
 
 
-def land_in_event_order(trips: DataFrame, path: str, step: timedelta = timedelta(days=1)) -> int:
-    """Write the table slice by slice, oldest first; gives the number of slices.
+def event_slices(trips: DataFrame, step: timedelta = timedelta(days=1)) -> Iterator[DataFrame]:
+    """The table cut by event time, oldest part first, each part sorted over all executors.
 
-    A file stream takes files by age, so the slices are written one after another,
-    each by a job of its own on all executors. Within a slice the files hold
-    disjoint event-time ranges, but their ages may differ from that order: keep a
-    watermark longer than a step. Give a table partitioned by event date, so that
-    each job reads its slice alone.
+    Parts begin at midnight of the first day. Give a table partitioned by event
+    date, so that a part reads its own dates alone.
     """
     span = event_span(trips)
     if span is None:
-        return 0
+        return
     start, last = span
     start = start.replace(hour=0, minute=0, second=0, microsecond=0)
-    slices = 0
     while start <= last:
         part = backfill_range(trips, start, start + step)
-        part.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER).write.mode("append").parquet(path)
+        yield part.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER)
         start += step
+
+
+def land_in_event_order(trips: DataFrame, path: str, step: timedelta = timedelta(days=1)) -> int:
+    """Write the table slice by slice, oldest first; gives the number of slices.
+
+    A file stream takes files by age, so the slices are written one after another,
+    each by a job of its own on all executors. Within a slice the files hold
+    disjoint event-time ranges, but their ages may differ from that order: keep a
+    watermark longer than a step.
+    """
+    slices = 0
+    for part in event_slices(trips, step):
+        part.write.mode("append").parquet(path)
         slices += 1
     return slices
 
