@@ -115,13 +115,11 @@ def decode_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parse_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = messages.decode_checked(fx.spoilt_messages(messages.encode(fx.trips(spark, sf_dir))))
-    good = messages.accepted(checked).select(F.lit("accepted").alias("outcome"))
-    bad = messages.quarantined(checked).select(F.col("reject_reason").alias("outcome"))
-    return _outcomes(good, bad)
+    return _outcomes(checked.select(F.coalesce("reject_reason", F.lit("accepted")).alias("outcome")))
 
 
-def _outcomes(good: DataFrame, bad: DataFrame) -> DataFrame:
-    return good.unionByName(bad).groupBy("outcome").agg(F.count(F.lit(1)).alias("messages"))
+def _outcomes(outcomes: DataFrame) -> DataFrame:
+    return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("messages"))
 
 
 def accepted_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,7 +301,7 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = topics.read_topic(spark, "parquet", source, maxFilesPerTrigger="2")
     jobs.stream_with_quarantine(stream, staging, bad, scratch_path(spark, "stream-state"), interval=None).awaitTermination()
     good = spark.read.parquet(staging).select(F.lit("accepted").alias("outcome"))
-    return _outcomes(good, spark.read.parquet(bad).select(F.col("reject_reason").alias("outcome")))
+    return _outcomes(good.unionByName(spark.read.parquet(bad).select(F.col("reject_reason").alias("outcome"))))
 
 
 def stream_daily_window(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -109,7 +109,7 @@ def test_null_event_time_filter_reaches_the_scan(spark, tmp_path):
 
 def test_samples_of_small_tables(spark):
     empty, few = frame(spark, []), frame(spark, [trip(str(i)) for i in range(5)])
-    for sample in (sampling.sample_to_target, lambda d: sampling.sample_by_hash(d, "ride_id")):
+    for sample in (sampling.sample_to_target, sampling.sample_by_hash, lambda d: sampling.sample_by_hash(d, "ride_id")):
         assert sample(empty).count() == 0
         assert sample(few).count() == 5
 

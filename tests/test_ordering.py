@@ -40,12 +40,31 @@ def test_schedule_equals_the_loop(spark, slices, floor):
         assert r.emit_offset_s == pytest.approx(w[4], abs=1e-6)
 
 
-def test_one_instant_spans_several_slices(spark):
-    trips = frame(spark, hot_rows()).select("ride_id", "event_time")
-    cut = trips.repartitionByRange(8, *ordering.ORDER).withColumn("s", F.spark_partition_id())
-    assert cut.where(F.col("event_time") == F.lit(T0)).select("s").distinct().count() > 1
-    sizes = [r["count"] for r in cut.groupBy("s").count().collect()]
-    assert max(sizes) < 2 * min(sizes)
+def test_one_instant_and_copies_of_one_trip_span_several_slices(spark):
+    copies = [trip("same", T0 + timedelta(days=40))] * 200
+    trips = frame(spark, hot_rows() + copies).select("ride_id", "event_time")
+    table = ordering._slice_table(trips, 0, 8)
+    for hot in (F.col("event_time") == F.lit(T0), F.col("ride_id") == "same"):
+        assert table.where(hot).select("_slice").distinct().count() > 1
+    sizes = [r["count"] for r in table.groupBy("_slice").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * min(sizes)
+    got = ordering.replay_schedule(trips, speedup=60.0, min_delay_s=0.5, slices=8).orderBy("seq").collect()
+    want = expected(hot_rows() + copies, 60.0, 0.5)
+    assert [(r.ride_id, r.seq, r.gap_s, r.delay_s) for r in got] == [w[:4] for w in want]
+    assert got[-1].emit_offset_s == pytest.approx(want[-1][4])
+
+
+def test_sorting_spreads_copies_of_one_trip(spark):
+    rows = frame(spark, [trip("same", T0)] * 400 + [trip(f"x{i}", T0 + timedelta(hours=i)) for i in range(400)])
+    for out in (ordering.sort_by_event_time(rows), ordering.range_cut(rows)):
+        assert out.columns == rows.columns and out.count() == 800
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for out in (ordering.sort_by_event_time(rows), ordering.range_cut(rows)):
+            parts = out.withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()
+            assert max(r["count"] for r in parts) < 200
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
 
 
 def test_offsets_without_a_floor_telescope(spark):

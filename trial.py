@@ -2,8 +2,9 @@
 
 Usage: python trial.py [copies per event] [operator ...]
 
-Trips of BENCH_SF_DIR are multiplied; a third of the rows share one ride id, a
-third one event time and a third one zone. Task times come from Spark's event log.
+Trips of BENCH_SF_DIR are multiplied; a third of the rows share one ride id and event
+time, a third another event time and a third one zone. Task times come from Spark's
+event log.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 
 
 def hot_trips(spark: SparkSession, copies: int) -> DataFrame:
-    """The trips ``copies`` times over, in three equal parts by what they share."""
+    """All trips ``copies`` times over, in three equal parts by what they share."""
     trips = fx.trips(spark, SF_DIR).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).repartition(64)
     part = F.pmod(F.xxhash64("ride_id", "copy"), F.lit(3))
     own_id = F.concat_ws("-", "ride_id", "copy")
@@ -36,7 +37,9 @@ def hot_trips(spark: SparkSession, copies: int) -> DataFrame:
     return trips.withColumns(
         {
             "ride_id": F.when(part == 0, "hot").otherwise(own_id),
-            "event_time": F.when(part == 1, F.lit("2024-01-15 08:00:00").cast("timestamp")).otherwise(moved),
+            "event_time": F.when(part == 0, F.lit("2024-01-20 12:00:00").cast("timestamp"))
+            .when(part == 1, F.lit("2024-01-15 08:00:00").cast("timestamp"))
+            .otherwise(moved),
             "ingest_time": F.timestamp_micros(F.unix_micros("ingest_time") + F.col("copy")),
             "pickup_zone": F.when(part == 2, "7").otherwise(F.col("pickup_zone")),
         }

@@ -2,9 +2,12 @@
 
 A window over the whole table would put it into one task, and a window per day
 would put a hot day into one task. So the gap and schedule operators cut the
-table into even *slices* of its total order (event time, ride id) with Spark's
-range partitioning, compute inside each slice, and join back one summary row per
-slice. Ties in event time may span slices, so one hot instant is split as well.
+table into even *slices* of its total order with Spark's range partitioning,
+compute inside each slice, and join back one summary row per slice.
+
+The order is event time, then ride id. A last key, drawn at random, settles
+nothing that shows, but it lets the cut run through many trips of one instant
+and through many copies of one trip.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripweave.functions.columns import MICROS
-from tripweave.sources.scratch import materialise, scratch_path
+from tripweave.sources.scratch import materialise, scratch_path, staged
 
 # One simulated day per real minute, and no least delay.
 SPEEDUP = 1440.0
@@ -25,9 +28,25 @@ ORDER = ["event_time", "ride_id"]
 TOP_N_LIMIT = 100_000
 
 
+def _tie(trips: DataFrame) -> Column:
+    """A key that splits rows with one event time and ride id.
+
+    Its high 48 bits hash the row, so that a retry sends it the same way; the low
+    16 are drawn and split rows that are equal throughout.
+    """
+    low = 1 << 16
+    drawn = (F.rand(0) * low).cast("long")
+    return F.xxhash64(*trips.columns).bitwiseAND(F.lit(-low)).bitwiseOR(drawn)
+
+
 def sort_by_event_time(trips: DataFrame) -> DataFrame:
     """Ascending event time, missing times last, ties by ride id."""
-    return trips.orderBy(F.col("event_time").asc_nulls_last(), "ride_id")
+    return trips.orderBy(F.col("event_time").asc_nulls_last(), "ride_id", _tie(trips))
+
+
+def range_cut(trips: DataFrame) -> DataFrame:
+    """Partitions that hold even, consecutive stretches of the order, each sorted."""
+    return trips.repartitionByRange(*ORDER, _tie(trips)).sortWithinPartitions(*ORDER)
 
 
 def first_n(trips: DataFrame, n: int | None = None) -> DataFrame:
@@ -36,7 +55,7 @@ def first_n(trips: DataFrame, n: int | None = None) -> DataFrame:
     if not n:
         return sort_by_event_time(valid)
     if n <= TOP_N_LIMIT:
-        return sort_by_event_time(valid).limit(n)
+        return valid.orderBy(*ORDER).limit(n)
     placed = replay_schedule(valid).where(F.col("seq") <= n)
     return sort_by_event_time(placed.select(*trips.columns))
 
@@ -56,24 +75,25 @@ def emit_offsets(trips: DataFrame, speedup: float = SPEEDUP) -> DataFrame:
 def _slice_table(trips: DataFrame, floor_us: int, slices: int) -> DataFrame:
     """Materialise the sliced table with its values local to each slice.
 
-    It is written out because slice numbers come from sampled range bounds: both
-    readers below, and any retry, must see the same cut.
+    The draws are written before the cut, so that a retried task cuts alike and
+    the input is computed once, not again for the range sample. The result is
+    written because both readers of it must see the same slices.
     """
     in_slice = Window.partitionBy("_slice").orderBy(*ORDER)
     up_to_here = in_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = (
-        trips.where(F.col("event_time").isNotNull())
-        .repartitionByRange(slices, *ORDER)
-        .withColumn("_slice", F.spark_partition_id())
-        .withColumn("_us", F.unix_micros("event_time"))
-        .withColumn("_gap_us", F.col("_us") - F.lag("_us").over(in_slice))
-        .withColumn("_row", F.row_number().over(in_slice))
-        # The first row of a slice waits on the slice before it, so it adds nothing here.
-        .withColumn("_own_us", F.coalesce(_floored(F.col("_gap_us"), floor_us), F.lit(0)))
-        .withColumn("_wait_us", F.sum("_own_us").over(up_to_here))
-        .drop("_own_us")
-    )
-    return materialise(local, scratch_path(trips.sparkSession, "event-order"))
+    with staged(trips.where(F.col("event_time").isNotNull()).withColumn("_draw", F.rand(0)), "drawn") as drawn:
+        local = (
+            drawn.repartitionByRange(slices, *ORDER, "_draw")
+            .withColumn("_slice", F.spark_partition_id())
+            .withColumn("_us", F.unix_micros("event_time"))
+            .withColumn("_gap_us", F.col("_us") - F.lag("_us").over(in_slice))
+            .withColumn("_row", F.row_number().over(in_slice))
+            # The first row of a slice waits on the slice before it, so it adds nothing here.
+            .withColumn("_own_us", F.coalesce(_floored(F.col("_gap_us"), floor_us), F.lit(0)))
+            .withColumn("_wait_us", F.sum("_own_us").over(up_to_here))
+            .drop("_own_us", "_draw")
+        )
+        return materialise(local, scratch_path(trips.sparkSession, "event-order"))
 
 
 def _floored(gap_us: Column, floor_us: int) -> Column:
@@ -96,8 +116,7 @@ def replay_schedule(
     microseconds of event time, so they do not depend on the order of addition.
 
     ``slices`` defaults to the shuffle partition count; set it so that one slice
-    fits a task. Pass a stored table and only the columns you need: range cutting
-    reads the input twice, and its columns are sorted and written once.
+    fits a task. Pass only the columns you need: they are written twice and sorted.
     """
     spark = trips.sparkSession
     floor_us = round(min_delay_s * speedup * MICROS)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.functions.columns import unit_hash
+from tripweave.functions.columns import row_digest, unit_hash
 
 # Fixed value: default sample size.
 SAMPLE_ROWS = 1000
@@ -24,11 +24,18 @@ def sample_to_target(df: DataFrame, target: int = SAMPLE_ROWS, seed: int = 0) ->
     return df.sample(withReplacement=False, fraction=min(1.0, target / total) if total else 1.0, seed=seed)
 
 
-def sample_by_hash(df: DataFrame, key: Column | str, target: int = SAMPLE_ROWS) -> DataFrame:
+def sample_by_hash(df: DataFrame, key: Column | str | None = None, target: int = SAMPLE_ROWS) -> DataFrame:
     """About ``target`` rows chosen by a hash of the key, so a re-run keeps the same rows.
 
+    Rows with one key are kept or left together. So the key should tell rows apart;
+    without one the whole row is hashed. Where many rows are copies of each other,
+    ``sample_to_target`` draws them one by one.
+
     The count is a scalar subquery: one plan, no separate job, no shuffle of rows.
     """
-    key = F.col(key) if isinstance(key, str) else key
+    if key is None:
+        key = row_digest(df)
+    elif isinstance(key, str):
+        key = F.col(key)
     ratio = df.agg((F.lit(float(target)) / F.nullif(F.count(F.lit(1)), F.lit(0))).alias("ratio")).scalar()
     return df.where(unit_hash(key) < ratio)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.functions.columns import from_micros
-from tripweave.operators.ordering import ORDER
+from tripweave.operators.ordering import range_cut
 from tripweave.operators.treatment import backfill_range
 
 
@@ -32,8 +32,7 @@ def event_slices(trips: DataFrame, step: timedelta = timedelta(days=1)) -> Itera
     start, last = span
     start = start.replace(hour=0, minute=0, second=0, microsecond=0)
     while start <= last:
-        part = backfill_range(trips, start, start + step)
-        yield part.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER)
+        yield range_cut(backfill_range(trips, start, start + step))
         start += step
 
 
