@@ -66,6 +66,20 @@ def test_a_key_that_changes_its_date_leaves_the_old_one(spark, tmp_path):
     assert rows == {"a": "2024-01-11", "b": "2024-01-11"} and read(spark, path).count() == 2
 
 
+def test_rows_without_a_date_are_merged_too(spark, tmp_path):
+    path = str(tmp_path / "w")
+
+    def undated(fare, ingest):
+        return frame(spark, [trip("a", ingest=ingest, fare=fare)]).withColumn("event_time", F.lit(None).cast("timestamp"))
+
+    tables.upsert_table(undated(1.0, T0).unionByName(frame(spark, [trip("b")])), path)
+    tables.upsert_table(undated(2.0, T0 + HOUR), path)
+    assert {r.ride_id: r.fare_usd for r in read(spark, path).collect()} == {"a": 2.0, "b": 10.0}
+    tables.upsert_table(frame(spark, [trip("a", ingest=T0 + 2 * HOUR, fare=3.0)]), path)
+    assert {r.ride_id: r.fare_usd for r in read(spark, path).collect()} == {"a": 3.0, "b": 10.0}
+    assert read(spark, path).count() == 2
+
+
 def test_no_updates_change_nothing(spark, tmp_path):
     path = str(tmp_path / "w")
     tables.upsert_table(frame(spark, [trip("a", T0)]), path)

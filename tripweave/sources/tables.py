@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.operators.upsert import latest_per_key, upsert_latest
 from tripweave.sources.scratch import staged
 
 EVENT_DATE = "event_date"
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder for rows without a date
 
 
 def with_event_date(trips: DataFrame) -> DataFrame:
@@ -45,11 +48,16 @@ def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
-def _dates(df: DataFrame) -> set:
+def _dates(df: DataFrame) -> set[date | None]:
     """The event dates of a table: as many as there are days, whatever its size."""
     return {r[EVENT_DATE] for r in df.select(EVENT_DATE).distinct().collect()}
 
 
+def _on(dates: set[date | None]) -> Column:
+    known = F.col(EVENT_DATE).isin(sorted(d for d in dates if d is not None))
+    return known | F.col(EVENT_DATE).isNull() if None in dates else known
+
+
 def upsert_table(
     updates: DataFrame,
     path: str,
@@ -73,9 +81,9 @@ def upsert_table(
             return
         if keys_move:
             dates |= _dates(target.select(key, EVENT_DATE).join(newest.select(key), key, "left_semi"))
-        affected = target.where(F.col(EVENT_DATE).isin(sorted(dates)))
+        affected = target.where(_on(dates))
         with staged(_by_date(upsert_latest(affected, newest, key, version)), "upsert-merged") as merged:
             replace_partitions(merged, path, [EVENT_DATE])
             for emptied in dates - _dates(merged):
                 nothing = merged.where(F.lit(False)).drop(EVENT_DATE)
-                nothing.write.mode("overwrite").parquet(f"{path}/{EVENT_DATE}={emptied}")
+                nothing.write.mode("overwrite").parquet(f"{path}/{EVENT_DATE}={emptied or NO_DATE}")
