@@ -46,11 +46,13 @@ def read_untreated_day(
 ) -> DataFrame | None:
     """The untreated day of a staging table; None if every row is treated.
 
-    The database finds the earliest untreated time (one row). The day itself is
-    read in ``parts`` ranges with literal bounds, which the database filters on.
+    The database finds the earliest untreated time (one row, as its own wall clock
+    shows it). The day itself is read in ``parts`` ranges with literal bounds, which
+    the database filters on.
     """
     earliest = f"(SELECT MIN(event_time) AS t0 FROM {table} WHERE treated = 'No') earliest"
-    t0 = spark.read.jdbc(url, earliest, properties=properties).first()["t0"]
+    wall_clock = {**properties, "preferTimestampNTZ": "true"}
+    t0 = spark.read.jdbc(url, earliest, properties=wall_clock).first()["t0"]
     if t0 is None:
         return None
     day = range_predicates(t0, t0 + timedelta(days=1), parts, splits=splits)
