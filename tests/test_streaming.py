@@ -145,6 +145,12 @@ def test_dedup_of_a_key_with_a_third_of_all_rows(spark, tmp_path):
     assert dedup(spark, tmp_path, trips, 8) == want
 
 
+def test_dedup_keeps_different_trips_without_a_key(spark, tmp_path):
+    trips = frame(spark, [trip(None, fare=1.0), trip(None, fare=2.0), trip(None, fare=2.0), trip("a"), trip("a", fare=3.0)])
+    got = dedup(spark, tmp_path, trips, 8)
+    assert sorted((r[0] or "", r[7]) for r in got if r[0] is None) == [("", 1.0), ("", 2.0)] and len(got) == 3
+
+
 def run_all(spark, staging, warehouse):
     days = []
     while (bounds := daily_batch.run_day(spark, staging, warehouse)) is not None:

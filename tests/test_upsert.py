@@ -17,6 +17,13 @@ def test_latest_version_wins_and_ties_go_to_the_update(spark):
     assert got == {"a": 2.0, "b": 1.0, "c": 2.0, "d": 1.0, "e": 2.0}
 
 
+def test_rows_without_a_key_all_stay(spark):
+    keyless = frame(spark, [trip(None, fare=1.0), trip(None, fare=2.0), trip(None, fare=2.0), trip("a")])
+    once = upsert_latest(keyless, keyless)
+    assert sorted((r.ride_id is None, r.fare_usd) for r in once.collect()) == [(False, 10.0), (True, 1.0), (True, 2.0)]
+    assert rows_of(upsert_latest(once, keyless)) == rows_of(once)
+
+
 def test_columns_keep_their_order_and_nulls(spark):
     df = frame(spark, [trip("a", ingest=T0, fare=None, payment=None), trip("a", ingest=T0 - HOUR, fare=3.0)])
     latest = latest_per_key(df)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from tripweave.functions.columns import row_digest
 from tripweave.operators.aggregates import daily_window
 from tripweave.operators.enrich import clean_trips
 from tripweave.operators.messages import accepted, decode, decode_checked, quarantined
@@ -148,6 +149,8 @@ def dedup_stream(
 ) -> DataFrame:
     """One trip per key among those within the watermark of each other.
 
+    Trips without a key count as copies only if they are equal throughout.
+
     A key re-sent very often would hit one state task with all its copies. So
     copies are first reduced under a salted key, which spreads them over ``salts``
     tasks, and the few left meet under the key itself. A key without copies keeps
@@ -155,8 +158,9 @@ def dedup_stream(
     sequence per input partition, so a task that runs again draws the same.
     ``salts=1`` skips all this.
     """
-    timed = trips.withWatermark("event_time", watermark)
+    identity = F.coalesce(F.col(key).cast("string"), row_digest(trips))
+    timed = trips.withColumn("_id", identity).withWatermark("event_time", watermark)
     if salts > 1:
         salt = F.floor(F.rand(salts) * salts)
-        timed = timed.withColumn("_salt", salt).dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt")
-    return timed.dropDuplicatesWithinWatermark([key])
+        timed = timed.withColumn("_salt", salt).dropDuplicatesWithinWatermark(["_id", "_salt"]).drop("_salt")
+    return timed.dropDuplicatesWithinWatermark(["_id"]).drop("_id")
