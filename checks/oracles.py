@@ -76,14 +76,17 @@ FROM trips"""
 _ALL_TRIPS = f"WITH {TRIPS_SQL} SELECT * FROM trips"
 _ALL_CLEANED = f"WITH {_CLEANED} SELECT * EXCLUDE (treated) FROM cleaned"
 _RAW_KEPT = f"WITH {RAW_TRIPS_SQL} SELECT * FROM raw_trips WHERE tpep_pickup_datetime IS NOT NULL"
-_UPDATED = f"""WITH {TRIPS_SQL},
+_WITH_UPDATED = f"""WITH {TRIPS_SQL},
 both_versions AS (
   SELECT *, 0 AS src FROM trips
   UNION ALL
   SELECT * REPLACE (ingest_time + to_minutes(CAST(dropoff_zone AS BIGINT) - 50) AS ingest_time, fare_usd + 1 AS fare_usd), 1 AS src FROM trips
-)
-SELECT * EXCLUDE (src) FROM both_versions
-QUALIFY row_number() OVER (PARTITION BY ride_id ORDER BY ingest_time DESC, src DESC) = 1"""
+),
+updated AS (
+  SELECT * EXCLUDE (src) FROM both_versions
+  QUALIFY row_number() OVER (PARTITION BY ride_id ORDER BY ingest_time DESC, src DESC) = 1
+)"""
+_UPDATED = f"{_WITH_UPDATED} SELECT * FROM updated"
 _FACTS = f"""{_ENRICHED}, {DIM_ZONE_SQL},
 facts AS (
   SELECT e.* EXCLUDE (treated), strftime(event_time, '%Y-%m-%d') AS event_date,
@@ -196,6 +199,7 @@ ORACLES: dict[str, str] = {
         FROM trips""",
     "upsert_latest": _UPDATED,
     "upsert_table": _UPDATED,
+    "stream_upsert": f"{_WITH_UPDATED} SELECT * EXCLUDE (treated) FROM updated",
     "dq_not_null": f"WITH {_CLEANED} " + _failures("cleaned", {c: f"{c} IS NULL" for c in ("ride_id", "event_time", "fare_usd", "payment_type")}),
     "dq_unique": "SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem GROUP BY ALL HAVING count(*) > 1",
     "dq_range": f"WITH {TRIPS_SQL} " + _failures("trips", {"distance_km": "distance_km < 0 OR distance_km > 50", "fare_usd": "fare_usd < 0"}),

@@ -188,7 +188,8 @@ def backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _staged(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "staging")
     staged = tables.with_event_date(_cleaned(spark, sf_dir)).withColumn(jobs.BATCH_ID, F.lit(0).cast("long"))
-    tables.replace_partitions(staged.hint("rebalance", tables.EVENT_DATE), path, [tables.EVENT_DATE, jobs.BATCH_ID])
+    by = [tables.EVENT_DATE, jobs.BATCH_ID]
+    tables.replace_partitions(tables.gathered(staged, by), path, by)
     return path
 
 
@@ -294,6 +295,17 @@ def stream_to_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).drop(jobs.BATCH_ID)
 
 
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A topic with all trips and then a correction of each, merged batch by batch."""
+    topic, table = scratch_path(spark, "topic"), scratch_path(spark, "warehouse")
+    for trips in (fx.trips(spark, sf_dir), fx.updates(spark, sf_dir)):
+        topics.publish(messages.encode(trips).repartition(4), "parquet", topic)
+    stream = messages.decode(topics.read_topic(spark, "parquet", topic, maxFilesPerTrigger="4"))
+    state = scratch_path(spark, "stream-state")
+    jobs.foreach_batch(stream, jobs.upsert_sink(table), state, interval=None).awaitTermination()
+    return spark.read.parquet(table).drop(tables.EVENT_DATE)
+
+
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcomes of spoilt messages in a stream."""
     staging, bad, source = (scratch_path(spark, label) for label in ("staging", "quarantine", "topic"))
@@ -397,7 +409,7 @@ ALL: dict[str, Query] = {
         untreated_min, untreated_day, mark_treated, backfill_range, daily_batch_warehouse, daily_batch_staging,
         row_count, sort_by_event_time, first_n_trips, sample_to_target, sample_hash, union_trip_parts,
         inter_arrival_gap, replay_delay, replay_schedule, replay_schedule_lineitem, emit_offsets,
-        stream_source, stream_clean, stream_to_staging, stream_quarantine, stream_daily_window, replay_as_stream, stream_dedup,
+        stream_source, stream_clean, stream_to_staging, stream_quarantine, stream_upsert, stream_daily_window, replay_as_stream, stream_dedup,
         daily_window, hourly_zone_kpi, ingest_lag, freshness, upsert_latest, upsert_table,
         dq_not_null, dq_unique, dq_range, dq_business_rules, dim_zone, fact_trips, kpi_daily,
     )

@@ -151,6 +151,19 @@ def test_dedup_keeps_different_trips_without_a_key(spark, tmp_path):
     assert sorted((r[0] or "", r[7]) for r in got if r[0] is None) == [("", 1.0), ("", 2.0)] and len(got) == 3
 
 
+def test_upsert_sink_behind_a_stateful_stream(spark, tmp_path):
+    first = some_trips(spark, 30)
+    newer = first.withColumns({"fare_usd": F.lit(99.0), "ingest_time": F.col("ingest_time") + F.expr("INTERVAL 1 HOUR")})
+    path, table = str(tmp_path / "topic"), str(tmp_path / "wh")
+    for trips in (first, newer):
+        topics.publish(messages.encode(trips), "parquet", path)
+    source = topics.read_topic(spark, "parquet", path, maxFilesPerTrigger="8")
+    version = F.concat_ws("@", "ride_id", F.col("ingest_time").cast("string"))
+    stream = jobs.dedup_stream(messages.decode(source).withColumn("copy", version), "copy", "9 days")
+    jobs.foreach_batch(stream.drop("copy"), jobs.upsert_sink(table), str(tmp_path / "ck"), interval=None).awaitTermination()
+    assert rows_of(spark.read.parquet(table).drop("event_date")) == rows_of(newer)
+
+
 def run_all(spark, staging, warehouse):
     days = []
     while (bounds := daily_batch.run_day(spark, staging, warehouse)) is not None:
@@ -200,6 +213,15 @@ def test_marking_leaves_later_batches_alone(spark, tmp_path):
     assert table.count() == 25 and table.where("treated = 'Yes'").count() == 25
 
 
+def test_a_trip_without_a_key_is_stored_once(spark, tmp_path):
+    staging, warehouse = str(tmp_path / "stg"), str(tmp_path / "wh")
+    jobs.staging_sink(staging)(frame(spark, [trip(None, fare=1.0), trip(None, fare=2.0), trip("a")]), 0)
+    run_all(spark, staging, warehouse)
+    daily_batch.backfill(spark, staging, warehouse, T0, T0 + DAY)
+    stored = spark.read.parquet(warehouse)
+    assert stored.count() == 3 and stored.where("treated = 'Yes'").count() == 3
+
+
 def test_backfill_runs_a_range_again(spark, tmp_path):
     staging, warehouse = str(tmp_path / "stg"), str(tmp_path / "wh")
     jobs.staging_sink(staging)(some_trips(spark, 60), 0)

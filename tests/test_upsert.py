@@ -1,7 +1,7 @@
 import os
 from datetime import timedelta
 
-from helpers import T0, frame, rows_of, trip
+from helpers import T0, frame, plan_of, rows_of, trip
 from pyspark.sql import functions as F
 
 from tripweave.operators.upsert import latest_per_key, upsert_latest
@@ -87,6 +87,16 @@ def test_rows_without_a_date_are_merged_too(spark, tmp_path):
     assert read(spark, path).count() == 2
 
 
+def test_without_adaptive_execution_no_date_becomes_one_task(spark):
+    dated = tables.with_event_date(frame(spark, [trip("a")]))
+    assert "REBALANCE" in plan_of(tables.gathered(dated, ["event_date"]))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert "Exchange" not in plan_of(tables.gathered(dated, ["event_date"]))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_no_updates_change_nothing(spark, tmp_path):
     path = str(tmp_path / "w")
     tables.upsert_table(frame(spark, [trip("a", T0)]), path)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.functions.columns import row_digest
+from tripweave.schemas import TRIP
 
 _SOURCE = "_source"
 
@@ -16,15 +17,16 @@ def latest_per_key(
     """One row per key: the highest version, then the highest ``prefer`` column.
 
     Rows equal in both are settled by the remaining columns, so a re-run gives the
-    same row. Rows without a key are no versions of each other: all that differ stay.
+    same row. Rows without a key are no versions of each other: all that differ stay,
+    for trips all that differ in a trip column, whatever was computed or flagged since.
 
     A maximum of structs combines before the shuffle, so a key with very many
     versions sends one row per task and never meets in one task as a whole.
     """
     rank = [version] + ([prefer] if prefer else [])
     rest = [c for c in rows.columns if c not in (key, *rank)]
-    content = rows.drop(prefer) if prefer else rows
-    keyless = F.when(F.col(key).isNull(), row_digest(content)).alias("_keyless")
+    own = TRIP.names if set(TRIP.names) <= set(rows.columns) else [c for c in rows.columns if c != prefer]
+    keyless = F.when(F.col(key).isNull(), row_digest(rows.select(*own))).alias("_keyless")
     newest = rows.groupBy(key, keyless).agg(F.max(F.struct(*rank, *rest)).alias("_row"))
     return newest.select(*[c if c == key else F.col("_row")[c].alias(c) for c in rows.columns])
 

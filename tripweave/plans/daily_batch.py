@@ -12,7 +12,7 @@ from tripweave.functions.columns import instant
 from tripweave.operators.enrich import DEFAULT_CHAIN, Transform, enrich
 from tripweave.operators.treatment import backfill_range, mark_treated, untreated_bounds, untreated_day
 from tripweave.sources.scratch import staged
-from tripweave.sources.tables import EVENT_DATE, read_table, replace_partitions, upsert_table
+from tripweave.sources.tables import EVENT_DATE, gathered, read_table, replace_partitions, upsert_table
 from tripweave.streaming.jobs import BATCH_ID
 
 Bounds = tuple[datetime, datetime]
@@ -30,8 +30,9 @@ def mark_day(spark: SparkSession, staging: str, bounds: Bounds) -> None:
     t0, t1 = bounds
     dates = F.col(EVENT_DATE).between(instant(t0).cast("date"), instant(t1).cast("date"))
     marked = mark_treated(read_table(spark, staging).where(dates), bounds)
-    with staged(marked.hint("rebalance", EVENT_DATE, BATCH_ID), "marked-day") as day:
-        replace_partitions(day, staging, [EVENT_DATE, BATCH_ID])
+    by = [EVENT_DATE, BATCH_ID]
+    with staged(gathered(marked, by), "marked-day") as day:
+        replace_partitions(day, staging, by)
 
 
 def run_day(

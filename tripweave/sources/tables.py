@@ -29,14 +29,20 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def _by_date(df: DataFrame) -> DataFrame:
-    """Gather each date into few files. Adaptive execution splits a hot date and joins small ones."""
-    return df.hint("rebalance", EVENT_DATE)
+def gathered(df: DataFrame, by: list[str]) -> DataFrame:
+    """Bring each partition of a table to be written into few files.
+
+    Adaptive execution splits a hot partition and puts small ones together. Where
+    it is off, as in streams with state, rows are left where they are: more files,
+    but no hot task.
+    """
+    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    return df.hint("rebalance", *by) if adaptive else df
 
 
 def write_table(df: DataFrame, path: str) -> None:
     """Write the whole table, replacing what is there."""
-    writer = _by_date(df).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = gathered(df, [EVENT_DATE]).write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer.partitionBy(EVENT_DATE).parquet(path)
 
 
@@ -82,7 +88,8 @@ def upsert_table(
         if keys_move:
             dates |= _dates(target.select(key, EVENT_DATE).join(newest.select(key), key, "left_semi"))
         affected = target.where(_on(dates))
-        with staged(_by_date(upsert_latest(affected, newest, key, version)), "upsert-merged") as merged:
+        rows = gathered(upsert_latest(affected, newest, key, version), [EVENT_DATE])
+        with staged(rows, "upsert-merged") as merged:
             replace_partitions(merged, path, [EVENT_DATE])
             for emptied in dates - _dates(merged):
                 nothing = merged.where(F.lit(False)).drop(EVENT_DATE)

@@ -15,7 +15,7 @@ from tripweave.operators.enrich import clean_trips
 from tripweave.operators.messages import accepted, decode, decode_checked, quarantined
 from tripweave.operators.treatment import flag_untreated
 from tripweave.sources.jdbc import STAGING_TABLE, write_jdbc
-from tripweave.sources.tables import EVENT_DATE, replace_partitions, with_event_date
+from tripweave.sources.tables import EVENT_DATE, replace_partitions, upsert_table, with_event_date
 
 # Fixed value: the micro-batch interval.
 BATCH_INTERVAL = "5 seconds"
@@ -104,6 +104,20 @@ def jdbc_sink(url: str, properties: dict[str, str], table: str = STAGING_TABLE)
     return write
 
 
+def upsert_sink(path: str, keys_move: bool = True) -> BatchSink:
+    """Merge a batch into a table by ride id: a trip sent again replaces its older version.
+
+    A batch that runs again changes nothing. Each batch rewrites the dates it
+    touches, so take a long interval.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            upsert_table(batch, path, keys_move=keys_move)
+
+    return write
+
+
 def stream_to_staging(
     messages: DataFrame, path: str, checkpoint: str, interval: str | None = BATCH_INTERVAL
 ) -> StreamingQuery:
