@@ -90,12 +90,16 @@ def test_empty_table(spark):
 def test_first_n(spark, monkeypatch):
     trips = frame(spark, hot_rows())
     order = [r[0] for r in expected(hot_rows(), 1.0, 0.0)]
-    assert "TakeOrderedAndProject" in plan_of(ordering.first_n(trips, 150))
+    plan = plan_of(ordering.first_n(trips, 150))
+    assert "TakeOrderedAndProject" in plan and plan.count("WindowGroupLimit") == 2
+    for n in (1, 119, 121, 240, 359, 360, 500):
+        assert [r.ride_id for r in ordering.first_n(trips, n).collect()] == order[:n]
+    assert ordering.first_n(frame(spark, []), 3).count() == 0
     assert [r.ride_id for r in ordering.first_n(trips, 150).collect()] == order[:150]
     assert [r.ride_id for r in ordering.first_n(trips, 0).collect()] == order
     monkeypatch.setattr(ordering, "TOP_N_LIMIT", 10)
     big = ordering.first_n(trips, 150)
-    assert "TakeOrderedAndProject" not in plan_of(big) and big.columns == trips.columns
+    assert "WindowGroupLimit" not in plan_of(big) and big.columns == trips.columns
     assert [r.ride_id for r in big.collect()] == order[:150]
 
 

@@ -24,8 +24,10 @@ MIN_DELAY_S = 0.0
 
 ORDER = ["event_time", "ride_id"]
 
-# A top-n merges n rows per partition on the driver, so it is used up to this n only.
-TOP_N_LIMIT = 100_000
+# Up to this n Spark limits a ranked group before the shuffle
+# (spark.sql.optimizer.windowGroupLimitThreshold).
+TOP_N_LIMIT = 1000
+MERGE_GROUPS = 200
 
 
 def _tie(trips: DataFrame) -> Column:
@@ -49,15 +51,38 @@ def range_cut(trips: DataFrame) -> DataFrame:
     return trips.repartitionByRange(*ORDER, _tie(trips)).sortWithinPartitions(*ORDER)
 
 
+def _end_of_nth(trips: DataFrame, n: int, unit: str) -> Column:
+    """The end of the day or second that holds the n-th trip, as a scalar subquery."""
+    counts = trips.groupBy(F.date_trunc(unit, "event_time").alias("start")).agg(F.count(F.lit(1)).alias("rows"))
+    running = counts.withColumn("so_far", F.sum("rows").over(Window.orderBy("start")))
+    holder = F.coalesce(F.min(F.when(F.col("so_far") >= n, F.col("start"))), F.max("start"))
+    return running.agg((holder + F.expr(f"INTERVAL 1 {unit}")).alias("until")).scalar()
+
+
 def first_n(trips: DataFrame, n: int | None = None) -> DataFrame:
-    """The first n rows with an event time, in event order; None or 0 means all."""
+    """The first n rows with an event time, in event order; None or 0 means all.
+
+    A plain top-n sends n rows of every partition to one task. Here counts per day,
+    and then per second of the days needed (at most n and a day's seconds), give a
+    bound that the scan filters on, so little more than n rows are left, unless the
+    last instant is a hot one. What is left is limited within groups of partitions
+    before it is merged. A large n takes the days needed through the slices.
+    """
     valid = trips.where(F.col("event_time").isNotNull())
     if not n:
         return sort_by_event_time(valid)
-    if n <= TOP_N_LIMIT:
-        return valid.orderBy(*ORDER).limit(n)
-    placed = replay_schedule(valid).where(F.col("seq") <= n)
-    return sort_by_event_time(placed.select(*trips.columns))
+    early = valid.where(F.col("event_time") < _end_of_nth(valid, n, "DAY"))
+    if n > TOP_N_LIMIT:
+        placed = replay_schedule(early).where(F.col("seq") <= n)
+        return sort_by_event_time(placed.select(*trips.columns))
+    early = valid.where(F.col("event_time") < _end_of_nth(early, n, "SECOND"))
+    in_group = Window.partitionBy("_group").orderBy(*ORDER)
+    limited = (
+        early.withColumn("_group", F.spark_partition_id() % MERGE_GROUPS)
+        .withColumn("_rank", F.row_number().over(in_group))
+        .where(F.col("_rank") <= n)
+    )
+    return limited.drop("_group", "_rank").orderBy(*ORDER).limit(n)
 
 
 def emit_offsets(trips: DataFrame, speedup: float = SPEEDUP) -> DataFrame:
