@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripweave.llm import suffix_dedup
+from tripweave.llm import ngram_join, suffix_dedup
 from tripweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,5 +16,9 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.op2_suffix_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.op10_ngram_join(table(spark, sf_dir, "documents"))
+
+
 def registered() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_suffix_dedup,)}
+    return {f.__name__: f for f in (op2_suffix_dedup, op10_ngram_join)}
