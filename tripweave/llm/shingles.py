@@ -16,10 +16,11 @@ _STEP = bs.U64(0xD6E8FEB86659FD93)
 
 
 class Words:
-    """Hashes of the words of texts, A-Z taken as a-z. Word hashes do not depend on the block they were found in."""
+    """Hashes of the words of texts, A-Z taken as a-z if ``lower``. They do not depend on the block a word was found in."""
 
-    def __init__(self) -> None:
+    def __init__(self, lower: bool = True) -> None:
         self._rolling = bs.Rolling(7, bs.BLOCK)
+        self._lower = lower
 
     def _hashes(self, data: np.ndarray, opens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and hash of each word; ``opens`` are places where a text begins."""
@@ -32,7 +33,7 @@ class Words:
         blank = np.concatenate([[True], space, [True]])
         start = np.flatnonzero(~space & (blank[:-2] | edge[:-1]))
         end = np.flatnonzero(~space & (blank[2:] | edge[1:])) + 1
-        prefix = self._rolling.prefix(_LOWER[data])
+        prefix = self._rolling.prefix(_LOWER[data] if self._lower else data)
         return start, bs.mix(self._rolling.spans(prefix, start, end))
 
     def of(self, raw: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
