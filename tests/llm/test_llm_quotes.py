@@ -1,0 +1,82 @@
+from tripweave.llm import quotes
+
+SHAPE = "conv_id long, turn long, role string, text string"
+ASK = "How do I sort a large table?\nIt does not fit in memory."
+ANSWER = "Use an external sort, or a range partition.\n\nBoth work well."
+
+
+def result(spark, rows, shape=SHAPE):
+    return quotes.link_quotes(spark.createDataFrame(rows, shape).repartition(3))
+
+
+def by_place(df):
+    return {(r.conv_id, r.turn): r for r in df.collect()}
+
+
+def test_answers_are_linked_to_what_they_quote(spark):
+    rows = [
+        (1, 0, "user", ASK),
+        (1, 1, "assistant", "> how do I sort a LARGE table? It does\n> not fit in memory!\n\n" + ANSWER),
+        # Answers the second message and, one level deeper, holds what that had quoted.
+        (1, 2, "user", ">> How do I sort a large table?\n>> It does not fit in memory.\n> Both work well.\nThanks for all of that"),
+        (1, 3, "user", "> Both work well.\r\n> \r\n> thanks\r\nNot so for me, I fear"),
+        (2, 5, "user", "  > Not so for me, I fear\nSame in this place"),
+        (2, 6, "user", "> a quote of nothing known here\nHello there you all"),
+        (3, 0, "user", "No quotes, 3 > 2 holds"),
+    ]
+    got = by_place(result(spark, rows))
+    parent = {k: (r.parent_conv, r.parent_turn) for k, r in got.items()}
+    assert parent == {
+        (1, 0): (None, None),
+        (1, 1): (1, 0),
+        (1, 2): (1, 1),
+        (1, 3): (1, 1),
+        (2, 5): (1, 3),
+        (2, 6): (None, None),
+        (3, 0): (None, None),
+    }
+    assert {k: (r.thread_conv, r.thread_turn, r.depth) for k, r in got.items()} == {
+        (1, 0): (1, 0, 0),
+        (1, 1): (1, 0, 1),
+        (1, 2): (1, 0, 2),
+        (1, 3): (1, 0, 2),
+        (2, 5): (1, 0, 3),
+        (2, 6): (2, 6, 0),
+        (3, 0): (3, 0, 0),
+    }
+    assert got[1, 1].text == ANSWER and got[1, 3].text == "Not so for me, I fear" and got[3, 0].text == "No quotes, 3 > 2 holds"
+    assert [got[1, t].n_quotes for t in range(4)] == [0, 1, 2, 1] and got[2, 6].n_quotes == 1 and got[2, 6].n_linked == 0
+
+
+def test_the_last_original_in_the_conversation_comes_first(spark):
+    said = "the very same sentence again"
+    rows = [(1, 0, "u", said), (5, 0, "u", said), (5, 4, "u", said), (5, 9, "u", "> " + said + "\nindeed it is"), (5, 12, "u", said), (0, 3, "u", "> " + said)]
+    got = by_place(result(spark, rows))
+    assert (got[5, 9].parent_conv, got[5, 9].parent_turn) == (5, 4)
+    assert got[0, 3].parent_conv is None  # all originals come later
+    assert got[0, 3].text == ""
+
+
+def test_long_chains(spark):
+    rows = [(1, 0, "u", "message number zero here")]
+    rows += [(1, k, "u", f"> message number {'zero' if k == 1 else k - 1} here\nmessage number {k} here") for k in range(1, 21)]
+    got = by_place(result(spark, rows))
+    assert all((got[1, k].depth, got[1, k].thread_turn) == (k, 0) for k in range(21))
+
+
+def test_nulls_repeated_rows_and_clashing_columns(spark):
+    rows = [
+        (1, 0, "u", "a first message to quote", 7, "x"),
+        (1, 1, "u", "> a first message to quote\nyes", 8, "y"),
+        (1, 1, "u", "> a first message to quote\nyes", 8, "y"),
+        (None, 2, "u", "> a first message to quote", 9, "z"),
+        (1, None, "u", "> a first message to quote", 9, "z"),
+        (1, 5, None, None, None, None),
+        (1, 6, "u", "", 1, "w"),
+    ]
+    out = result(spark, rows, SHAPE + ", m long, line string")
+    got = out.collect()
+    assert len(got) == 7 and out.columns[:6] == ["conv_id", "turn", "role", "text", "m", "line"]
+    assert sorted((r.m, r.parent_turn, r.n_quotes) for r in got if r.m in (8, 9)) == [(8, 0, 1), (8, 0, 1), (9, None, 1), (9, None, 1)]
+    assert [r.text for r in got if r.turn in (5, 6)] == ["", ""]
+    assert quotes.link_quotes(out.where("false").select("conv_id", "turn", "role", "text")).count() == 0
