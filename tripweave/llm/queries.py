@@ -6,19 +6,63 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripweave.llm import ngram_join, suffix_dedup
+from tripweave.llm import chunk_dedup, decontaminate, html_text, ngram_join, packing, quality_net, quality_rules, quotes, suffix_dedup, token_counts
 from tripweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.op1_chunk_dedup(table(spark, sf_dir, "documents"))
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.op2_suffix_dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_net(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_net.op3_quality_net(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.op4_quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op5_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.op5_quote_links(table(spark, sf_dir, "conversations"))
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.op6_decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.op7_html_text(table(spark, sf_dir, "pages"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.op8_packing(table(spark, sf_dir, "documents"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.op9_token_counts(table(spark, sf_dir, "documents"))
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.op10_ngram_join(table(spark, sf_dir, "documents"))
 
 
 def registered() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_suffix_dedup, op10_ngram_join)}
+    found = (
+        op1_chunk_dedup,
+        op2_suffix_dedup,
+        op3_quality_net,
+        op4_quality_rules,
+        op5_quote_links,
+        op6_decontaminate,
+        op7_html_text,
+        op8_packing,
+        op9_token_counts,
+        op10_ngram_join,
+    )
+    return {f.__name__: f for f in found}
