@@ -16,7 +16,7 @@ PAGES = {
     "<style>/* p{} */ .gone, b#q { display:none } i{color:red}</style><p class='a gone'>x</p><b id=q>y</b><i id=q>z</i>": "z",
     "<head><title>t</title><script>a<b</script></head><body>in<!-- c --><noscript>n</noscript></body>": "in",
     "a &amp; &eacute;&nbsp;b&#x41;": "a & é bA",
-    "</p>x</div></b>y": "x\ny",
+    "</p>x</div></b>y": "xy",
     "<dl><dt>t<dd>d<dt>u<dd>e</dl>": "t\nd\nu\ne",
     "<td>stray</td> cell": "stray\ncell",
     "plain <b": "plain <b",

@@ -82,6 +82,18 @@ _RESULT = pa.struct(
 )
 
 
+def _copies(found: pa.StructArray) -> np.ndarray:
+    """Places of a text's chunks that stand earlier too. Chunks whose first text this is have a name, and stay once."""
+    pos, own = found.field("pos").to_numpy(), found.field("own")
+    order = np.argsort(pos)
+    named = own.is_valid().to_numpy(zero_copy_only=False)[order]
+    names = own.fill_null(0).to_numpy()[order]
+    copy = ~named
+    later = np.ones(len(pos), bool)
+    later[np.flatnonzero(named)[np.unique(names[named], return_index=True)[1]]] = False
+    return pos[order][copy | later]
+
+
 def _without(least: int):
     @F.arrow_udf("struct<n_bytes: long, n_removed: long, n_spans: long, kept: binary, spans: array<struct<start: long, end: long>>>")
     def without(text: pa.Array, copies: pa.Array, later: pa.Array) -> pa.Array:
@@ -92,8 +104,7 @@ def _without(least: int):
             spans = []
             if again.as_py():
                 spans = [(0, len(data))] if data else []
-            elif own.is_valid and len(own):
-                pos = np.sort(own.values.to_numpy())
+            elif own.is_valid and len(pos := _copies(own.values)):
                 start, size = pos // (2 * LONGEST), pos % (2 * LONGEST)
                 head = np.append(True, start[1:] != (start + size)[:-1])
                 first = start[head]
@@ -110,8 +121,8 @@ def _without(least: int):
 def without_copies(docs: DataFrame, least: int = LEAST, text: str = "text", doc_id: str = "doc_id", into: str = "copies") -> DataFrame:
     """``docs`` with a struct column ``into``: n_bytes, n_removed, n_spans, kept and spans.
 
-    Of every chunk one occurrence stays, the one whose place has the least hash, so that it is the same
-    in any order of rows; runs of other occurrences of at least ``least`` bytes go. Of equal texts the row with the least id
+    Of every chunk the first occurrence in one text stays, the one with the least hash, so that passages stay
+    whole in one text whatever the order of rows; runs of other occurrences of at least ``least`` bytes go. Of equal texts the row with the least id
     keeps what its text keeps, and the others lose all of theirs if they have ``least`` bytes; rows equal in
     id and text too count as that same row. Null texts count as empty. An empty table gives
     an empty one. Other columns pass through, whatever their names but ``into`` and those
@@ -121,12 +132,12 @@ def without_copies(docs: DataFrame, least: int = LEAST, text: str = "text", doc_
     named = docs.withColumns({"__t1": one, "__t2": two})
     texts = named.select(filled(text).alias("text"), F.col("__t1").alias("t1"), F.col("__t2").alias("t2"))
     chunks = texts.mapInArrow(_chunks, "h1 long, h2 long, t1 long, t2 long, pos long")
-    place = F.xxhash64("t1", "t2", "pos")
-    # Equal texts give equal rows here, so least and greatest differ only if a chunk really lies in two places.
-    shared = chunks.withColumn("place", place).groupBy("h1", "h2").agg(F.min("place").alias("first"), F.max("place").alias("last"))
-    shared = kept(shared.where("first < last").drop("last"), "chunks-shared")
-    copies = chunks.join(shared, ["h1", "h2"]).where(place != F.col("first"))
-    copies = copies.groupBy("t1", "t2").agg(F.collect_set("pos").alias("__copies"))
+    # Equal texts give equal rows here, so these differ only if a chunk really lies in two places.
+    ends = [F.min("t1").alias("first"), F.max("t1").alias("last"), F.min("pos").alias("low"), F.max("pos").alias("high")]
+    shared = chunks.groupBy("h1", "h2").agg(*ends).where("first < last or low < high").select("h1", "h2", "first")
+    shared = kept(shared, "chunks-shared")
+    copies = chunks.join(shared, ["h1", "h2"]).withColumn("own", F.when(F.col("t1") == F.col("first"), F.col("h1")))
+    copies = copies.groupBy("t1", "t2").agg(F.collect_set(F.struct("pos", "own")).alias("__copies"))
     first = named.groupBy("__t1", "__t2").agg(F.min(doc_id).alias("__least"), F.count("*").alias("__n")).where("__n > 1").drop("__n")
     marks = first.join(copies.select(F.col("t1").alias("__t1"), F.col("t2").alias("__t2"), "__copies"), ["__t1", "__t2"], "full")
     joined = named.join(kept(marks, "chunks-marks"), ["__t1", "__t2"], "left")
