@@ -27,14 +27,35 @@ def digests(value: Column) -> tuple[Column, Column]:
     return F.xxhash64(value), F.xxhash64(F.lit("second"), value)
 
 
+def _written(df: DataFrame, path: str) -> DataFrame:
+    out = materialise(df, path)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 def kept(df: DataFrame, label: str) -> DataFrame:
     """A written copy in the shared folder, so that lost executors cost no earlier step.
 
     Shuffle files of the steps before are only removed when the driver collects
     its garbage; asking for that here keeps executors' disks from filling.
     """
-    spark = df.sparkSession
-    out = materialise(df, scratch_path(spark, label))
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    return out
+    return _written(df, scratch_path(df.sparkSession, label))
+
+
+class Steps:
+    """Written tables that only the steps of one run need, removed once its result is written."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark = spark
+        self._paths: list[str] = []
+
+    def kept(self, df: DataFrame, label: str) -> DataFrame:
+        self._paths.append(scratch_path(self._spark, label))
+        return _written(df, self._paths[-1])
+
+    def clear(self) -> None:
+        for path in self._paths:
+            folder = self._spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(self._spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        self._paths = []

@@ -18,15 +18,23 @@ def _settled(parent: DataFrame) -> DataFrame:
             return parent
 
 
-def components(links: DataFrame) -> DataFrame:
+def _ends_at(links: DataFrame, roots: DataFrame) -> DataFrame:
+    """The links between roots that their ends have come to."""
+    for end in ("a", "b"):
+        r = roots.select(F.col("u").alias(end), F.col("p").alias("q"))
+        links = links.join(r, end, "left").withColumn(end, F.coalesce("q", end)).drop("q")
+    return kept(links.select("a", "b").where("a <> b").distinct(), "components-links")
+
+
+def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """The least member of the component of every linked node: u, p, without nodes that are their own.
 
-    ``links`` has a and b. Every node hooks to its least neighbour, trees are
-    flattened and links between the same trees drop out; components at least halve
-    in number each time. A node with very many links is only aggregated over.
+    ``links`` has a and b; ``known`` may have the result for other links, to go on from. Every
+    node hooks to its least neighbour, trees are flattened and links between the same trees drop
+    out; components at least halve in number each time. A node with very many links is
+    only aggregated over.
     """
-    links = kept(links.where("a <> b").select("a", "b").distinct(), "components-links")
-    known = None
+    links = _ends_at(links, known) if known is not None else kept(links.where("a <> b").select("a", "b").distinct(), "components-links")
     while not links.isEmpty():
         both = links.union(links.select("b", "a"))
         hooks = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("p")).where("p < u")
@@ -37,8 +45,5 @@ def components(links: DataFrame) -> DataFrame:
             r = roots.select(F.col("u").alias("p"), F.col("p").alias("q"))
             moved = known.join(r, "p", "left").select("u", F.coalesce("q", "p").alias("p"))
             known = kept(moved.union(roots).distinct(), "components-known")
-        for end in ("a", "b"):
-            r = roots.select(F.col("u").alias(end), F.col("p").alias("q"))
-            links = links.join(r, end, "left").withColumn(end, F.coalesce("q", end)).drop("q")
-        links = kept(links.select("a", "b").where("a <> b").distinct(), "components-links")
-    return known if known is not None else links.select(F.col("a").alias("u"), F.col("b").alias("p"))
+        links = _ends_at(links, roots)
+    return known if known is not None else links.select(F.col("a").alias("u"), F.col("b").alias("p"))  # none

@@ -12,11 +12,14 @@ hashed into m > H segments, so such sets agree in a segment whole, or almost who
 * m is allocated by cost: of all m > H it is the one with the fewest index rows expected,
   weighing segments against the deletion rows of the sets that would need them.
 
-Equal sets are one node from the start. A bucket is never expanded into all its pairs: a
-few leaders per bucket are compared with members of other classes, verified sets are
-merged, and only buckets that still hold several classes go on without those leaders.
-So a bucket of near copies costs one comparison each, while no pair of different
-classes is left unverified.
+Equal sets are one node from the start, and a bucket is never expanded into all its pairs. One
+member of each bucket, the one that lies in most buckets, meets the others; sets found similar are
+merged into classes, and a bucket whose other members are of one class is done. Members of the
+rest are not similar to the middle of their group, so they hold shingles that few others do:
+they are indexed by their rarest shingles, as many as they can miss of a similar set and one
+more. In these buckets, small as a rule, a number of leaders that grows by the round meets the
+members of other classes, until each bucket is of one class. So near copies cost one
+comparison each, and no pair of different classes that could be similar is left unverified.
 """
 
 from __future__ import annotations
@@ -30,12 +33,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripweave.llm import bytescan as bs
-from tripweave.llm.common import filled, kept
+from tripweave.llm.common import Steps, filled, kept
 from tripweave.llm.components import components
 from tripweave.llm.shingles import Words, shingle_sets
 
 BAND_RATIO = 1.5
-LEADERS = 16  # leaders a bucket takes in a round after the first
+FIRST_SLOTS = 256  # leaders that a bucket of rare shingles has at most in the first round
+MORE_SLOTS = 8  # times as many in each round after
 TEAM = 1000  # members compared with one leader in one task
 _DEEP = bs.U64(0x5851F42D4C957F2D)
 
@@ -199,53 +203,104 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return placed.mapInArrow(_verify(words, percent), "a long, b long")
 
 
+def _tokens(words: int):
+    """The shingles of each set."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = Words()
+        for batch in batches:
+            raw, at = bs.buffer_of(batch.column("text"))
+            names = batch.column("s").to_numpy()
+            for i, j, rows, hashes in finder.of(raw, at):
+                row, h = shingle_sets(rows, hashes, i, j, words)
+                n = np.bincount(row - i, minlength=j - i)
+                yield pa.RecordBatch.from_arrays([pa.array(names[row]), pa.array(n[row - i]), pa.array(bs.signed(h))], names=["s", "n", "h"])
+
+    return scan
+
+
+def _rare_shingles(texts: DataFrame, words: int, percent: int, steps: Steps) -> DataFrame:
+    """Index rows (key, s, n, i): the shingles of each set that are rarest among ``texts``, rarest first.
+
+    A set of n has as many as it can miss of a similar set, and one more, so similar sets meet in one.
+    """
+    tokens = steps.kept(texts.mapInArrow(_tokens(words), "s long, n long, h long"), "sets-tokens")
+    often = steps.kept(tokens.groupBy("h").agg(F.count("*").alias("f")), "sets-often")
+    ordered = tokens.join(often, "h").groupBy("s", "n").agg(F.sort_array(F.collect_list(F.struct("f", "h"))).alias("rare"))
+    length = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
+    prefix = ordered.select("s", "n", F.posexplode(F.slice("rare", F.lit(1), length)).alias("i", "t"))
+    return prefix.select(F.col("t.h").alias("key"), "s", "n", (F.col("i") + 1).alias("i"))
+
+
+def _with_class(rows: DataFrame, classes: DataFrame | None) -> DataFrame:
+    """Rows with p, the class of their set."""
+    if classes is None:
+        return rows.withColumn("p", F.col("s"))
+    named = classes.select(F.col("u").alias("s"), F.col("p").alias("q"))
+    return rows.join(named, "s", "left").withColumn("p", F.coalesce("q", "s")).drop("q")
+
+
 def linked_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Names of the sets of all documents, and the class of every set that is linked with another.
 
     ``docs`` has text, tie (tells documents apart) and t (a hash of the text). The first result has
     tie, t, n (set size) and s (set name); the second u (set name) and p (least set name of its class).
     """
+    steps = Steps(docs.sparkSession)
     docs = docs.select("text", "tie", "t")
     names = docs.mapInArrow(_names(words), f"tie {docs.schema['tie'].dataType.simpleString()}, t long, n long, s long")
     names = kept(names, "sets-names")
     index = docs.select("text").mapInArrow(_index(words, percent), "key long, s long")
     shared = index.groupBy("key").agg((F.min("s") < F.max("s")).alias("several")).where("several").select("key")
-    bucket = kept(index.join(shared, "key", "left_semi").distinct(), "sets-buckets")
+    bucket = steps.kept(index.join(steps.kept(shared, "sets-shared"), "key", "left_semi").distinct(), "sets-buckets")
 
     one = names.join(bucket.select("s").distinct(), "s", "left_semi").groupBy("s").agg(F.min(F.struct("tie", "t")).alias("one"))
     one = one.select(F.col("s").alias("one_s"), F.col("one.tie").alias("one_tie"), F.col("one.t").alias("one_t"))
     found = docs.join(one, F.col("tie").eqNullSafe(F.col("one_tie")) & (F.col("t") == F.col("one_t")))
-    texts = kept(found.select(F.col("one_s").alias("s"), "text"), "sets-texts")
-
-    links, classes, seen = None, None, None
-    leaders_each = 1
-    while not bucket.isEmpty():
-        slot = F.pmod(F.xxhash64("s", "key"), F.lit(leaders_each))
-        leaders = bucket.groupBy("key", slot.alias("slot")).agg(F.min(F.struct("s", "p") if classes is not None else F.struct("s")).alias("l"))
-        leaders = leaders.select("key", F.col("l.s").alias("leader"), *([F.col("l.p").alias("lp")] if classes is not None else []))
-        apart = F.col("leader") != F.col("s")
-        if classes is not None:
-            apart = apart & (F.col("lp") != F.col("p"))
-        pairs = bucket.join(leaders, "key").where(apart)
-        # A pair of two leaders is met from both sides: keep one order. The rest keep their leader in front.
-        both = leaders.select("key", F.col("leader").alias("s"), F.lit(True).alias("leads"))
-        pairs = pairs.join(both, ["key", "s"], "left").where("leads is null or leader < s").select("leader", "s").distinct()
-        if seen is not None:
-            done = seen.union(seen.select(F.col("s").alias("leader"), F.col("leader").alias("s")))
-            pairs = pairs.join(done, ["leader", "s"], "left_anti")
-        pairs = kept(pairs, "sets-pairs")
-        seen = pairs if seen is None else seen.union(pairs)
-        new = kept(_verified(pairs, texts, words, percent), "sets-links")
-        links = new if links is None else kept(links.union(new), "sets-links")
-        classes = components(links)
-        # Buckets go on without the leaders that have met everyone, as long as they hold several classes.
-        rest = bucket.select("key", "s").join(leaders.select("key", F.col("leader").alias("s")), ["key", "s"], "left_anti")
-        rest = rest.join(classes.select(F.col("u").alias("s"), "p"), "s", "left").select("key", "s", F.coalesce("p", "s").alias("p"))
-        rest = kept(rest, "sets-rest")
-        several = rest.groupBy("key").agg((F.min("p") < F.max("p")).alias("several")).where("several").select("key")
-        bucket = kept(rest.join(several, "key", "left_semi"), "sets-buckets")
-        leaders_each = LEADERS
-    return names, classes if classes is not None else bucket.select(F.col("s").alias("u"), F.col("s").alias("p"))
+    texts = steps.kept(found.select(F.col("one_s").alias("s"), "text"), "sets-texts")
+
+    # First round: the member of each bucket that lies in most buckets, and so nearest to the middle of its group, meets the others.
+    degree = bucket.groupBy("s").agg(F.count("*").alias("d"))
+    ranked = steps.kept(bucket.join(degree, "s"), "sets-ranked")
+    leaders = steps.kept(ranked.groupBy("key").agg(F.max(F.struct("d", "s")).alias("l")).select("key", F.col("l.s").alias("leader")), "sets-leaders")
+    met = ranked.join(leaders, "key").where("s <> leader")
+    pairs = steps.kept(met.select("leader", "s").distinct(), "sets-pairs")
+    classes = components(steps.kept(_verified(pairs, texts, words, percent), "sets-links"))
+    rest = _with_class(met.select("key", "s"), classes)
+    several = rest.groupBy("key").agg((F.min("p") < F.max("p")).alias("several")).where("several").select("key")
+    hard = rest.join(steps.kept(several, "sets-open"), "key", "left_semi").select("s").distinct()
+
+    # What is left is compared by rare shingles, bucket by bucket.
+    bucket = steps.kept(_rare_shingles(steps.kept(texts.join(hard, "s", "left_semi"), "sets-hard"), words, percent, steps), "sets-prefixes")
+    seen, slots = pairs, FIRST_SLOTS
+    while True:
+        bucket = _with_class(bucket, classes)
+        several = bucket.groupBy("key").agg((F.min("p") < F.max("p")).alias("several")).where("several").select("key")
+        bucket = steps.kept(bucket.join(steps.kept(several, "sets-open"), "key", "left_semi"), "sets-buckets")
+        if bucket.isEmpty():
+            break
+        slot = F.pmod(F.xxhash64("s", "key"), F.lit(slots))
+        chosen = bucket.groupBy("key", slot.alias("slot")).agg(F.min(F.struct("s", "p", "n", "i")).alias("l"))
+        chosen = chosen.select("key", F.col("l.s").alias("leader"), F.col("l.p").alias("lp"), F.col("l.n").alias("ln"), F.col("l.i").alias("li"))
+        chosen = steps.kept(chosen, "sets-leaders")
+        # Where this is the first shingle two sets share, they share no more than follow it in both.
+        enough = (F.least(F.col("n") - F.col("i"), F.col("ln") - F.col("li")) + 1) * (100 + percent) >= percent * (F.col("n") + F.col("ln"))
+        leading = chosen.select("key", F.col("leader").alias("s"))
+        # A pair of two leaders is met from both sides: keep one.
+        met = bucket.join(chosen, "key").where((F.col("lp") != F.col("p")) & enough)
+        met = met.join(leading.withColumn("leads", F.lit(True)), ["key", "s"], "left").where("leads is null or leader < s")
+        done = seen.union(seen.select(F.col("s").alias("leader"), F.col("leader").alias("s")))
+        pairs = steps.kept(met.select("leader", "s").distinct().join(done, ["leader", "s"], "left_anti"), "sets-pairs")
+        if not pairs.isEmpty():
+            seen = seen.union(pairs)
+            links = steps.kept(_verified(pairs, texts, words, percent), "sets-links")
+            classes = classes if links.isEmpty() else components(links, classes)
+        # The leaders have met everyone.
+        bucket = steps.kept(bucket.join(leading, ["key", "s"], "left_anti").drop("p"), "sets-rest")
+        slots *= MORE_SLOTS
+    classes = kept(classes, "sets-classes")
+    steps.clear()
+    return names, classes
 
 
 def with_components(docs: DataFrame, words: int = 3, percent: int = 90, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -260,7 +315,7 @@ def with_components(docs: DataFrame, words: int = 3, percent: int = 90, text: st
     names, classes = linked_sets(plain, words, percent)
     root = F.when(F.col("n") > 0, F.coalesce("p", "s"))
     rooted = names.join(classes, names.s == classes.u, "left").select("tie", "t", "n", root.alias("root"))
-    least = rooted.where("root is not null").groupBy("root").agg(F.min("tie").alias("least"))
+    least = kept(rooted.where("root is not null").groupBy("root").agg(F.min("tie").alias("least")), "sets-least")
     out = rooted.join(least, "root", "left")
     component = F.when(F.col("root").isNull(), F.col("tie")).otherwise(F.col("least"))
     return out.select(F.col("tie").alias(doc_id), "t", F.col("n").alias("n_shingles"), component.alias("component_id"), "root")
