@@ -34,7 +34,7 @@ def normalised(text: Column) -> Column:
 
 def unquoted(text: Column) -> Column:
     """The text without its quoted lines, and without white space around it."""
-    return F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), _QUOTED_LINES, ""), r"^\s+|\s+$", "")
+    return F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), _QUOTED_LINES, ""), r"^[ \t\n\x0B\f\r]+|[ \t\n\x0B\f\r]+$", "")
 
 
 def passages(messages: DataFrame) -> DataFrame:
@@ -111,8 +111,8 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
     ``parent_conv`` and ``parent_turn`` name the message answered, null for one that quotes nothing known; ``thread_conv``
     and ``thread_turn`` the first message of its thread, itself if it has no parent; depth counts answers from there.
     In a thread, (depth, turn) puts every message after the one it answers. Null texts count as empty; a message without
-    conversation or turn is linked with nothing. Of several messages in one place the answers of the one with the least
-    hash tell the thread of all. Equal rows are one message and each is listed. An empty table gives an empty
+    conversation or turn is linked with nothing. Of several messages in one place the one that answers the earliest
+    place tells the thread of all. Equal rows are one message and each is listed. An empty table gives an empty
     one. Other columns pass through, whatever their names but those of the result and those
     that begin with two underscores.
     """
@@ -122,7 +122,7 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
     found = kept(passages(plain.distinct()), "quote-passages")
     answers = _answers(found)
     places = plain.select("m", "conv", "turn").distinct().join(answers, "m")
-    links = places.groupBy("conv", "turn").agg(F.min(F.struct("m", "p_conv", "p_turn")).alias("one"))
+    links = places.groupBy("conv", "turn").agg(F.min(F.struct("p_conv", "p_turn")).alias("one"))
     threads = _threads(links.select("conv", "turn", F.col("one.p_conv").alias("r_conv"), F.col("one.p_turn").alias("r_turn")))
 
     counted = found.where("level > 0").groupBy("m").agg(F.count("*").alias("n_quotes"))
