@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.llm import bytescan as bs
-from tripweave.llm.common import digests, filled, kept
+from tripweave.llm.common import Steps, digests, filled, kept
 
 ANCHOR = 64
 STEP = 16
@@ -222,14 +222,15 @@ def repeated_spans(texts: DataFrame, length: int = 200, anchor: int = ANCHOR, st
     texts = texts.select("text", "t1", "t2", "tie")
     runs = texts.select("text", "t1", "t2").mapInArrow(_runs_of(length, anchor), _RUNS)
 
-    # First digit: the anchor.
+    # First digit: the anchor. Digits shared are written before they are joined, so that Spark can split a frequent one.
+    steps = Steps(texts.sparkSession)
     shared = runs.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
-    candidates = kept(runs.join(shared, "g", "left_semi"), "suffix-runs")
+    candidates = steps.kept(runs.join(steps.kept(shared, "suffix-shared"), "g", "left_semi"), "suffix-runs")
     kinds = candidates.groupBy("g", "h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("t1", "t2", "pos")).alias("one"))
-    kinds = kept(kinds, "suffix-kinds")
+    kinds = steps.kept(kinds, "suffix-kinds")
     finished = candidates.join(kinds.where("n > 1"), ["g", "h1", "h2"], "left_semi").select("t1", "t2", "pos")
     open_groups = kinds.where("n = 1").select("g").distinct()
-    again = kinds.join(open_groups, "g", "left_semi").select("one.*")
+    again = kinds.join(steps.kept(open_groups, "suffix-open"), "g", "left_semi").select("one.*")
 
     # The bytes of the runs still open, each from one copy of its text.
     one_copy = texts.groupBy("t1", "t2").agg(F.min("tie").alias("tie"))
@@ -238,30 +239,32 @@ def repeated_spans(texts: DataFrame, length: int = 200, anchor: int = ANCHOR, st
     same = (F.col("a.t1") == F.col("b.t1")) & (F.col("a.t2") == F.col("b.t2")) & F.col("a.tie").eqNullSafe(F.col("b.tie"))
     strings = a.join(b, same).select("a.text", "a.t1", "a.t2", "b.places")
     strings = strings.mapInArrow(_strings_of(length), "t1 long, t2 long, pos long, string binary")
-    strings = kept(strings.withColumn("id", F.xxhash64("t1", "t2", "pos")), "suffix-strings")
+    strings = steps.kept(strings.withColumn("id", F.xxhash64("t1", "t2", "pos")), "suffix-strings")
 
     # Second digit: what a stretch of suffixes has in common.
-    steps = strings.select("string", "id", "t1", "t2", "pos").mapInArrow(
+    stretched = strings.select("string", "id", "t1", "t2", "pos").mapInArrow(
         _steps_of(length, step), "g long, h1 long, h2 long, id long, run long, t1 long, t2 long, pos long"
     )
-    shared = steps.groupBy("g").agg(_several("id").alias("several")).where("several").select("g")
-    stretches = kept(steps.join(shared, "g", "left_semi"), "suffix-stretches")
+    shared = stretched.groupBy("g").agg(_several("id").alias("several")).where("several").select("g")
+    stretches = steps.kept(stretched.join(steps.kept(shared, "suffix-shared"), "g", "left_semi"), "suffix-stretches")
     kinds = stretches.groupBy("g", "h1", "h2").agg(_several("id").alias("several"), F.min("id").alias("id"))
-    kinds = kept(kinds, "suffix-stretch-kinds")
+    kinds = steps.kept(kinds, "suffix-stretch-kinds")
     finished_steps = stretches.join(kinds.where("several"), ["g", "h1", "h2"], "left_semi").select("t1", "t2", "pos")
     open_groups = kinds.where("not several").select("g").distinct()
-    again = kinds.join(open_groups, "g", "left_semi").select("g", "id")
-    places = stretches.join(again, ["g", "id"], "left_semi").groupBy("run").agg(F.collect_set("pos").alias("places"))
+    again = kinds.join(steps.kept(open_groups, "suffix-open"), "g", "left_semi").select("g", "id")
+    places = stretches.join(steps.kept(again, "suffix-again"), ["g", "id"], "left_semi").groupBy("run").agg(F.collect_set("pos").alias("places"))
 
     # Last digit: the whole string.
     windows = strings.join(places, strings.id == places.run).select("string", "t1", "t2", "pos", "places")
     windows = windows.mapInArrow(_windows_of(length), "h1 long, h2 long, id long, t1 long, t2 long, pos long")
-    windows = kept(windows, "suffix-windows")
+    windows = steps.kept(windows, "suffix-windows")
     shared = windows.groupBy("h1", "h2").agg(_several("id").alias("several")).where("several").select("h1", "h2")
-    single = windows.join(shared, ["h1", "h2"], "left_semi").select("t1", "t2", "pos")
+    single = windows.join(steps.kept(shared, "suffix-shared"), ["h1", "h2"], "left_semi").select("t1", "t2", "pos")
 
     found = finished.union(finished_steps).union(single)
-    return found.groupBy("t1", "t2").agg(F.collect_set("pos").alias("places"))
+    places = kept(found.groupBy("t1", "t2").agg(F.collect_set("pos").alias("places")), "suffix-places")
+    steps.clear()
+    return places
 
 
 def _remaining(length: int):
@@ -324,3 +327,13 @@ def op2_suffix_dedup(docs: DataFrame) -> DataFrame:
         F.col("repeats.n_spans").alias("n_spans"),
         F.sha2(F.col("repeats.kept"), 256).alias("kept_sha256"),
     )
+
+
+def as_text(value: Column) -> Column:
+    """UTF-8 bytes as text, without the rest of characters that were cut."""
+
+    @F.arrow_udf("string")
+    def decoded(values: pa.Array) -> pa.Array:
+        return pa.array([None if v.as_py() is None else v.as_py().decode("utf-8", "ignore") for v in values], pa.string())
+
+    return decoded(value)
