@@ -10,8 +10,19 @@ def _round(x: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,20)), {digits}) AS DOUBLE)"
 
 
-def _mean(x: str, digits: int = 2) -> str:
-    return f"CASE WHEN count({x}) > 0 THEN {_round(f'sum({x})', digits)} / count({x}) END"
+def _exact(x: str) -> str:
+    """The sum of doubles as decimals of ten digits."""
+    return f"sum(CAST(CAST({x} AS VARCHAR) AS DECIMAL(28,10)))"
+
+
+def _total(x: str, digits: int = 2) -> str:
+    return f"CAST(round({_exact(x)}, {digits}) AS DOUBLE)"
+
+
+def _mean(x: str) -> str:
+    """The exact sum over the count, half up at six digits, by whole numbers."""
+    whole = f"CAST({_exact(x)} * 10000000000 AS HUGEINT)"
+    return f"CASE WHEN count({x}) > 0 THEN sign({whole}) * CAST((2 * abs({whole}) + 10000 * count({x})) // (20000 * count({x})) AS DOUBLE) / 1000000 END"
 
 
 _FIELDS = "ride_id, event_time, ingest_time, dropoff_time, pickup_zone, dropoff_zone, distance_km, fare_usd, payment_type"
@@ -40,12 +51,12 @@ bounds AS (
   SELECT min(event_time) AS t0, min(event_time) + INTERVAL 1 DAY AS t1 FROM trips WHERE treated = 'No'
 )"""
 _WINDOW_COLUMNS = f"""
-    count(*) AS trips, {_round('sum(fare_usd)', 2)} AS revenue_usd, {_round('sum(distance_km)', 2)} AS distance_km,
+    count(*) AS trips, {_total('fare_usd')} AS revenue_usd, {_total('distance_km')} AS distance_km,
     {_mean('fare_usd')} AS avg_fare_usd"""
-_DAILY = f"""WITH {_CLEANED}
-SELECT CAST(date_trunc('day', event_time) AS TIMESTAMP) AS window_start,
+_DAYS = f"""SELECT CAST(date_trunc('day', event_time) AS TIMESTAMP) AS window_start,
        CAST(date_trunc('day', event_time) AS TIMESTAMP) + INTERVAL 1 DAY AS window_end, {_WINDOW_COLUMNS}
 FROM cleaned GROUP BY 1, 2"""
+_DAILY = f"WITH {_CLEANED} {_DAYS}"
 
 # Delays in whole microseconds of event time: the least delay is 0.05 s * 1440.
 _SCHEDULE = """
@@ -155,6 +166,42 @@ ORACLES: dict[str, str] = {
         SELECT ride_id, event_time, CASE WHEN event_time BETWEEN t0 AND t1 THEN 'Yes' ELSE treated END AS treated FROM trips, bounds""",
     "backfill_range": f"""WITH {TRIPS_SQL} SELECT * FROM trips
         WHERE event_time >= TIMESTAMP '2024-01-05' AND event_time < TIMESTAMP '2024-01-08'""",
+    "daily_batch_all": f"WITH {_ENRICHED} SELECT * EXCLUDE (treated), strftime(event_time, '%Y-%m-%d') AS event_date FROM enriched",
+    "daily_batch_with_late_batch": f"""WITH {_ENRICHED},
+        parts AS (SELECT *, treated = 'No' AND CAST(ride_id AS BIGINT) % 5 = 0 AS late FROM enriched),
+        first_run AS (SELECT min(event_time) AS t0, min(event_time) + INTERVAL 1 DAY AS t1 FROM parts WHERE treated = 'No' AND NOT late),
+        second_run AS (
+          SELECT min(event_time) AS t0, min(event_time) + INTERVAL 1 DAY AS t1 FROM parts, first_run f
+          WHERE treated = 'No' AND (late OR NOT event_time BETWEEN f.t0 AND f.t1)
+        )
+        SELECT p.* EXCLUDE (treated, late), strftime(event_time, '%Y-%m-%d') AS event_date FROM parts p, first_run f, second_run s
+        WHERE NOT late AND event_time BETWEEN f.t0 AND f.t1 OR event_time BETWEEN s.t0 AND s.t1""",
+    "scan_trips_mixed": f"""WITH {RAW_TRIPS_SQL}
+        SELECT * REPLACE (CASE WHEN event_id % 2 = 0 THEN payment_type END AS payment_type,
+                          CASE WHEN event_id % 2 = 1 THEN trip_distance END AS trip_distance) FROM raw_trips""",
+    "payload_map_times": f"""WITH {RAW_TRIPS_SQL}
+        SELECT CAST(event_id AS VARCHAR) AS ride_id, tpep_pickup_datetime AS event_time, tpep_dropoff_datetime AS dropoff_time
+        FROM raw_trips WHERE tpep_pickup_datetime IS NOT NULL""",
+    "sort_order": f"WITH {TRIPS_SQL} SELECT count(*) AS rows, 0::BIGINT AS out_of_order FROM trips",
+    "sample_to_target": f"""WITH {TRIPS_SQL}
+        SELECT count(*) AS table_rows, 0::BIGINT AS outside, 0::BIGINT AS twice, true AS near_target FROM trips""",
+    "quarantined_text": f"""{_MESSAGES.replace('SELECT ride_id AS key', 'SELECT ride_id AS key, event_time, ingest_time', 1).replace('WITH ', 'WITH m AS (WITH ', 1)}),
+        kinds AS (
+          SELECT CAST(key AS BIGINT) % 10 AS kind, value, '"event_time":"' || {_iso('event_time')} || '"' AS event,
+                 '"ingest_time":"' || {_iso('ingest_time')} || '"' AS ingest
+          FROM m
+        )
+        SELECT CASE kind WHEN 0 THEN 'no json at all' WHEN 1 THEN substr(value, 1, 40) WHEN 2 THEN '{{}}'
+                 WHEN 4 THEN replace(value, event, '"event_time":"NaT"') WHEN 5 THEN replace(value, ingest, '"ingest_time":null') END AS raw,
+               CASE kind WHEN 2 THEN 'missing: ride_id,event_time,ingest_time,dropoff_time' WHEN 3 THEN 'empty'
+                 WHEN 5 THEN 'missing: ingest_time' ELSE 'malformed' END AS reject_reason
+        FROM kinds WHERE kind < 6""",
+    "stream_two_topics": f"""WITH {_CLEANED}
+        SELECT * EXCLUDE (treated), 'No' AS treated, strftime(event_time, '%Y-%m-%d') AS event_date FROM cleaned""",
+    "stream_closed_windows": f"""WITH {_CLEANED},
+        days AS ({_DAYS})
+        SELECT * FROM days WHERE window_end <= (SELECT max(event_time) - INTERVAL 1 HOUR FROM cleaned)""",
+    "stream_clean_interval": _ALL_CLEANED,
     "daily_batch_warehouse": f"""WITH {_ENRICHED}, {_BOUNDS},
         next_bounds AS (
           SELECT min(event_time) AS t0, min(event_time) + INTERVAL 1 DAY AS t1 FROM trips, bounds
@@ -168,8 +215,8 @@ ORACLES: dict[str, str] = {
     "sort_by_event_time": f"WITH {TRIPS_SQL} SELECT * FROM trips ORDER BY event_time, ride_id",
     "first_n_trips": f"WITH {TRIPS_SQL} SELECT * FROM trips ORDER BY event_time, ride_id LIMIT 1000",
     "sample_hash": f"""WITH {TRIPS_SQL} SELECT * FROM trips
-        WHERE CAST(CAST('0x' || substr(md5(ride_id), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0::DOUBLE
-              < 1000.0::DOUBLE / (SELECT count(*) FROM trips)""",
+        WHERE CAST(CAST('0x' || substr(md5(ride_id), 1, 15) AS BIGINT) AS HUGEINT) * (SELECT count(*) FROM trips)
+              < 1000::HUGEINT * 1152921504606846976""",
     "union_trip_parts": _ALL_TRIPS,
     "inter_arrival_gap": f"WITH {TRIPS_SQL}, {_SCHEDULE} SELECT ride_id, event_time, gap_s FROM schedule",
     "replay_delay": f"WITH {TRIPS_SQL}, {_SCHEDULE} SELECT ride_id, event_time, delay_s FROM schedule",
@@ -190,7 +237,7 @@ ORACLES: dict[str, str] = {
     "ingest_lag": f"""WITH {TRIPS_SQL},
         lags AS (SELECT CAST(date_trunc('day', event_time) AS TIMESTAMP) AS window_start,
                         (epoch_us(ingest_time) - epoch_us(event_time)) / 1000000 AS lag_s FROM trips)
-        SELECT window_start, count(*) AS trips, min(lag_s) AS min_lag_s, max(lag_s) AS max_lag_s, {_mean('lag_s', 6)} AS avg_lag_s
+        SELECT window_start, count(*) AS trips, min(lag_s) AS min_lag_s, max(lag_s) AS max_lag_s, {_mean('lag_s')} AS avg_lag_s
         FROM lags GROUP BY 1""",
     "freshness": f"""WITH {TRIPS_SQL}
         SELECT max(event_time) AS latest_event,
@@ -199,6 +246,16 @@ ORACLES: dict[str, str] = {
         FROM trips""",
     "upsert_latest": _UPDATED,
     "upsert_table": _UPDATED,
+    "upsert_new_column": f"""WITH {TRIPS_SQL},
+        both_versions AS (
+          SELECT *, NULL::BIGINT AS fare_band, 0 AS src FROM trips
+          UNION ALL
+          SELECT * REPLACE (ingest_time + to_minutes(CAST(dropoff_zone AS BIGINT) - 50) AS ingest_time, fare_usd + 1 AS fare_usd),
+                 CAST(floor((fare_usd + 1) / 10) AS BIGINT) AS fare_band, 1 AS src
+          FROM trips WHERE CAST(ride_id AS BIGINT) % 2 = 0
+        )
+        SELECT * EXCLUDE (src) FROM both_versions
+        QUALIFY row_number() OVER (PARTITION BY ride_id ORDER BY ingest_time DESC, src DESC) = 1""",
     "stream_upsert": f"{_WITH_UPDATED} SELECT * EXCLUDE (treated) FROM updated",
     "dq_not_null": f"WITH {_CLEANED} " + _failures("cleaned", {c: f"{c} IS NULL" for c in ("ride_id", "event_time", "fare_usd", "payment_type")}),
     "dq_unique": "SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem GROUP BY ALL HAVING count(*) > 1",
@@ -211,7 +268,7 @@ ORACLES: dict[str, str] = {
     "fact_trips": f"WITH {_FACTS} SELECT * FROM facts",
     "kpi_daily": f"""WITH {_FACTS}
         SELECT event_date, pickup_borough, count(*) AS trips, count(*) FILTER (WHERE fare_usd IS NULL) AS trips_without_fare,
-               {_round('sum(fare_usd)', 2)} AS revenue_usd, {_mean('distance_km')} AS avg_distance_km,
-               {_mean('fare_per_km', 3)} AS avg_fare_per_km, {_mean('avg_speed_kmh')} AS avg_speed_kmh
+               {_total('fare_usd')} AS revenue_usd, {_mean('distance_km')} AS avg_distance_km,
+               {_mean('fare_per_km')} AS avg_fare_per_km, {_mean('avg_speed_kmh')} AS avg_speed_kmh
         FROM facts GROUP BY 1, 2""",
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,6 +65,14 @@ def scan_trips_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.scan_trips(spark, path, RAW_TRIP)
 
 
+def scan_trips_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts with different columns: even events lack the distance and odd ones the payment type."""
+    path, raw = scratch_path(spark, "raw-trips"), fx.raw_trips(spark, sf_dir)
+    for left, missing in ((0, "trip_distance"), (1, "payment_type")):
+        raw.where(F.col("event_id") % 2 == left).drop(missing).write.mode("append").parquet(path)
+    return files.scan_trips(spark, path)
+
+
 def parquet_overwrite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "overwritten")
     files.write_parquet(fx.updates(spark, sf_dir), path)
@@ -97,6 +105,15 @@ def payload_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payload.to_trips(fx.raw_trips(spark, sf_dir), key_field="event_id", ingest_time=instant(INGEST))
 
 
+def payload_map_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event times as whole nanoseconds and drop-off times as text."""
+    raw = fx.raw_trips(spark, sf_dir)
+    nanos = F.unix_micros("tpep_pickup_datetime") * 1000 + F.col("event_id") % 1000
+    text = F.date_format("tpep_dropoff_datetime", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    told = raw.withColumns({"tpep_pickup_datetime": nanos, "tpep_dropoff_datetime": text})
+    return payload.to_trips(told, key_field="event_id").select("ride_id", "event_time", "dropoff_time")
+
+
 def key_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payload.to_trips(fx.raw_trips(spark, sf_dir)).select("ride_id", "event_time")
 
@@ -118,6 +135,10 @@ def parse_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _outcomes(checked.select(F.coalesce("reject_reason", F.lit("accepted")).alias("outcome")))
 
 
+def quarantined_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return messages.quarantined(messages.decode_checked(fx.spoilt_messages(messages.encode(fx.trips(spark, sf_dir)))))
+
+
 def _outcomes(outcomes: DataFrame) -> DataFrame:
     return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("messages"))
 
@@ -203,6 +224,34 @@ def daily_batch_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(warehouse).drop("treated")
 
 
+def daily_batch_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The warehouse after one day was run and then the whole range again."""
+    staging, warehouse = _staged(spark, sf_dir), scratch_path(spark, "warehouse")
+    daily_batch.run_day(spark, staging, warehouse)
+    daily_batch.backfill(spark, staging, warehouse, datetime(1900, 1, 1), datetime(2200, 1, 1))
+    return spark.read.parquet(warehouse).drop("treated")
+
+
+def daily_batch_with_late_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The warehouse after two runs, where a fifth of the untreated trips lands while the first one works."""
+    staging, warehouse = scratch_path(spark, "staging"), scratch_path(spark, "warehouse")
+    trips = tables.with_event_date(_cleaned(spark, sf_dir))
+    late = (F.col("treated") == treatment.UNTREATED) & (F.col("ride_id").cast("long") % 5 == 0)
+
+    def land(rows: DataFrame, batch: int) -> None:
+        by = [tables.EVENT_DATE, jobs.BATCH_ID]
+        tables.replace_partitions(tables.gathered(rows.withColumn(jobs.BATCH_ID, F.lit(batch)), by), staging, by)
+
+    def land_late(enriched: DataFrame) -> DataFrame:
+        land(trips.where(late), 1)
+        return enriched
+
+    land(trips.where(~late), 0)
+    daily_batch.run_day(spark, staging, warehouse, [*enrich.DEFAULT_CHAIN, land_late])
+    daily_batch.run_day(spark, staging, warehouse)
+    return spark.read.parquet(warehouse).drop("treated")
+
+
 def daily_batch_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The staging flags after one day was run."""
     staging = _staged(spark, sf_dir)
@@ -221,12 +270,38 @@ def sort_by_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordering.sort_by_event_time(fx.trips(spark, sf_dir))
 
 
+def sort_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the sorted table that come before their predecessor: none."""
+    order = F.struct("event_time", "ride_id")
+    placed = ordering.sort_by_event_time(fx.trips(spark, sf_dir)).select(
+        order.alias("key"), F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place")
+    )
+    path = scratch_path(spark, "sorted")
+    files.write_parquet(placed, path)
+    written = spark.read.parquet(path)
+    inside = written.withColumn("before", F.lag("key").over(Window.partitionBy("part").orderBy("place")))
+    parts = inside.groupBy("part").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("before") > F.col("key")).alias("wrong"), F.min("key").alias("low"), F.max("key").alias("high")
+    )
+    # One row for each part of the sorted table.
+    between = parts.withColumn("border", F.lag("high").over(Window.orderBy("part")) > F.col("low"))
+    return between.agg(F.sum("rows").alias("rows"), F.sum(F.col("wrong") + F.coalesce(F.col("border").cast("long"), F.lit(0))).alias("out_of_order"))
+
+
 def first_n_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordering.first_n(fx.trips(spark, sf_dir), 1000)
 
 
 def sample_to_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.sample_to_target(fx.trips(spark, sf_dir), seed=42)
+    """What must hold of a random sample: all of it in the table, none twice, its size near the target of 1000."""
+    trips = fx.trips(spark, sf_dir)
+    sample = sampling.sample_to_target(trips, seed=42).select("ride_id").withColumn("sampled", F.lit(1))
+    both = trips.select("ride_id").withColumn("held", F.lit(1)).unionByName(sample, allowMissingColumns=True)
+    each = both.groupBy("ride_id").agg(F.count("held").alias("held"), F.count("sampled").alias("sampled"))
+    rows, taken = F.sum("held"), F.sum("sampled")
+    near = F.abs(taken - F.least(rows, F.lit(sampling.SAMPLE_ROWS))) <= 200
+    outside, twice = F.count_if((F.col("sampled") > 0) & (F.col("held") == 0)), F.count_if(F.col("sampled") > F.greatest("held", F.lit(1)))
+    return each.agg(rows.alias("table_rows"), outside.alias("outside"), twice.alias("twice"), near.alias("near_target"))
 
 
 def sample_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,8 +345,18 @@ def emit_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _topic(spark: SparkSession, trips: DataFrame) -> DataFrame:
     """A stream of the trips as messages, taken in several batches."""
     path = scratch_path(spark, "topic")
-    topics.publish(messages.encode(trips).repartition(4), "parquet", path)
-    return topics.read_topic(spark, "parquet", path, maxFilesPerTrigger="2")
+    topics.publish(_dealt(messages.encode(trips)), "parquet", path)
+    return topics.read_topic(spark, "parquet", path, maxFilesPerTrigger=_files(spark, 2))
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Spread over as many tasks as a shuffle has, in any scale."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _files(spark: SparkSession, batches: int) -> str:
+    """Files per micro-batch, so that a table dealt out takes about so many batches."""
+    return str(-(-int(spark.conf.get("spark.sql.shuffle.partitions")) // batches))
 
 
 def _appended(spark: SparkSession, rows: DataFrame) -> DataFrame:
@@ -295,12 +380,30 @@ def stream_to_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).drop(jobs.BATCH_ID)
 
 
+def stream_clean_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by a trigger of fixed intervals."""
+    path, rows = scratch_path(spark, "stream-out"), jobs.clean_stream(_topic(spark, fx.trips(spark, sf_dir)))
+    query = jobs.append_stream(rows, path, scratch_path(spark, "stream-state"), interval="1 second")
+    query.processAllAvailable()
+    query.stop()
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def stream_two_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two topics, each with a stream of its own, into one staging table."""
+    path, trips = scratch_path(spark, "staging"), fx.trips(spark, sf_dir)
+    for left in range(2):
+        topic = _topic(spark, trips.where(F.col("ride_id").cast("long") % 2 == left))
+        jobs.stream_to_staging(topic, path, scratch_path(spark, "stream-state"), interval=None).awaitTermination()
+    return spark.read.parquet(path).drop(jobs.BATCH_ID)
+
+
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A topic with all trips and then a correction of each, merged batch by batch."""
     topic, table = scratch_path(spark, "topic"), scratch_path(spark, "warehouse")
     for trips in (fx.trips(spark, sf_dir), fx.updates(spark, sf_dir)):
-        topics.publish(messages.encode(trips).repartition(4), "parquet", topic)
-    stream = messages.decode(topics.read_topic(spark, "parquet", topic, maxFilesPerTrigger="4"))
+        topics.publish(_dealt(messages.encode(trips)), "parquet", topic)
+    stream = messages.decode(topics.read_topic(spark, "parquet", topic, maxFilesPerTrigger=_files(spark, 1)))
     state = scratch_path(spark, "stream-state")
     jobs.foreach_batch(stream, jobs.upsert_sink(table), state, interval=None).awaitTermination()
     return spark.read.parquet(table).drop(tables.EVENT_DATE)
@@ -309,8 +412,8 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcomes of spoilt messages in a stream."""
     staging, bad, source = (scratch_path(spark, label) for label in ("staging", "quarantine", "topic"))
-    topics.publish(fx.spoilt_messages(messages.encode(fx.trips(spark, sf_dir))).repartition(4), "parquet", source)
-    stream = topics.read_topic(spark, "parquet", source, maxFilesPerTrigger="2")
+    topics.publish(_dealt(fx.spoilt_messages(messages.encode(fx.trips(spark, sf_dir)))), "parquet", source)
+    stream = topics.read_topic(spark, "parquet", source, maxFilesPerTrigger=_files(spark, 2))
     jobs.stream_with_quarantine(stream, staging, bad, scratch_path(spark, "stream-state"), interval=None).awaitTermination()
     good = spark.read.parquet(staging).select(F.lit("accepted").alias("outcome"))
     return _outcomes(good.unionByName(spark.read.parquet(bad).select(F.col("reject_reason").alias("outcome"))))
@@ -320,15 +423,24 @@ def stream_daily_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "windows")
     cleaned = jobs.clean_stream(_topic(spark, fx.trips(spark, sf_dir)))
     jobs.stream_daily_window(cleaned, path, scratch_path(spark, "stream-state"), interval=None).awaitTermination()
-    return jobs.latest_version(spark.read.parquet(path))
+    return spark.read.parquet(path).drop(jobs.WINDOW)
 
 
-def _landed(spark: SparkSession, trips: DataFrame) -> DataFrame:
-    """The trips as a stream in event order."""
+def _landed(spark: SparkSession, trips: DataFrame, step: timedelta = LANDING_STEP) -> DataFrame:
+    """The trips as a stream in event order, about two steps to a micro-batch."""
     by_date, landing = scratch_path(spark, "by-date"), scratch_path(spark, "landing")
     tables.write_table(tables.with_event_date(trips), by_date)
-    replay.land_in_event_order(spark.read.parquet(by_date), landing, LANDING_STEP)
-    return replay.replay_stream(spark, landing, tables.with_event_date(trips), files_per_batch=16).drop(tables.EVENT_DATE)
+    slices = replay.land_in_event_order(spark.read.parquet(by_date), landing, step)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(landing).select("path").count()
+    pace = max(1, 2 * files // max(1, slices))
+    return replay.replay_stream(spark, landing, tables.with_event_date(trips), files_per_batch=pace).drop(tables.EVENT_DATE)
+
+
+def stream_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily windows in append mode: each once, when the watermark has passed its end."""
+    path, rows = scratch_path(spark, "windows"), enrich.clean_trips(_landed(spark, fx.trips(spark, sf_dir).drop("treated"), timedelta(days=1)))
+    jobs.append_closed_windows(rows, path, scratch_path(spark, "stream-state"), interval=None).awaitTermination()
+    return spark.read.parquet(path)
 
 
 def replay_as_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -336,8 +448,11 @@ def replay_as_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each trip and a later, dearer copy of it: the first stays."""
     trips = fx.trips(spark, sf_dir)
-    return _appended(spark, jobs.dedup_stream(_landed(spark, trips.unionByName(trips)), watermark="6 days"))
+    later = F.timestamp_micros(F.unix_micros("event_time") + F.lit(16 * 86_400_000_000))
+    copies = trips.withColumns({"event_time": later, "fare_usd": F.col("fare_usd") + 1})
+    return _appended(spark, jobs.dedup_stream(_landed(spark, trips.unionByName(copies)), watermark="30 days"))
 
 
 # Aggregates, versions, quality, models
@@ -372,6 +487,15 @@ def upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).drop(tables.EVENT_DATE)
 
 
+def upsert_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table gains a column with the corrections of every other trip."""
+    path, updates = scratch_path(spark, "warehouse"), fx.updates(spark, sf_dir)
+    tables.upsert_table(fx.trips(spark, sf_dir), path)
+    newer = updates.where(F.col("ride_id").cast("long") % 2 == 0).withColumn("fare_band", F.floor(F.col("fare_usd") / 10).cast("long"))
+    tables.upsert_table(newer, path)
+    return tables.read_table(spark, path).drop(tables.EVENT_DATE)
+
+
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.not_null(_cleaned(spark, sf_dir), ["ride_id", "event_time", "fare_usd", "payment_type"])
 
@@ -403,14 +527,14 @@ def kpi_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 ALL: dict[str, Query] = {
     q.__name__: q
     for q in (
-        scan_trips_glob, scan_trips_schema, parquet_overwrite_roundtrip, csv_source_roundtrip, jdbc_read_ranges,
-        payload_map, key_fallback, drop_null_event_time, encode_wire, decode_wire, parse_quarantine, accepted_messages,
+        scan_trips_glob, scan_trips_schema, scan_trips_mixed, parquet_overwrite_roundtrip, csv_source_roundtrip, jdbc_read_ranges,
+        payload_map, payload_map_times, key_fallback, drop_null_event_time, encode_wire, decode_wire, parse_quarantine, quarantined_text, accepted_messages,
         clean_trips, trip_duration, fare_metrics, avg_speed, time_features, enrich_trips, enrich_lineitem, custom_transform,
-        untreated_min, untreated_day, mark_treated, backfill_range, daily_batch_warehouse, daily_batch_staging,
-        row_count, sort_by_event_time, first_n_trips, sample_to_target, sample_hash, union_trip_parts,
+        untreated_min, untreated_day, mark_treated, backfill_range, daily_batch_warehouse, daily_batch_all, daily_batch_with_late_batch, daily_batch_staging,
+        row_count, sort_by_event_time, sort_order, first_n_trips, sample_to_target, sample_hash, union_trip_parts,
         inter_arrival_gap, replay_delay, replay_schedule, replay_schedule_lineitem, emit_offsets,
-        stream_source, stream_clean, stream_to_staging, stream_quarantine, stream_upsert, stream_daily_window, replay_as_stream, stream_dedup,
-        daily_window, hourly_zone_kpi, ingest_lag, freshness, upsert_latest, upsert_table,
+        stream_source, stream_clean, stream_clean_interval, stream_to_staging, stream_two_topics, stream_quarantine, stream_upsert, stream_daily_window, stream_closed_windows, replay_as_stream, stream_dedup,
+        daily_window, hourly_zone_kpi, ingest_lag, freshness, upsert_latest, upsert_table, upsert_new_column,
         dq_not_null, dq_unique, dq_range, dq_business_rules, dim_zone, fact_trips, kpi_daily,
     )
 }

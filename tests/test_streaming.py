@@ -91,15 +91,36 @@ def test_interval_trigger_runs(spark, tmp_path):
     assert spark.read.parquet(staging).count() == 6
 
 
-def test_complete_windows_keep_late_trips(spark, tmp_path):
+def test_windows_keep_late_trips(spark, tmp_path):
     newer, older = some_trips(spark, 60), frame(spark, [trip("late", T0 - 5 * DAY)])
     stream, path = topic(spark, tmp_path, newer)
     out, state = str(tmp_path / "win"), str(tmp_path / "ck")
     jobs.stream_daily_window(jobs.clean_stream(stream), out, state, interval=None).awaitTermination()
     topics.publish(messages.encode(older), "parquet", path)
     jobs.stream_daily_window(jobs.clean_stream(stream), out, state, interval=None).awaitTermination()
-    got = rows_of(jobs.latest_version(spark.read.parquet(out)))
-    assert got == rows_of(aggregates.daily_window(enrich.clean_trips(newer.unionByName(older))))
+    got = spark.read.parquet(out)
+    assert rows_of(got.drop(jobs.WINDOW)) == rows_of(aggregates.daily_window(enrich.clean_trips(newer.unionByName(older))))
+    assert len(got.inputFiles()) == got.count()  # older results are gone
+
+
+def test_a_new_checkpoint_gives_the_newest_windows(spark, tmp_path):
+    out, fares = str(tmp_path / "win"), {}
+    for run, fare in enumerate((1.0, 2.0)):
+        stream, _ = topic(spark, tmp_path, frame(spark, [trip("a", fare=fare), trip("b", fare=fare)]), f"topic{run}")
+        jobs.stream_daily_window(jobs.clean_stream(stream), out, str(tmp_path / f"ck{run}"), interval=None).awaitTermination()
+        fares[fare] = [r.revenue_usd for r in spark.read.parquet(out).collect()]
+    assert fares == {1.0: [2.0], 2.0: [4.0]}
+
+
+def test_streams_that_share_a_table_leave_each_other_alone(spark, tmp_path):
+    staging, bad = str(tmp_path / "stg"), str(tmp_path / "bad")
+    for run in "xy":
+        stream, path = topic(spark, tmp_path, frame(spark, [trip(run)]), "topic" + run)
+        junk = spark.createDataFrame([(run, "junk " + run)], "key string, value string").selectExpr("binary(key) key", "binary(value) value")
+        topics.publish(junk, "parquet", path)
+        jobs.stream_with_quarantine(stream, staging, bad, str(tmp_path / run), interval=None).awaitTermination()
+    assert sorted(r.ride_id for r in spark.read.parquet(staging).collect()) == ["x", "y"]
+    assert sorted(r.raw for r in spark.read.parquet(bad).collect()) == ["junk x", "junk y"]
 
 
 def test_append_windows_close_behind_the_watermark(spark, tmp_path):
@@ -123,7 +144,18 @@ def test_replay_lands_whole_days_in_order(spark, tmp_path):
     by_file = stamped.groupBy("file_modification_time").agg(F.min(F.to_date("event_time")).alias("a"), F.max(F.to_date("event_time")).alias("b"))
     days = [(r.a, r.b) for r in by_file.orderBy("file_modification_time").collect()]
     assert days == sorted(days) and all(a == b for a, b in days)
-    assert rows_of(spark.read.parquet(landing).drop("event_date")) == rows_of(trips)
+    assert rows_of(spark.read.parquet(landing).drop("event_date", replay.SLICE)) == rows_of(trips)
+
+
+def test_a_landing_skips_empty_days_and_can_be_run_again(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    trips = some_trips(spark, 30).unionByName(frame(spark, [trip("stray", T0 - 8000 * DAY)]))
+    assert replay.land_in_event_order(trips, landing) == 3
+    files = set(spark.read.parquet(landing).inputFiles())
+    assert replay.land_in_event_order(trips, landing) == 3
+    again = spark.read.parquet(landing)
+    assert rows_of(again.drop(replay.SLICE)) == rows_of(trips)
+    assert len(files & set(again.inputFiles())) == len(files) - len([f for f in files if f"slice={again.agg(F.max(replay.SLICE)).first()[0]}" in f])
     assert replay.land_in_event_order(trips.where(F.lit(False)), str(tmp_path / "none")) == 0
 
 
@@ -206,11 +238,14 @@ def test_a_run_that_dies_before_the_mark_can_be_repeated(spark, tmp_path, monkey
 def test_marking_leaves_later_batches_alone(spark, tmp_path):
     staging, warehouse = str(tmp_path / "stg"), str(tmp_path / "wh")
     jobs.staging_sink(staging)(some_trips(spark, 24), 0)
-    bounds = treatment.untreated_bounds(spark.read.parquet(staging))
+    seen = spark.read.parquet(staging)
+    bounds = treatment.untreated_bounds(seen)
     jobs.staging_sink(staging)(frame(spark, [trip("late", T0 + timedelta(minutes=1))]), 1)
-    daily_batch.mark_day(spark, staging, bounds)
+    daily_batch.mark_day(seen, staging, bounds)
     table = spark.read.parquet(staging)
-    assert table.count() == 25 and table.where("treated = 'Yes'").count() == 25
+    assert table.count() == 25 and [r.ride_id for r in table.where("treated = 'No'").collect()] == ["late"]
+    run_all(spark, staging, str(tmp_path / "wh"))
+    assert "late" in {r.ride_id for r in spark.read.parquet(str(tmp_path / "wh")).collect()}
 
 
 def test_a_trip_without_a_key_is_stored_once(spark, tmp_path):

@@ -1,6 +1,8 @@
 import os
+import shutil
 from datetime import timedelta
 
+import pytest
 from helpers import T0, frame, plan_of, rows_of, trip
 from pyspark.sql import functions as F
 
@@ -102,3 +104,34 @@ def test_no_updates_change_nothing(spark, tmp_path):
     tables.upsert_table(frame(spark, [trip("a", T0)]), path)
     tables.upsert_table(frame(spark, [trip("a", T0)]).where(F.lit(False)), path)
     assert read(spark, path).count() == 1
+
+
+def test_a_swap_that_died_is_finished_by_the_next_run(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "wh")
+    days = [T0 + timedelta(days=d) for d in range(3)]
+    tables.upsert_table(frame(spark, [trip(str(d), t) for d, t in enumerate(days)]), path)
+    newer = frame(spark, [trip(str(d), t, ingest=t + timedelta(hours=1), fare=99.0) for d, t in enumerate(days)])
+    replace = tables.replace_partitions
+
+    def half(df, where, by):
+        # One date is replaced and another deleted before the run dies.
+        replace(df.where(F.col("event_date") == days[0].date()), where, by)
+        shutil.rmtree(f"{where}/event_date={days[1].date()}")
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "replace_partitions", half)
+        with pytest.raises(OSError):
+            tables.upsert_table(newer, path)
+    assert spark.read.parquet(path).count() == 2
+    tables.upsert_table(newer, path)
+    assert rows_of(spark.read.parquet(path).drop("event_date")) == rows_of(newer)
+
+
+def test_columns_of_either_side_are_kept(spark, tmp_path):
+    path = str(tmp_path / "wh")
+    tables.upsert_table(frame(spark, [trip("a"), trip("b", T0 + timedelta(days=3))]), path)
+    tables.upsert_table(frame(spark, [trip("c")]).withColumn("band", F.lit(7)), path)
+    tables.upsert_table(frame(spark, [trip("d")]), path)
+    got = {r.ride_id: r.band for r in tables.read_table(spark, path).collect()}
+    assert got == {"a": None, "b": None, "c": 7, "d": None}

@@ -46,7 +46,8 @@ def as_timestamp(df: DataFrame, name: str) -> Column:
     if isinstance(dtype, T.StringType):
         return F.try_to_timestamp(F.col(name))
     if isinstance(dtype, T.IntegralType):
-        return F.timestamp_micros(F.floor(F.col(name) / 1000).cast("long"))
+        nanos = F.col(name).cast("long")
+        return F.timestamp_micros(F.call_function("div", nanos - F.pmod(nanos, F.lit(1000)), F.lit(1000)))
     return F.col(name).cast("timestamp")
 
 
@@ -114,7 +115,10 @@ def ride_key(df: DataFrame, key_field: str | None) -> Column:
     return F.when(absent, row_digest(df)).otherwise(key.cast("string"))
 
 
-def unit_hash(key: Column) -> Column:
-    """A fixed number in [0, 1) for each key, from 32 bits of its MD5. NULL counts as ""."""
+HASH_SPAN = 1 << 60
+
+
+def key_hash(key: Column) -> Column:
+    """A fixed whole number below HASH_SPAN for each key, from its MD5. NULL counts as ""."""
     digest = F.md5(F.coalesce(key.cast("string"), F.lit("")))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")

@@ -8,14 +8,22 @@ from pyspark.sql import functions as F
 from tripweave.functions.columns import MICROS
 
 
+# Digits after the point that a value adds to a sum.
+EXACT_DIGITS = 10
+
+
+def _exact(name: str) -> Column:
+    """The sum of doubles as decimals, so that the order of addition cannot show. NaN adds nothing."""
+    return F.sum(F.col(name).try_cast(f"decimal(28,{EXACT_DIGITS})"))
+
+
 def total(name: str, digits: int = 2) -> Column:
-    """A sum of doubles, rounded so that the order of addition does not show."""
-    return F.round(F.sum(name), digits)
+    return F.round(_exact(name), digits).cast("double")
 
 
-def mean(name: str, digits: int = 2) -> Column:
-    """Rounded total over the number of values, NULL where there are none."""
-    return F.when(F.count(name) > 0, total(name, digits) / F.count(name))
+def mean(name: str, digits: int = 6) -> Column:
+    """The exact total over the number of values, rounded half up; NULL where there are none."""
+    return F.when(F.count(name) > 0, F.round(_exact(name) / F.count(name), digits)).cast("double")
 
 
 def _trip_measures() -> list[Column]:
@@ -52,7 +60,7 @@ def ingest_lag(trips: DataFrame, span: str = "1 day") -> DataFrame:
             F.count("lag_s").alias("trips"),
             F.min("lag_s").alias("min_lag_s"),
             F.max("lag_s").alias("max_lag_s"),
-            mean("lag_s", 6).alias("avg_lag_s"),
+            mean("lag_s").alias("avg_lag_s"),
         )
     )
     return grouped.select(

@@ -14,15 +14,16 @@ UNKNOWN_ZONE = "Unknown"
 
 
 def dim_zone(zones: DataFrame, boroughs: DataFrame) -> DataFrame:
-    """One row per zone id with its name and borough.
+    """One row per zone id with its name and borough, so that a lookup cannot multiply facts.
 
-    ``zones`` has zone_id, zone_name, borough_id; ``boroughs`` has borough_id, borough.
+    ``zones`` has zone_id, zone_name, borough_id; ``boroughs`` has borough_id, borough. Of several rows
+    with one id the first by name and borough counts.
     """
-    return zones.join(boroughs, "borough_id", "left").select(
+    named = zones.join(boroughs, "borough_id", "left").select(
         F.col("zone_id").cast("string").alias("zone_id"),
-        "zone_name",
-        F.coalesce("borough", F.lit(UNKNOWN_ZONE)).alias("borough"),
+        F.struct("zone_name", F.coalesce("borough", F.lit(UNKNOWN_ZONE)).alias("borough")).alias("zone"),
     )
+    return named.groupBy("zone_id").agg(F.min("zone").alias("zone")).select("zone_id", "zone.zone_name", "zone.borough")
 
 
 def _with_zone(trips: DataFrame, zones: DataFrame, side: str) -> DataFrame:
@@ -51,6 +52,6 @@ def kpi_daily(facts: DataFrame) -> DataFrame:
         F.count_if(F.col("fare_usd").isNull()).alias("trips_without_fare"),
         total("fare_usd").alias("revenue_usd"),
         mean("distance_km").alias("avg_distance_km"),
-        mean("fare_per_km", 3).alias("avg_fare_per_km"),
+        mean("fare_per_km").alias("avg_fare_per_km"),
         mean("avg_speed_kmh").alias("avg_speed_kmh"),
     )

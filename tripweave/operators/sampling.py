@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.functions.columns import row_digest, unit_hash
+from tripweave.functions.columns import HASH_SPAN, key_hash, row_digest
 
 # Fixed value: default sample size.
 SAMPLE_ROWS = 1000
@@ -37,5 +39,6 @@ def sample_by_hash(df: DataFrame, key: Column | str | None = None, target: int =
         key = row_digest(df)
     elif isinstance(key, str):
         key = F.col(key)
-    ratio = df.agg((F.lit(float(target)) / F.nullif(F.count(F.lit(1)), F.lit(0))).alias("ratio")).scalar()
-    return df.where(unit_hash(key) < ratio)
+    rows = df.agg(F.count(F.lit(1)).cast("decimal(18,0)").alias("rows")).scalar()
+    # Whole numbers throughout: a ratio of doubles is too coarse for very large tables.
+    return df.where(key_hash(key).cast("decimal(19,0)") * rows < F.lit(Decimal(target * HASH_SPAN)))

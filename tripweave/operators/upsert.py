@@ -34,6 +34,9 @@ def latest_per_key(
 def upsert_latest(
     target: DataFrame, updates: DataFrame, key: str = "ride_id", version: str = "ingest_time"
 ) -> DataFrame:
-    """The target with the updates merged in; on equal versions the update wins."""
-    both = target.withColumn(_SOURCE, F.lit(0)).unionByName(updates.withColumn(_SOURCE, F.lit(1)))
+    """The target with the updates merged in; on equal versions the update wins.
+
+    A column that only one side has is null in rows of the other.
+    """
+    both = target.withColumn(_SOURCE, F.lit(0)).unionByName(updates.withColumn(_SOURCE, F.lit(1)), allowMissingColumns=True)
     return latest_per_key(both, key, version, prefer=_SOURCE).drop(_SOURCE)

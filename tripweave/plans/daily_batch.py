@@ -22,14 +22,16 @@ def _warehouse_rows(trips: DataFrame, transforms: Iterable[Transform]) -> DataFr
     return enrich(trips.drop(BATCH_ID), transforms)
 
 
-def mark_day(spark: SparkSession, staging: str, bounds: Bounds) -> None:
+def mark_day(trips: DataFrame, staging: str, bounds: Bounds) -> None:
     """Rewrite the one or two event dates of the batch with the flag set.
 
-    Batches that arrive meanwhile have partitions of their own and are left alone.
+    ``trips`` is the staging table as it was read for the batch. Its list of files was
+    fixed then, so only rows that were enriched are marked: a micro-batch that lands
+    later lies in partitions of its own, stays untreated, and is taken by a later run.
     """
     t0, t1 = bounds
     dates = F.col(EVENT_DATE).between(instant(t0).cast("date"), instant(t1).cast("date"))
-    marked = mark_treated(read_table(spark, staging).where(dates), bounds)
+    marked = mark_treated(trips.where(dates), bounds)
     by = [EVENT_DATE, BATCH_ID]
     with staged(gathered(marked, by), "marked-day") as day:
         replace_partitions(day, staging, by)
@@ -44,7 +46,7 @@ def run_day(
 ) -> Bounds | None:
     """Enrich the untreated day into the warehouse and mark it; None if nothing is left.
 
-    The bounds are read once and used throughout. If a run dies before the mark,
+    Bounds and files are read once and used throughout. If a run dies before the mark,
     the next one takes the same day again and the upsert makes that harmless.
     Looking for the earliest untreated time skips the row groups of treated days by
     their statistics. ``keys_move`` is that of ``upsert_table``.
@@ -54,7 +56,7 @@ def run_day(
     if bounds is None:
         return None
     upsert_table(_warehouse_rows(untreated_day(trips, bounds), transforms), warehouse, keys_move=keys_move)
-    mark_day(spark, staging, bounds)
+    mark_day(trips, staging, bounds)
     return bounds
 
 

@@ -46,5 +46,5 @@ def replay_to_topic(
         return
     by_date = scratch_path(spark, "replay-by-date")
     write_table(with_event_date(trips), by_date)
-    for part in event_slices(spark.read.parquet(by_date), step):
+    for _, part in event_slices(spark.read.parquet(by_date), step):
         publish(encode(part), fmt, out, **options)

@@ -13,16 +13,16 @@ PART_GLOB = "part*.parquet"
 def scan_trips(
     spark: SparkSession, path: str | None, schema: StructType | None = None, glob: str = PART_GLOB
 ) -> DataFrame:
-    """All Parquet parts under a directory as one table.
+    """All Parquet parts under a directory as one table, with the columns of all parts.
 
-    Raises ValueError without a path and FileNotFoundError if no file matches.
+    A part without a column gives nulls for it. Raises ValueError without a path and FileNotFoundError if no file matches.
     """
     if not path:
         raise ValueError("no input path given")
     reader = spark.read.option("pathGlobFilter", glob)
     try:
         if schema is None:
-            return reader.parquet(path)
+            return reader.option("mergeSchema", True).parquet(path)
         # With a schema Spark does not open a file, so look for one: only the
         # listing is used, as no file content is selected.
         listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -13,16 +12,12 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path under the folder named by ``spark.checkpoint.dir``.
+    """A new path under the folder named by ``spark.checkpoint.dir``, or in the warehouse folder where that is unset.
 
-    Only a local session may go without the setting. Paths are grouped by
-    application, so what a finished application left can be cleared as a whole.
+    Executors share both. Paths are grouped by application, so what a finished
+    application left can be cleared as a whole.
     """
-    root = spark.conf.get(_SETTING, None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {_SETTING} to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="tripweave-")
+    root = spark.conf.get(_SETTING, None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/tripweave/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
@@ -42,5 +37,9 @@ def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     yield materialise(df, path)
+    remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tripweave.operators.upsert import latest_per_key, upsert_latest
-from tripweave.sources.scratch import staged
+from tripweave.sources.scratch import materialise, remove, scratch_path, staged
 
 EVENT_DATE = "event_date"
 NO_DATE = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder for rows without a date
@@ -19,10 +21,35 @@ def with_event_date(trips: DataFrame) -> DataFrame:
     return trips.withColumn(EVENT_DATE, F.to_date("event_time"))
 
 
+def _note_path(path: str, kind: str) -> str:
+    return f"{path.rstrip('/')}.{kind}"
+
+
+def _write_note(spark: SparkSession, path: str, kind: str, content: object) -> None:
+    """A small text beside a table."""
+    note = spark.createDataFrame([(json.dumps(content),)], "note string").coalesce(1)
+    note.write.mode("overwrite").text(_note_path(path, kind))
+
+
+def _read_note(spark: SparkSession, path: str, kind: str) -> object | None:
+    try:
+        row = spark.read.text(_note_path(path, kind)).first()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return json.loads(row[0]) if row else None  # a note that was not finished has no row
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table, or None where nothing has been written yet."""
+    """The table, or None where nothing has been written yet.
+
+    An upserted table has its schema noted beside it, so that a column which only some
+    dates have is read without looking into every file.
+    """
+    schema = _read_note(spark, path, "schema")
     try:
-        return spark.read.parquet(path)
+        return (spark.read.schema(StructType.fromJson(schema)) if schema else spark.read).parquet(path)
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -76,11 +103,18 @@ def upsert_table(
     Only dates that can change are read in full and rewritten: those of the
     updates, and those where an updated key now lies. Finding the latter scans the
     key column alone; ``keys_move=False`` skips it when a key never changes its date.
+
+    Columns that only one side has are kept, null where missing. The merged dates are written
+    apart and a journal names them before they replace the old ones; a run that died in
+    between is finished by the next.
     """
+    spark = updates.sparkSession
+    finish_swap(spark, path)
     with staged(latest_per_key(with_event_date(updates), key, version), "upsert-updates") as newest:
-        target = read_table(updates.sparkSession, path)
+        target = read_table(spark, path)
         if target is None:
             write_table(newest, path)
+            _write_note(spark, path, "schema", newest.schema.jsonValue())
             return
         dates = _dates(newest)
         if not dates:
@@ -89,8 +123,24 @@ def upsert_table(
             dates |= _dates(target.select(key, EVENT_DATE).join(newest.select(key), key, "left_semi"))
         affected = target.where(_on(dates))
         rows = gathered(upsert_latest(affected, newest, key, version), [EVENT_DATE])
-        with staged(rows, "upsert-merged") as merged:
-            replace_partitions(merged, path, [EVENT_DATE])
-            for emptied in dates - _dates(merged):
-                nothing = merged.where(F.lit(False)).drop(EVENT_DATE)
-                nothing.write.mode("overwrite").parquet(f"{path}/{EVENT_DATE}={emptied or NO_DATE}")
+        copy = scratch_path(spark, "upsert-merged")
+        merged = materialise(rows, copy)
+        emptied = [d.isoformat() if d else NO_DATE for d in dates - _dates(merged)]
+        _write_note(spark, path, "journal", {"copy": copy, "emptied": emptied, "schema": merged.schema.jsonValue()})
+    finish_swap(spark, path)
+
+
+def finish_swap(spark: SparkSession, path: str) -> None:
+    """Put the dates that a journal names in place of the old ones, if there is one; may be repeated."""
+    journal = _read_note(spark, path, "journal")
+    if journal is None:
+        return
+    schema = StructType.fromJson(journal["schema"])
+    merged = spark.read.schema(schema).parquet(journal["copy"])
+    replace_partitions(merged, path, [EVENT_DATE])
+    for emptied in journal["emptied"]:
+        nothing = merged.where(F.lit(False)).drop(EVENT_DATE)
+        nothing.write.mode("overwrite").parquet(f"{path}/{EVENT_DATE}={emptied}")
+    _write_note(spark, path, "schema", journal["schema"])
+    remove(spark, _note_path(path, "journal"))
+    remove(spark, journal["copy"])

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
@@ -21,6 +22,7 @@ from tripweave.sources.tables import EVENT_DATE, replace_partitions, upsert_tabl
 BATCH_INTERVAL = "5 seconds"
 
 BATCH_ID = "batch_id"
+WINDOW = "window"
 BatchSink = Callable[[DataFrame, int], None]
 
 
@@ -51,37 +53,57 @@ def foreach_batch(
     return _triggered(rows.writeStream.outputMode(mode).foreachBatch(sink), checkpoint, interval)
 
 
-def staging_sink(path: str) -> BatchSink:
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The identity that Spark gives a stream when its checkpoint is made, and keeps over restarts."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def _batch_name(checkpoint: str | None) -> Callable[[SparkSession, int], str]:
+    """Names batches by stream and number, so that no other stream or checkpoint gives the same name."""
+    known: list[str] = []
+
+    def name(spark: SparkSession, batch_id: int) -> str:
+        if checkpoint and not known:
+            known.append(stream_id(spark, checkpoint) + "-")
+        return f"{known[0] if known else ''}{batch_id}"
+
+    return name
+
+
+def staging_sink(path: str, checkpoint: str | None = None) -> BatchSink:
     """Append a batch, flagged untreated, to the staging table.
 
-    The batch id is a partition below the event date: a batch that runs again
-    after a failure replaces its own files. Tasks write where they are, so there is
+    The stream, known by its checkpoint, and the batch are a partition below the event date:
+    a batch that runs again after a failure replaces its own files, and streams that share
+    the table leave each other's alone. Without a checkpoint batches go by number alone. Tasks write where they are, so there is
     no shuffle and a busy date is no hot task. Small files grow with the number of
     batches: take a longer interval where seconds do not matter.
     """
 
+    name = _batch_name(checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        staged = with_event_date(flag_untreated(batch)).withColumn(BATCH_ID, F.lit(batch_id).cast("long"))
+        staged = with_event_date(flag_untreated(batch)).withColumn(BATCH_ID, F.lit(name(batch.sparkSession, batch_id)))
         replace_partitions(staged, path, [EVENT_DATE, BATCH_ID])
 
     return write
 
 
-def checked_sink(path: str, quarantine: str) -> BatchSink:
+def checked_sink(path: str, quarantine: str, checkpoint: str | None = None) -> BatchSink:
     """Split a batch of ``decode_checked``: good trips to staging, the rest to ``quarantine``.
 
-    Both tables repeat safely by batch id. The batch is kept while both are
+    Both tables repeat safely by stream and batch. The batch is kept while both are
     written, so that no message is fetched or parsed twice.
     """
-    stage = staging_sink(path)
+    stage, name = staging_sink(path, checkpoint), _batch_name(checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             stage(clean_trips(accepted(batch)), batch_id)
-            rejected = quarantined(batch).withColumn(BATCH_ID, F.lit(batch_id).cast("long"))
+            rejected = quarantined(batch).withColumn(BATCH_ID, F.lit(name(batch.sparkSession, batch_id)))
             if not rejected.isEmpty():
                 replace_partitions(rejected, quarantine, [BATCH_ID])
         finally:
@@ -122,14 +144,14 @@ def stream_to_staging(
     messages: DataFrame, path: str, checkpoint: str, interval: str | None = BATCH_INTERVAL
 ) -> StreamingQuery:
     """Topic to staging table."""
-    return foreach_batch(clean_stream(messages), staging_sink(path), checkpoint, interval)
+    return foreach_batch(clean_stream(messages), staging_sink(path, checkpoint), checkpoint, interval)
 
 
 def stream_with_quarantine(
     messages: DataFrame, path: str, quarantine: str, checkpoint: str, interval: str | None = BATCH_INTERVAL
 ) -> StreamingQuery:
     """Topic to staging table, with malformed and incomplete messages set aside."""
-    return foreach_batch(decode_checked(messages), checked_sink(path, quarantine), checkpoint, interval)
+    return foreach_batch(decode_checked(messages), checked_sink(path, quarantine, checkpoint), checkpoint, interval)
 
 
 def stream_daily_window(
@@ -137,25 +159,28 @@ def stream_daily_window(
     path: str,
     checkpoint: str,
     interval: str | None = BATCH_INTERVAL,
-    watermark: str = "1 hour",
+    watermark: str | None = None,
 ) -> StreamingQuery:
     """Keep the daily windows of a stream up to date, late trips included.
 
-    Complete mode: each batch replaces the result, one row per day, by a new
-    version ``path/version=<batch id>``; readers take the highest.
+    Update mode: a batch gives the windows it changed, and each replaces its own
+    partition of the result. So the result has one row per window however long the stream runs, and a
+    batch that runs again changes nothing. The state has one row per window too; with a ``watermark``
+    those it has passed leave the state, and trips later than that are dropped.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        replace_partitions(batch.withColumn(WINDOW, F.unix_micros("window_start")), path, [WINDOW])
 
-    windows = daily_window(trips.withWatermark("event_time", watermark))
-    return foreach_batch(windows, write, checkpoint, interval, mode="complete")
+    windows = daily_window(trips.withWatermark("event_time", watermark) if watermark else trips)
+    return foreach_batch(windows, write, checkpoint, interval, mode="update")
 
 
-def latest_version(versions: DataFrame) -> DataFrame:
-    """The newest result written by ``stream_daily_window``."""
-    newest = versions.agg(F.max("version")).scalar()
-    return versions.where(F.col("version") == newest).drop("version")
+def append_closed_windows(
+    trips: DataFrame, path: str, checkpoint: str, interval: str | None = BATCH_INTERVAL, watermark: str = "1 hour"
+) -> StreamingQuery:
+    """Append each daily window once, when the watermark has passed its end; later trips of it are dropped."""
+    return append_stream(daily_window(trips.withWatermark("event_time", watermark)), path, checkpoint, interval)
 
 
 def dedup_stream(
