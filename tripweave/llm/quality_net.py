@@ -28,7 +28,7 @@ EMBEDDING = 8
 FILTERS = 32
 SAMPLE_ROWS = 2000  # of each label
 SAMPLE_CHUNKS = 8  # of each text of the sample
-EPOCHS = 8
+EPOCHS = 12
 BATCH = 32
 AT_ONCE = 256  # chunks in memory while scoring
 _PAD = 256
