@@ -33,7 +33,7 @@ from tripweave.llm.shingles import Words
 FLOOR = (0.1, 0.1, 0.15, 0.15, 0.1, 0.15)
 COVER = 0.75
 STEPS = 6
-LEAST_ROWS = 60  # a group with fewer rows joins the rest of its language, and that the rest of all
+LEAST_ROWS = 60  # a group with fewer rows joins the rest of its language; a rest with fewer the largest group there, or the rest of all
 CHANCE = 1e-4  # of a normal vector to be rejected
 MIN_WORDS = 50
 MAX_REPEATED = 50  # percent of words
@@ -166,10 +166,12 @@ def _groups(rows: DataFrame) -> DataFrame:
     """
     by_source = kept(rows.groupBy("l", "s").agg(F.count("*").alias("n")), "rules-groups")
     large = F.col("n") >= LEAST_ROWS
-    rest = by_source.where(~large).groupBy("l").agg((F.sum("n") >= LEAST_ROWS).alias("enough")).withColumnRenamed("l", "rl")
-    joined = by_source.join(rest, F.col("l") == F.col("rl"), "left")
-    g1 = F.when(large | F.col("enough"), F.col("l")).otherwise("*")
-    g2 = F.when(large, F.col("s")).otherwise("*")
+    rest = by_source.groupBy(F.col("l").alias("rl")).agg(
+        (F.sum(F.when(~large, F.col("n"))) >= LEAST_ROWS).alias("enough"), F.max(F.when(large, F.struct("n", "s"))).alias("largest")
+    )
+    joined = by_source.join(rest, F.col("l") == F.col("rl"))
+    g1 = F.when(large | F.col("enough") | F.col("largest").isNotNull(), F.col("l")).otherwise("*")
+    g2 = F.when(large, F.col("s")).when(F.col("enough"), F.lit("*")).otherwise(F.coalesce("largest.s", F.lit("*")))
     return kept(joined.select("l", "s", g1.alias("g1"), g2.alias("g2")), "rules-members")
 
 
@@ -227,8 +229,8 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
 
     Null texts count as empty, and fail the base rules. Null languages and sources are a group of their own.
     Estimates come from all rows that pass the base rules; a pair of language and source with fewer than
-    LEAST_ROWS of them joins the rest of its language, that the rest of all, and if even this
-    is too small the base rules alone decide. Repeated rows all count. An empty table gives an empty one.
+    LEAST_ROWS of them joins the rest of its language; a rest with fewer joins the largest group of its language, or
+    the rest of all where it has no group, and if even this is too small the base rules alone decide. Repeated rows all count. An empty table gives an empty one.
     """
     slim = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(source).alias("source"))
     stats = kept(_named(slim, "text", "lang", "source").select("__id", "__stats", "__l", "__s"), "rules-stats")
