@@ -1,6 +1,8 @@
+import re
 from datetime import timedelta
 
-from helpers import T0, frame, rows_of, trip
+import pytest
+from helpers import T0, frame, plan_of, rows_of, trip
 from pyspark.sql import functions as F
 
 from tripweave.operators import aggregates, enrich, messages, treatment
@@ -248,6 +250,39 @@ def test_marking_leaves_later_batches_alone(spark, tmp_path):
     assert "late" in {r.ride_id for r in spark.read.parquet(str(tmp_path / "wh")).collect()}
 
 
+def test_files_of_a_marked_day_follow_its_size_and_not_its_batches(spark, tmp_path):
+    staging, warehouse = str(tmp_path / "stg"), str(tmp_path / "wh")
+    write = jobs.staging_sink(staging)
+    for batch in range(20):
+        write(frame(spark, [trip(f"{batch}-{k}", T0 + timedelta(minutes=batch)) for k in range(3)]).repartition(3), batch)
+    before = len(spark.read.parquet(staging).inputFiles())
+    assert daily_batch.run_day(spark, staging, warehouse) is not None
+    table = spark.read.parquet(staging)
+    assert before >= 20 and len(table.inputFiles()) <= 2 and table.count() == 60
+    seen = daily_batch._open_rows(table)
+    assert seen.count() == 0 and re.search(r"PartitionFilters: \[[^]]*NOT StartsWith\(batch_id", plan_of(seen))
+    assert daily_batch.run_day(spark, staging, warehouse) is None
+
+
+def test_a_mark_that_died_is_finished_by_the_next_run(spark, tmp_path, monkeypatch):
+    staging, warehouse = str(tmp_path / "stg"), str(tmp_path / "wh")
+    write = jobs.staging_sink(staging)
+    write(some_trips(spark, 60), 0)
+    write(some_trips(spark, 10).withColumn("ride_id", F.concat(F.lit("x"), "ride_id")), 1)
+
+    def die(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(daily_batch, "remove", die)
+        with pytest.raises(OSError):
+            daily_batch.run_day(spark, staging, warehouse)
+    assert spark.read.parquet(staging).count() > 70  # old and new rows lie side by side
+    run_all(spark, staging, warehouse)
+    table = spark.read.parquet(staging)
+    assert table.count() == 70 and table.where("treated = 'No'").isEmpty() and spark.read.parquet(warehouse).count() == 70
+
+
 def test_a_trip_without_a_key_is_stored_once(spark, tmp_path):
     staging, warehouse = str(tmp_path / "stg"), str(tmp_path / "wh")
     jobs.staging_sink(staging)(frame(spark, [trip(None, fare=1.0), trip(None, fare=2.0), trip("a")]), 0)

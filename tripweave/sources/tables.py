@@ -25,13 +25,13 @@ def _note_path(path: str, kind: str) -> str:
     return f"{path.rstrip('/')}.{kind}"
 
 
-def _write_note(spark: SparkSession, path: str, kind: str, content: object) -> None:
+def write_note(spark: SparkSession, path: str, kind: str, content: object) -> None:
     """A small text beside a table."""
     note = spark.createDataFrame([(json.dumps(content),)], "note string").coalesce(1)
     note.write.mode("overwrite").text(_note_path(path, kind))
 
 
-def _read_note(spark: SparkSession, path: str, kind: str) -> object | None:
+def read_note(spark: SparkSession, path: str, kind: str) -> object | None:
     try:
         row = spark.read.text(_note_path(path, kind)).first()
     except AnalysisException as e:
@@ -41,13 +41,17 @@ def _read_note(spark: SparkSession, path: str, kind: str) -> object | None:
     return json.loads(row[0]) if row else None  # a note that was not finished has no row
 
 
+def remove_note(spark: SparkSession, path: str, kind: str) -> None:
+    remove(spark, _note_path(path, kind))
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     """The table, or None where nothing has been written yet.
 
     An upserted table has its schema noted beside it, so that a column which only some
     dates have is read without looking into every file.
     """
-    schema = _read_note(spark, path, "schema")
+    schema = read_note(spark, path, "schema")
     try:
         return (spark.read.schema(StructType.fromJson(schema)) if schema else spark.read).parquet(path)
     except AnalysisException as e:
@@ -114,7 +118,7 @@ def upsert_table(
         target = read_table(spark, path)
         if target is None:
             write_table(newest, path)
-            _write_note(spark, path, "schema", newest.schema.jsonValue())
+            write_note(spark, path, "schema", newest.schema.jsonValue())
             return
         dates = _dates(newest)
         if not dates:
@@ -126,13 +130,13 @@ def upsert_table(
         copy = scratch_path(spark, "upsert-merged")
         merged = materialise(rows, copy)
         emptied = [d.isoformat() if d else NO_DATE for d in dates - _dates(merged)]
-        _write_note(spark, path, "journal", {"copy": copy, "emptied": emptied, "schema": merged.schema.jsonValue()})
+        write_note(spark, path, "journal", {"copy": copy, "emptied": emptied, "schema": merged.schema.jsonValue()})
     finish_swap(spark, path)
 
 
 def finish_swap(spark: SparkSession, path: str) -> None:
     """Put the dates that a journal names in place of the old ones, if there is one; may be repeated."""
-    journal = _read_note(spark, path, "journal")
+    journal = read_note(spark, path, "journal")
     if journal is None:
         return
     schema = StructType.fromJson(journal["schema"])
@@ -141,6 +145,6 @@ def finish_swap(spark: SparkSession, path: str) -> None:
     for emptied in journal["emptied"]:
         nothing = merged.where(F.lit(False)).drop(EVENT_DATE)
         nothing.write.mode("overwrite").parquet(f"{path}/{EVENT_DATE}={emptied}")
-    _write_note(spark, path, "schema", journal["schema"])
-    remove(spark, _note_path(path, "journal"))
+    write_note(spark, path, "schema", journal["schema"])
+    remove_note(spark, path, "journal")
     remove(spark, journal["copy"])
