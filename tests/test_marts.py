@@ -35,7 +35,9 @@ def test_unknown_members(spark, zones):
 
 def test_a_hot_zone_is_split_when_zones_are_too_many_to_broadcast(spark, zones, tmp_path):
     rows = [trip(str(i), T0 + timedelta(minutes=i % 900), pickup="7" if i % 3 == 0 else str(i % 50)) for i in range(6000)]
-    path = str(tmp_path / "trips")
+    path, stored = str(tmp_path / "trips"), str(tmp_path / "zones")
+    zones.write.parquet(stored)
+    zones = spark.read.parquet(stored)
     frame(spark, rows).repartition(8).write.parquet(path)
     trips = enrich.enrich(spark.read.parquet(path))
     want = rows_of(marts.fact_trips(trips, zones, ["pickup"]))
@@ -54,6 +56,13 @@ def test_a_hot_zone_is_split_when_zones_are_too_many_to_broadcast(spark, zones,
     assert "SortMergeJoin(skew=true)" in plan
 
 
+def test_a_zone_listed_twice_does_not_multiply_trips(spark):
+    lookup = spark.createDataFrame([(1, "b", 0), (1, "a", 1), (1, "a", 1)], "zone_id int, zone_name string, borough_id int")
+    boroughs = spark.createDataFrame([(0, "north"), (1, "south")], "borough_id int, borough string")
+    facts = marts.fact_trips(enrich.enrich(frame(spark, [trip("x", pickup="1", dropoff="1")])), marts.dim_zone(lookup, boroughs)).collect()
+    assert [(r.pickup_zone_name, r.pickup_borough) for r in facts] == [("a", "south")]
+
+
 def test_kpis_of_one_day(spark, zones):
     rows = [trip("a", minutes=30, distance=10.0, fare=20.0, pickup="0"), trip("b", minutes=0, distance=0.0, fare=None, pickup="3")]
     kpi = marts.kpi_daily(marts.fact_trips(enrich.enrich(frame(spark, rows)), zones)).collect()

@@ -66,22 +66,19 @@ def test_scratch_uses_the_shared_folder(spark):
 class _Context:
     applicationId = "app"
 
-    def __init__(self, master):
-        self.master = master
-
 
 class _Session:
-    """Just the two settings that decide on a scratch folder."""
+    """Just the settings that decide on a scratch folder."""
 
-    def __init__(self, master):
-        self.sparkContext = _Context(master)
-        self.conf = {}
+    def __init__(self, **conf):
+        self.sparkContext = _Context()
+        self.conf = {"spark.sql.warehouse.dir": "store://warehouse"} | conf
 
 
-def test_a_cluster_without_a_shared_folder_is_an_error():
-    with pytest.raises(RuntimeError):
-        scratch.scratch_path(_Session("spark://host:7077"), "x")
-    assert scratch.scratch_path(_Session("local[2]"), "x")
+def test_without_a_folder_for_checkpoints_scratch_lies_in_the_warehouse():
+    assert scratch.scratch_path(_Session(), "x").startswith("store://warehouse/tripweave/app/x-")
+    named = _Session(**{"spark.checkpoint.dir": "store://shared/"})
+    assert scratch.scratch_path(named, "x").startswith("store://shared/tripweave/app/x-")
 
 
 def test_a_staged_copy_goes_when_its_block_succeeds(spark):

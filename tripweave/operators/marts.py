@@ -17,7 +17,8 @@ def dim_zone(zones: DataFrame, boroughs: DataFrame) -> DataFrame:
     """One row per zone id with its name and borough, so that a lookup cannot multiply facts.
 
     ``zones`` has zone_id, zone_name, borough_id; ``boroughs`` has borough_id, borough. Of several rows
-    with one id the first by name and borough counts.
+    with one id the first by name and borough counts. Facts are looked up in the stored mart: a join with the
+    aggregate itself could not split a hot zone.
     """
     named = zones.join(boroughs, "borough_id", "left").select(
         F.col("zone_id").cast("string").alias("zone_id"),
