@@ -182,6 +182,16 @@ ORACLES: dict[str, str] = {
     "payload_map_times": f"""WITH {RAW_TRIPS_SQL}
         SELECT CAST(event_id AS VARCHAR) AS ride_id, tpep_pickup_datetime AS event_time, tpep_dropoff_datetime AS dropoff_time
         FROM raw_trips WHERE tpep_pickup_datetime IS NOT NULL""",
+    "payload_defaults": f"""WITH {RAW_TRIPS_SQL},
+        keyed AS (
+          SELECT *, CASE event_id % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 'k' || event_id END AS key FROM raw_trips
+        )
+        SELECT CASE WHEN event_id % 4 > 1 THEN key ELSE
+                 md5(concat_ws(chr(31), '=' || event_id, coalesce('=' || key, '~'),
+                     '=' || epoch_us(tpep_dropoff_datetime), '=' || epoch_us(tpep_pickup_datetime))) END AS ride_id,
+               tpep_pickup_datetime AS event_time, TIMESTAMP '2024-02-01' AS ingest_time, tpep_dropoff_datetime AS dropoff_time,
+               '' AS pickup_zone, '' AS dropoff_zone, 0.0::DOUBLE AS distance_km, 0.0::DOUBLE AS fare_usd, 'unknown' AS payment_type
+        FROM keyed WHERE tpep_pickup_datetime IS NOT NULL""",
     "sort_order": f"WITH {TRIPS_SQL} SELECT count(*) AS rows, 0::BIGINT AS out_of_order FROM trips",
     "sample_to_target": f"""WITH {TRIPS_SQL}
         SELECT count(*) AS table_rows, 0::BIGINT AS outside, 0::BIGINT AS twice, true AS near_target FROM trips""",

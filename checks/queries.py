@@ -114,6 +114,14 @@ def payload_map_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payload.to_trips(told, key_field="event_id").select("ride_id", "event_time", "dropoff_time")
 
 
+def payload_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw trips with times and a key only, where some keys are missing, empty or given."""
+    kind = F.col("event_id") % 4
+    key = F.when(kind == 1, "").when(kind > 1, F.concat(F.lit("k"), F.col("event_id").cast("string")))
+    raw = fx.raw_trips(spark, sf_dir).select("event_id", key.alias("key"), "tpep_pickup_datetime", "tpep_dropoff_datetime")
+    return payload.to_trips(raw, key_field="key", ingest_time=instant(INGEST))
+
+
 def key_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payload.to_trips(fx.raw_trips(spark, sf_dir)).select("ride_id", "event_time")
 
@@ -528,7 +536,7 @@ ALL: dict[str, Query] = {
     q.__name__: q
     for q in (
         scan_trips_glob, scan_trips_schema, scan_trips_mixed, parquet_overwrite_roundtrip, csv_source_roundtrip, jdbc_read_ranges,
-        payload_map, payload_map_times, key_fallback, drop_null_event_time, encode_wire, decode_wire, parse_quarantine, quarantined_text, accepted_messages,
+        payload_map, payload_map_times, payload_defaults, key_fallback, drop_null_event_time, encode_wire, decode_wire, parse_quarantine, quarantined_text, accepted_messages,
         clean_trips, trip_duration, fare_metrics, avg_speed, time_features, enrich_trips, enrich_lineitem, custom_transform,
         untreated_min, untreated_day, mark_treated, backfill_range, daily_batch_warehouse, daily_batch_all, daily_batch_with_late_batch, daily_batch_staging,
         row_count, sort_by_event_time, sort_order, first_n_trips, sample_to_target, sample_hash, union_trip_parts,
