@@ -107,3 +107,12 @@ def test_a_very_long_floor_does_not_overflow(spark):
     trips = frame(spark, hot_rows()).select("ride_id", "event_time")
     last = ordering.replay_schedule(trips, speedup=1e6, min_delay_s=1e5, slices=8).orderBy(F.desc("seq")).first()
     assert last.emit_offset_s == pytest.approx(360 * 1e5)
+
+
+def test_first_n_takes_columns_of_any_name(spark):
+    rows = [trip(str(i), T0 + timedelta(seconds=i % 700)) for i in range(1500)]
+    trips = frame(spark, rows).withColumn("seq", F.lit("mine")).withColumn("gap_s", F.lit(1))
+    for n in (1000, 1001):
+        got = ordering.first_n(trips, n)
+        assert got.columns == trips.columns and got.count() == n
+        assert {r.seq for r in got.select("seq").distinct().collect()} == {"mine"}

@@ -73,8 +73,10 @@ def first_n(trips: DataFrame, n: int | None = None) -> DataFrame:
         return sort_by_event_time(valid)
     early = valid.where(F.col("event_time") < _end_of_nth(valid, n, "DAY"))
     if n > TOP_N_LIMIT:
-        placed = replay_schedule(early).where(F.col("seq") <= n)
-        return sort_by_event_time(placed.select(*trips.columns))
+        # The row goes along as one value, as its columns may have the names of the schedule's.
+        rows = early.select(*ORDER, F.struct(*trips.columns).alias("_trip"))
+        placed = replay_schedule(rows).where(F.col("seq") <= n)
+        return sort_by_event_time(placed.select("_trip.*"))
     early = valid.where(F.col("event_time") < _end_of_nth(early, n, "SECOND"))
     in_group = Window.partitionBy("_group").orderBy(*ORDER)
     limited = (
