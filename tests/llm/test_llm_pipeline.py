@@ -1,0 +1,70 @@
+"""The pipeline against the same steps the long way, over the smallest given tables."""
+
+import zlib
+from collections import Counter
+
+import brute
+import numpy as np
+from test_llm_decontaminate import long_way
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from tripweave.llm import quality_rules
+from tripweave.llm.vocab import default_path
+
+
+def without_repeats(texts, length):
+    data = [t.encode() for t in texts]
+    seen = Counter(t[i : i + length] for t in data for i in range(len(t) - length + 1))
+    out = []
+    for t in data:
+        covered = [False] * len(t)
+        for i in range(len(t) - length + 1):
+            if seen[t[i : i + length]] > 1:
+                covered[i : i + length] = [True] * length
+        out.append(bytes(b for b, c in zip(t, covered) if not c).decode("utf-8", "ignore"))
+    return out
+
+
+def test_stages_against_the_long_way(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    columns, sizes = docs.columns, []
+    verdict = {r.doc_id: r.kept for r in quality_rules.judge(docs).collect()}
+    want = {r.doc_id: r.text for r in docs.collect() if verdict[r.doc_id]}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.kept(stage(spark, docs, sf_dir), "stage")
+        assert docs.columns == columns, name
+        if name == "n-gram Jaccard join":
+            classes = brute.components(list(want.items()), 5, 80)
+            want = {d: want[d] for d, n, least in classes if least == d or n == 0}
+        if name == "suffix-array dedup":
+            want = dict(zip(want, without_repeats(want.values(), 200)))
+            assert all(r.n_chars == len(r.text) for r in docs.collect())
+        if name == "benchmark decontamination":
+            items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+            bad = {d for d, *_ in long_way(list(want.items()), items)}
+            want = {d: t for d, t in want.items() if d not in bad}
+        assert {r.doc_id: r.text for r in docs.collect()} == want, name
+        sizes.append(len(want))
+    assert sizes[0] > sizes[1] >= sizes[3] > 0
+    library = Tokenizer.from_file(default_path("byte_bpe_50k.json"))
+    pieces = Counter()
+    for d, t in want.items():
+        ids = np.array([*library.encode(t, add_special_tokens=False).ids, 0], "<u4")
+        pieces.update((d, a, zlib.crc32(ids[a : a + 1024].tobytes())) for a in range(0, len(ids), 1024))
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
+    assert Counter((r.doc_id, r.start, r.ids_crc32) for r in packed.collect()) == pieces
+
+
+def test_odd_rows_and_empty_tables(spark, tmp_path, sf_dir):
+    text = " ".join(f"word{i}" for i in range(80))
+    rows = [(1, text, None, "s", 5), (1, text, None, "s", 5), (None, text + " end", "en", None, None), (2, None, "en", "s", 0), (3, "", None, None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for table, df in (("documents", docs), ("benchmark", spark.read.parquet(f"{sf_dir}/benchmark.parquet"))):
+        df.write.parquet(str(tmp_path / f"{table}.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert len(out) == 1 and out[0].start == 0
+    empty = tmp_path / "empty"
+    docs.where("false").write.parquet(str(empty / "documents.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(empty / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(empty)).count() == 0

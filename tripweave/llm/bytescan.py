@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 _ODD = 0x9E3779B97F4A7C15
 
 

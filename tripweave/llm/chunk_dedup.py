@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.llm import bytescan as bs
-from tripweave.llm.common import digests, filled, kept
+from tripweave.llm.common import bounded, digests, filled, kept
 
 WINDOW = 16
 MASK = 31  # a chunk ends at one byte in 32 on average
@@ -129,7 +129,7 @@ def without_copies(docs: DataFrame, least: int = LEAST, text: str = "text", doc_
     that begin with two underscores.
     """
     one, two = digests(filled(text))
-    named = docs.withColumns({"__t1": one, "__t2": two})
+    named = bounded(docs).withColumns({"__t1": one, "__t2": two})
     texts = named.select(filled(text).alias("text"), F.col("__t1").alias("t1"), F.col("__t2").alias("t2"))
     chunks = texts.mapInArrow(_chunks, "h1 long, h2 long, t1 long, t2 long, pos long")
     # Equal texts give equal rows here, so these differ only if a chunk really lies in two places.

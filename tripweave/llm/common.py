@@ -17,6 +17,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes that a Python worker is handed at once; texts can be long, and a batch has thousands of them by default.
+BATCH_BYTES = 2 << 20
+
+
+def bounded(docs: DataFrame) -> DataFrame:
+    """``docs``, with batches for Python workers bounded by bytes in its session from now on."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return docs
+
+
 def filled(text: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(text), F.lit(""))

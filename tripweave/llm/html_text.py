@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripweave.llm.common import bounded
+
 # Fixed values of the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = set("head script style template noscript title meta link datalist object iframe svg math audio video canvas".split())
@@ -335,7 +337,7 @@ def with_text(pages: DataFrame, html: str = "html", into: str = "text") -> DataF
     A null or empty page, and one without visible text, gives an empty text. Rows are never
     merged or dropped; an empty table gives an empty one; all other columns pass through.
     """
-    return pages.withColumn(into, extract(F.coalesce(html, F.lit(""))))
+    return bounded(pages).withColumn(into, extract(F.coalesce(html, F.lit(""))))
 
 
 def op7_html_text(pages: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripweave.llm import bytescan as bs
-from tripweave.llm.common import Steps, filled, kept
+from tripweave.llm.common import Steps, bounded, filled, kept
 from tripweave.llm.components import components
 from tripweave.llm.shingles import Words, shingle_sets
 
@@ -223,13 +223,15 @@ def _rare_shingles(texts: DataFrame, words: int, percent: int, steps: Steps) ->
     """Index rows (key, s, n, i): the shingles of each set that are rarest among ``texts``, rarest first.
 
     A set of n has as many as it can miss of a similar set, and one more, so similar sets meet in one.
+    Shingles of one set alone come first in that order; nothing meets there, so they are only counted.
     """
-    tokens = steps.kept(texts.mapInArrow(_tokens(words), "s long, n long, h long"), "sets-tokens")
-    often = steps.kept(tokens.groupBy("h").agg(F.count("*").alias("f")), "sets-often")
+    tokens = texts.mapInArrow(_tokens(words), "s long, n long, h long")
+    often = steps.kept(tokens.groupBy("h").agg(F.count("*").alias("f")).where("f > 1"), "sets-often")
     ordered = tokens.join(often, "h").groupBy("s", "n").agg(F.sort_array(F.collect_list(F.struct("f", "h"))).alias("rare"))
-    length = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
-    prefix = ordered.select("s", "n", F.posexplode(F.slice("rare", F.lit(1), length)).alias("i", "t"))
-    return prefix.select(F.col("t.h").alias("key"), "s", "n", (F.col("i") + 1).alias("i"))
+    ordered = ordered.withColumn("alone", F.col("n") - F.size("rare"))
+    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - F.col("alone")
+    prefix = ordered.select("s", "n", "alone", F.posexplode(F.slice("rare", F.lit(1), F.greatest(length, F.lit(0)).cast("int"))).alias("i", "t"))
+    return prefix.select(F.col("t.h").alias("key"), "s", "n", (F.col("alone") + F.col("i") + 1).alias("i"))
 
 
 def _with_class(rows: DataFrame, classes: DataFrame | None) -> DataFrame:
@@ -247,7 +249,7 @@ def linked_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, D
     tie, t, n (set size) and s (set name); the second u (set name) and p (least set name of its class).
     """
     steps = Steps(docs.sparkSession)
-    docs = docs.select("text", "tie", "t")
+    docs = bounded(docs).select("text", "tie", "t")
     names = docs.mapInArrow(_names(words), f"tie {docs.schema['tie'].dataType.simpleString()}, t long, n long, s long")
     names = kept(names, "sets-names")
     index = docs.select("text").mapInArrow(_index(words, percent), "key long, s long")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import filled, kept
+from tripweave.llm.common import bounded, filled, kept
 from tripweave.llm.vocab import byte_bpe, default_path
 
 BLOCK = 100_000  # pieces ranked together
@@ -102,7 +102,7 @@ def pack(docs: DataFrame, path: str, limit: int = 1024, end_id: int = 0, text: s
     empty one. Other columns of ``docs`` are not carried along, so none can clash.
     """
     spark = docs.sparkSession
-    plain = docs.select(F.col(doc_id).alias("key"), filled(text).alias("text"))
+    plain = bounded(docs).select(F.col(doc_id).alias("key"), filled(text).alias("text"))
     kind = plain.schema["key"].dataType.simpleString()
     pieces = kept(plain.mapInArrow(_cut(path, limit, end_id), f"key {kind}, {_PIECES}"), "pieces")
 

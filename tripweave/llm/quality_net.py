@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.llm import bytescan as bs
-from tripweave.llm.common import filled
+from tripweave.llm.common import bounded, filled
 
 CHUNK = 1024
 WIDTH = 8  # bytes under a filter
@@ -197,7 +197,7 @@ def with_quality(docs: DataFrame, net: Net | float, text: str = "text") -> DataF
     Null texts count as empty, and an empty text has the score of a network that sees nothing.
     Equal texts have equal scores. Other columns pass through; score and predicted are replaced.
     """
-    scored = docs.withColumn("score", scorer(net)(filled(text)))
+    scored = bounded(docs).withColumn("score", scorer(net)(filled(text)))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

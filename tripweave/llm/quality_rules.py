@@ -14,17 +14,18 @@ the order of addition does not show in groups of up to some ten million rows.
 from __future__ import annotations
 
 import math
+import operator
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripweave.llm import bytescan as bs
-from tripweave.llm.common import filled, kept
+from tripweave.llm.common import bounded, filled, kept
 from tripweave.llm.shingles import Words
 
 #: Least spread of each coordinate, below which differences mean nothing: log word length, and the square
@@ -122,28 +123,28 @@ def base_failed(n_words: Column, repeated: Column) -> Column:
     return (n_words < MIN_WORDS) | (100 * repeated > MAX_REPEATED * n_words)
 
 
-@F.arrow_udf(T.DoubleType())
-def _distance(vector: pa.Array, centre: pa.Array, inverse: pa.Array) -> pa.Array:
-    """Squared Mahalanobis distance."""
-    x = vector.flatten().to_numpy().reshape(-1, _DIMS) - centre.flatten().to_numpy().reshape(-1, _DIMS)
-    m = inverse.flatten().to_numpy().reshape(-1, _DIMS, _DIMS)
-    return pa.array(np.einsum("ni,nij,nj->n", x, m, x))
+def _distance(vector: Column, centre: Column, inverse: Column) -> Column:
+    """Squared Mahalanobis distance, null without a centre."""
+    x = [vector[i] - centre[i] for i in range(_DIMS)]
+    terms = [x[i] * x[j] * inverse[i * _DIMS + j] * (1.0 if i == j else 2.0) for i in range(_DIMS) for j in range(i, _DIMS)]
+    return reduce(operator.add, terms)
 
 
-def _estimates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _estimates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Centre and inverse scatter of each group from its sums."""
     # A covariance of the inner share is too small by a known factor where vectors are normal.
     inner = quantile(1 - COVER, _DIMS)
     narrow = (1 - tail(inner, _DIMS + 2)) / COVER
     floor = np.diag(np.square(FLOOR))
+    kind = pa.list_(pa.float64())
     for batch in batches:
-        out = []
-        for g1, g2, n, one, two in zip(batch.g1, batch.g2, batch.n, batch.one, batch.two):
-            centre = np.array(one) / n
-            scatter = np.array(two).reshape(_DIMS, _DIMS) / n - np.outer(centre, centre)
-            inverse = np.linalg.inv(scatter / narrow + floor)
-            out.append((g1, g2, centre.tolist(), ((inverse + inverse.T) / 2).ravel().tolist()))
-        yield pd.DataFrame(out, columns=["g1", "g2", "centre", "inverse"])
+        n = batch.column("n").to_numpy().astype(float)
+        centre = batch.column("one").flatten().to_numpy().reshape(-1, _DIMS) / n[:, None]
+        scatter = batch.column("two").flatten().to_numpy().reshape(-1, _DIMS, _DIMS) / n[:, None, None] - centre[:, :, None] * centre[:, None, :]
+        inverse = np.linalg.inv(scatter / narrow + floor)
+        inverse = (inverse + inverse.transpose(0, 2, 1)) / 2
+        found = [pa.array([x.ravel().tolist() for x in part], kind) for part in (centre, inverse)]
+        yield pa.RecordBatch.from_arrays([batch.column("g1"), batch.column("g2"), *found], names=["g1", "g2", "centre", "inverse"])
 
 
 def _fit(rows: DataFrame) -> DataFrame:
@@ -152,11 +153,11 @@ def _fit(rows: DataFrame) -> DataFrame:
     two = [F.sum(F.col("vector")[i] * F.col("vector")[j]) for i in range(_DIMS) for j in range(_DIMS)]
     sums = rows.groupBy("g1", "g2").agg(F.count("*").alias("n"), F.array(*one).alias("one"), F.array(*two).alias("two"))
     shape = "g1 string, g2 string, centre array<double>, inverse array<double>"
-    return kept(sums.mapInPandas(_estimates, shape), "rules-estimates")
+    return kept(sums.mapInArrow(_estimates, shape), "rules-estimates")
 
 
 def _measured(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    return rows.join(estimates, ["g1", "g2"]).withColumn("d2", _distance("vector", "centre", "inverse")).drop("centre", "inverse")
+    return rows.join(estimates, ["g1", "g2"]).withColumn("d2", _distance(*map(F.col, ("vector", "centre", "inverse")))).drop("centre", "inverse")
 
 
 def _groups(rows: DataFrame) -> DataFrame:
@@ -203,20 +204,15 @@ def _judged(rows: DataFrame, groups: DataFrame, estimates: DataFrame) -> DataFra
     e = estimates.select(F.col("g1").alias("__g1"), F.col("g2").alias("__g2"), F.col("centre").alias("__centre"), F.col("inverse").alias("__inverse"))
     fitted = kept(g.join(e, ["__g1", "__g2"]).drop("__g1", "__g2"), "rules-fitted")
     joined = rows.join(fitted, ["__l", "__s"], "left")
-    d2 = F.when(
-        F.col("__centre").isNotNull(),
-        _distance(F.col("__stats.vector"), F.coalesce("__centre", _zeros(_DIMS)), F.coalesce("__inverse", _zeros(_DIMS**2))),
-    )
+    d2 = _distance(F.col("__stats.vector"), F.col("__centre"), F.col("__inverse"))
     failed = base_failed(F.col("__stats.n_words"), F.col("__stats.n_repeat_words"))
     return joined.withColumn("__d2", d2).withColumn("__kept", ~failed & (F.coalesce("__d2", F.lit(0.0)) <= quantile(CHANCE, _DIMS)))
 
 
-def _zeros(n: int) -> Column:
-    return F.array(*[F.lit(0.0)] * n)
-
-
 def _named(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
-    return docs.withColumns({"__stats": text_stats(filled(text)), "__l": _label(lang), "__s": _label(source)})
+    # Called non-deterministic so that Spark does not copy the function into filters and run it twice.
+    stats = text_stats.asNondeterministic()(filled(text))
+    return bounded(docs).withColumns({"__stats": stats, "__l": _label(lang), "__s": _label(source)})
 
 
 def _fit_on(named: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -247,7 +243,7 @@ def passing(docs: DataFrame, text: str = "text", lang: str = "lang", source: str
     Columns may have any name but those that begin with two underscores.
     """
     named = _named(docs, text, lang, source)
-    fitted = _fit_on(named.select("__stats", "__l", "__s"))
+    fitted = _fit_on(kept(named.select("__stats", "__l", "__s"), "rules-stats"))
     return _judged(named, *fitted).where("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

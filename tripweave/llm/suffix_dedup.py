@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.llm import bytescan as bs
-from tripweave.llm.common import Steps, digests, filled, kept
+from tripweave.llm.common import Steps, bounded, digests, filled, kept
 
 ANCHOR = 64
 STEP = 16
@@ -219,7 +219,7 @@ def repeated_spans(texts: DataFrame, length: int = 200, anchor: int = ANCHOR, st
     packed as (start, number of suffixes).
     """
     anchor = min(anchor, length)
-    texts = texts.select("text", "t1", "t2", "tie")
+    texts = bounded(texts).select("text", "t1", "t2", "tie")
     runs = texts.select("text", "t1", "t2").mapInArrow(_runs_of(length, anchor), _RUNS)
 
     # First digit: the anchor. Digits shared are written before they are joined, so that Spark can split a frequent one.

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import filled
+from tripweave.llm.common import bounded, filled
 from tripweave.llm.vocab import default_path, safe_parts, sentence_pieces
 
 BATCH = 1 << 18  # characters encoded at once
@@ -66,7 +66,7 @@ def with_token_counts(docs: DataFrame, path: str, limit: int = 4096, text: str =
     are never merged, so repeated rows give repeated results; an empty table gives an empty one.
     Columns of the three names are replaced.
     """
-    counted = docs.withColumn("n_tokens", token_counter(path)(filled(text)))
+    counted = bounded(docs).withColumn("n_tokens", token_counter(path)(filled(text)))
     return counted.withColumns({"n_bytes": F.octet_length(filled(text)).cast("long"), "over_limit": F.col("n_tokens") > limit})
 
 
