@@ -116,7 +116,9 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
     one. Other columns pass through, whatever their names but those of the result and those
     that begin with two underscores.
     """
-    named = messages.withColumn("__m", F.struct(F.xxhash64(conv, turn, text), F.xxhash64(F.lit("second"), conv, turn, text)))
+    # A hash passes over nulls, so it is told where they are.
+    known = [x for c in (conv, turn, text) for x in (F.col(c), F.col(c).isNull())]
+    named = messages.withColumn("__m", F.struct(F.xxhash64(*known), F.xxhash64(F.lit("second"), *known)))
     plain = named.select(F.col("__m").alias("m"), F.col(conv).alias("conv"), F.col(turn).alias("turn"), F.col(text).alias("text"))
     # The lines of equal rows would run together.
     found = kept(passages(plain.distinct()), "quote-passages")
