@@ -191,9 +191,9 @@ def _verify(words: int, percent: int):
     return run
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int, steps: Steps) -> DataFrame:
     """Pairs (leader, s) whose sets are similar enough. Large followings are split into teams."""
-    teams = pairs.groupBy("leader").agg(F.ceil(F.count("*") / TEAM).alias("teams"))
+    teams = steps.kept(pairs.groupBy("leader").agg(F.ceil(F.count("*") / TEAM).alias("teams")), "sets-teams")
     members = pairs.join(teams, "leader").withColumn("salt", F.pmod(F.xxhash64("s", "leader"), "teams")).drop("teams")
     leaders = members.select("leader", F.col("leader").alias("s"), "salt").distinct()
     seats = members.select("leader", "s", "salt").union(leaders)
@@ -256,7 +256,7 @@ def linked_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, D
     shared = index.groupBy("key").agg((F.min("s") < F.max("s")).alias("several")).where("several").select("key")
     bucket = steps.kept(index.join(steps.kept(shared, "sets-shared"), "key", "left_semi").distinct(), "sets-buckets")
 
-    one = names.join(bucket.select("s").distinct(), "s", "left_semi").groupBy("s").agg(F.min(F.struct("tie", "t")).alias("one"))
+    one = names.groupBy("s").agg(F.min(F.struct("tie", "t")).alias("one")).join(bucket.select("s").distinct(), "s", "left_semi")
     one = one.select(F.col("s").alias("one_s"), F.col("one.tie").alias("one_tie"), F.col("one.t").alias("one_t"))
     found = docs.join(one, F.col("tie").eqNullSafe(F.col("one_tie")) & (F.col("t") == F.col("one_t")))
     texts = steps.kept(found.select(F.col("one_s").alias("s"), "text"), "sets-texts")
@@ -267,7 +267,7 @@ def linked_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, D
     leaders = steps.kept(ranked.groupBy("key").agg(F.max(F.struct("d", "s")).alias("l")).select("key", F.col("l.s").alias("leader")), "sets-leaders")
     met = ranked.join(leaders, "key").where("s <> leader")
     pairs = steps.kept(met.select("leader", "s").distinct(), "sets-pairs")
-    classes = components(steps.kept(_verified(pairs, texts, words, percent), "sets-links"))
+    classes = components(steps.kept(_verified(pairs, texts, words, percent, steps), "sets-links"))
     rest = _with_class(met.select("key", "s"), classes)
     several = rest.groupBy("key").agg((F.min("p") < F.max("p")).alias("several")).where("several").select("key")
     hard = rest.join(steps.kept(several, "sets-open"), "key", "left_semi").select("s").distinct()
@@ -295,7 +295,7 @@ def linked_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, D
         pairs = steps.kept(met.select("leader", "s").distinct().join(done, ["leader", "s"], "left_anti"), "sets-pairs")
         if not pairs.isEmpty():
             seen = seen.union(pairs)
-            links = steps.kept(_verified(pairs, texts, words, percent), "sets-links")
+            links = steps.kept(_verified(pairs, texts, words, percent, steps), "sets-links")
             classes = classes if links.isEmpty() else components(links, classes)
         # The leaders have met everyone.
         bucket = steps.kept(bucket.join(leading, ["key", "s"], "left_anti").drop("p"), "sets-rest")
