@@ -58,6 +58,18 @@ def test_verdicts_are_those_of_all_rows_at_once(spark):
     assert all(got[k].kept == (k % 10 > 1) for k in range(300))
 
 
+def test_copies_and_many_unusual_texts_do_not_pull_the_estimates(spark):
+    rng = random.Random(5)
+    text = lambda: " ".join("".join(rng.choices("abcdefg", k=rng.randint(3, 7))) for _ in range(80))
+    junk = lambda: text().upper().replace(" ", "### ") + " !!!"
+    copied = junk()
+    # A third of a source are copies of one text; of another source two fifths are unusual, each in its own words.
+    rows = [(k, text(), "en", "a") for k in range(100)] + [(200 + k, copied, "en", "a") for k in range(60)] + [(300, junk(), "en", "a")]
+    rows += [(400 + k, text(), "en", "b") for k in range(90)] + [(500 + k, junk(), "en", "b") for k in range(60)]
+    got = {r.doc_id: r.kept for r in rules.judge(spark.createDataFrame(rows, SHAPE).repartition(3)).collect()}
+    assert {k for k, kept in got.items() if kept} == {*range(100), *range(400, 490)}
+
+
 def test_small_groups_join_the_rest_and_too_small_tables_have_base_rules_only(spark):
     rng = random.Random(4)
     text = lambda: " ".join("".join(rng.choices("abcdefg", k=5)) for _ in range(80))

@@ -1,9 +1,11 @@
 """Quality rules: multivariate outliers by minimum covariance determinants per language and source.
 
 Every text gives a short vector of transformed statistics. For each group the centre and
-scatter of its densest COVER share are found by concentration steps: take the share of rows with the
-least Mahalanobis distance, estimate again, repeat. Each step is one aggregate over the
-table of vectors; the distance up to which rows count comes from a histogram of distances,
+scatter of its densest COVER share are found by concentration steps: take the share of texts with the
+least Mahalanobis distance, estimate again, repeat. The steps begin at the estimates of all texts, at
+medians, and at a few drawn texts, and those that end with the least determinant hold, so that
+anything but half of a group may be unusual. Copies of a text count once in the estimates. Each step is one
+aggregate over the table of vectors; medians, and the distance up to which texts count, come from histograms,
 so no group is ever sorted or gathered, whatever its size. Texts beyond the CHANCE
 quantile of the distance are rejected.
 
@@ -25,21 +27,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripweave.llm import bytescan as bs
-from tripweave.llm.common import bounded, filled, kept
+from tripweave.llm.common import bounded, digests, filled, kept
 from tripweave.llm.shingles import Words
 
 #: Least spread of each coordinate, below which differences mean nothing: log word length, and the square
 #: roots of symbols per word, the share of repeated lines, that of repeated words, that of capitals
 #: among A-Z a-z, and marks per word.
 FLOOR = (0.1, 0.1, 0.15, 0.15, 0.1, 0.15)
-COVER = 0.75
-STEPS = 6
-LEAST_ROWS = 60  # a group with fewer rows joins the rest of its language; a rest with fewer the largest group there, or the rest of all
+COVER = 0.5
+STEPS = 12
+SEEDS = 3  # starts from about DRAWN drawn texts each, besides those from all texts and from medians
+DRAWN = 14
+FINE = 256  # medians are found to within 1 / FINE
+LEAST_ROWS = 60  # a group with fewer distinct texts joins the rest of its language; a rest with fewer the largest group there, or the rest of all
 CHANCE = 1e-4  # of a normal vector to be rejected
 MIN_WORDS = 50
 MAX_REPEATED = 50  # percent of words
 
 _DIMS = len(FLOOR)
+_KEY = ["g1", "g2", "start"]
 _SYMBOLS = b"#*$%&|<>"
 _MARKS = b".,!?;:"
 _BLANKS = b" \t\n\v\f\r"
@@ -131,7 +137,7 @@ def _distance(vector: Column, centre: Column, inverse: Column) -> Column:
 
 
 def _estimates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Centre and inverse scatter of each group from its sums."""
+    """Centre, inverse scatter and size (logarithm of the determinant) of each group and start from its sums."""
     # A covariance of the inner share is too small by a known factor where vectors are normal.
     inner = quantile(1 - COVER, _DIMS)
     narrow = (1 - tail(inner, _DIMS + 2)) / COVER
@@ -141,38 +147,75 @@ def _estimates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = batch.column("n").to_numpy().astype(float)
         centre = batch.column("one").flatten().to_numpy().reshape(-1, _DIMS) / n[:, None]
         scatter = batch.column("two").flatten().to_numpy().reshape(-1, _DIMS, _DIMS) / n[:, None, None] - centre[:, :, None] * centre[:, None, :]
-        inverse = np.linalg.inv(scatter / narrow + floor)
+        scatter = scatter / narrow + floor
+        inverse = np.linalg.inv(scatter)
         inverse = (inverse + inverse.transpose(0, 2, 1)) / 2
         found = [pa.array([x.ravel().tolist() for x in part], kind) for part in (centre, inverse)]
-        yield pa.RecordBatch.from_arrays([batch.column("g1"), batch.column("g2"), *found], names=["g1", "g2", "centre", "inverse"])
+        found.append(pa.array(np.linalg.slogdet(scatter)[1]))
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in _KEY), *found], names=[*_KEY, "centre", "inverse", "size"])
 
 
 def _fit(rows: DataFrame) -> DataFrame:
-    """Centre and inverse scatter of groups of (g1, g2, vector)."""
+    """Centre, inverse scatter and size of groups of (g1, g2, start, vector)."""
     one = [F.sum(F.col("vector")[i]) for i in range(_DIMS)]
-    two = [F.sum(F.col("vector")[i] * F.col("vector")[j]) for i in range(_DIMS) for j in range(_DIMS)]
-    sums = rows.groupBy("g1", "g2").agg(F.count("*").alias("n"), F.array(*one).alias("one"), F.array(*two).alias("two"))
-    shape = "g1 string, g2 string, centre array<double>, inverse array<double>"
+    two = [F.sum(F.col("vector")[i] * F.col("vector")[j]) for i in range(_DIMS) for j in range(i, _DIMS)]
+    sums = rows.groupBy(*_KEY).agg(F.count("*").alias("n"), F.array(*one).alias("one"), F.array(*two).alias("half"))
+    at = {pair: k for k, pair in enumerate((i, j) for i in range(_DIMS) for j in range(i, _DIMS))}
+    both = [F.col("half")[at[min(i, j), max(i, j)]] for i in range(_DIMS) for j in range(_DIMS)]
+    sums = sums.select(*_KEY, "n", "one", F.array(*both).alias("two"))
+    shape = "g1 string, g2 string, start int, centre array<double>, inverse array<double>, size double"
     return kept(sums.mapInArrow(_estimates, shape), "rules-estimates")
 
 
+def _middles(rows: DataFrame, values: Column) -> DataFrame:
+    """The median of each coordinate of ``values`` by (g1, g2), as an array ``middle``."""
+    one = rows.select("g1", "g2", F.posexplode(values).alias("dim", "value"))
+    bins = one.groupBy("g1", "g2", "dim", F.floor(F.col("value") * FINE).alias("bin")).agg(F.count("*").alias("n"))
+    line = Window.partitionBy("g1", "g2", "dim")
+    upto = F.sum("n").over(line.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
+    upper = bins.withColumns({"upto": upto, "all": F.sum("n").over(line)}).where(2 * F.col("upto") >= F.col("all"))
+    middle = upper.groupBy("g1", "g2", "dim").agg(((F.min("bin") + 0.5) / FINE).alias("middle"))
+    both = middle.groupBy("g1", "g2").agg(F.sort_array(F.collect_list(F.struct("dim", "middle"))).alias("by_dim"))
+    return kept(both.select("g1", "g2", F.col("by_dim.middle").alias("middle")), "rules-medians")
+
+
+def _starts(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Estimates to begin at, of (g1, g2, t1, t2, vector): 0 of all texts, 1 of medians, and of drawn texts."""
+    drawn = rows.join(sizes, ["g1", "g2"])
+    mark = lambda k: F.pmod(F.xxhash64(F.lit(k), "t1", "t2"), F.col("n")) < DRAWN
+    starts = F.array(F.lit(0), *(F.when(mark(k), F.lit(k)) for k in range(2, 2 + SEEDS)))
+    fitted = _fit(drawn.select("g1", "g2", F.explode(F.array_compact(starts)).alias("start"), "vector"))
+
+    medians = _middles(rows, F.col("vector"))
+    apart = F.zip_with("vector", "middle", lambda x, m: F.abs(x - m))
+    spread = _middles(rows.join(medians, ["g1", "g2"]), apart).withColumnRenamed("middle", "apart")
+    # The median of a normal coordinate's distances is 0.6745 of its deviation.
+    variance = [F.pow(F.col("apart")[i] / 0.6745, 2.0) + FLOOR[i] ** 2 for i in range(_DIMS)]
+    inverse = F.array(*(1 / variance[i] if i == j else F.lit(0.0) for i in range(_DIMS) for j in range(_DIMS)))
+    plain = medians.join(spread, ["g1", "g2"])
+    return fitted.drop("size").union(plain.select("g1", "g2", F.lit(1).alias("start"), F.col("middle").alias("centre"), inverse.alias("inverse")))
+
+
 def _measured(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    return rows.join(estimates, ["g1", "g2"]).withColumn("d2", _distance(*map(F.col, ("vector", "centre", "inverse")))).drop("centre", "inverse")
+    joined = rows.join(estimates.select(*_KEY, "centre", "inverse"), ["g1", "g2"])
+    return joined.withColumn("d2", _distance(*map(F.col, ("vector", "centre", "inverse")))).drop("centre", "inverse")
 
 
 def _groups(rows: DataFrame) -> DataFrame:
     """The group of estimates that each pair of language and source belongs to: l, s, g1, g2.
 
-    The texts "=" and "*" before a value tell a value from a null and from the rest.
+    ``rows`` has every text of a pair once. The texts "=" and "*" before a value tell a value from a null and from the rest.
     """
     by_source = kept(rows.groupBy("l", "s").agg(F.count("*").alias("n")), "rules-groups")
     large = F.col("n") >= LEAST_ROWS
-    rest = by_source.groupBy(F.col("l").alias("rl")).agg(
-        (F.sum(F.when(~large, F.col("n"))) >= LEAST_ROWS).alias("enough"), F.max(F.when(large, F.struct("n", "s"))).alias("largest")
-    )
+    small = rows.join(by_source.where(~large).drop("n"), ["l", "s"], "left_semi").select("l", "t1", "t2").distinct()
+    small = small.groupBy("l").agg((F.count("*") >= LEAST_ROWS).alias("enough"))
+    largest = by_source.groupBy("l").agg(F.max(F.when(large, F.struct("n", "s"))).alias("largest"))
+    rest = largest.join(small, "l", "left").withColumnRenamed("l", "rl")
     joined = by_source.join(rest, F.col("l") == F.col("rl"))
-    g1 = F.when(large | F.col("enough") | F.col("largest").isNotNull(), F.col("l")).otherwise("*")
-    g2 = F.when(large, F.col("s")).when(F.col("enough"), F.lit("*")).otherwise(F.coalesce("largest.s", F.lit("*")))
+    enough = F.coalesce("enough", F.lit(False))
+    g1 = F.when(large | enough | F.col("largest").isNotNull(), F.col("l")).otherwise("*")
+    g2 = F.when(large, F.col("s")).when(enough, F.lit("*")).otherwise(F.coalesce("largest.s", F.lit("*")))
     return kept(joined.select("l", "s", g1.alias("g1"), g2.alias("g2")), "rules-members")
 
 
@@ -181,21 +224,25 @@ def _label(name: str) -> Column:
 
 
 def fit_rules(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Groups and their estimates, from rows (l, s, vector) that pass the base rules."""
+    """Groups and their estimates, from rows (l, s, t1, t2, vector) that pass the base rules."""
+    rows = kept(rows.groupBy("l", "s", "t1", "t2").agg(F.first("vector").alias("vector")), "rules-texts")
     groups = _groups(rows)
-    rows = kept(rows.join(groups, ["l", "s"]).select("g1", "g2", "vector"), "rules-vectors")
-    estimates = _fit(rows)
+    rows = rows.join(groups, ["l", "s"]).groupBy("g1", "g2", "t1", "t2").agg(F.first("vector").alias("vector"))
+    rows = kept(rows, "rules-vectors")
+    sizes = kept(rows.groupBy("g1", "g2").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_ROWS), "rules-sizes")
+    estimates = _starts(rows, sizes)
     for _ in range(STEPS):
-        measured = _measured(rows, estimates).withColumn("bin", F.floor(32 * F.log(F.col("d2") + 1e-9)))
-        bins = measured.groupBy("g1", "g2", "bin").agg(F.count("*").alias("n"))
-        group = Window.partitionBy("g1", "g2")
+        measured = _measured(rows.drop("t1", "t2"), estimates).withColumn("bin", F.floor(32 * F.log(F.col("d2") + 1e-9)))
+        bins = measured.groupBy(*_KEY, "bin").agg(F.count("*").alias("n"))
+        group = Window.partitionBy(*_KEY)
         upto = F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
         before = F.coalesce(upto, F.lit(0))
         inside = bins.withColumns({"before": before, "all": F.sum("n").over(group)}).where(F.col("before") < F.ceil(COVER * F.col("all")))
-        last = kept(inside.groupBy("g1", "g2").agg(F.max("bin").alias("last")), "rules-cover")
-        estimates = _fit(measured.join(last, ["g1", "g2"]).where("bin <= last"))
-    sizes = rows.groupBy("g1", "g2").agg((F.count("*") >= LEAST_ROWS).alias("enough")).where("enough").drop("enough")
-    return groups, kept(estimates.join(sizes, ["g1", "g2"]), "rules-estimates")
+        last = kept(inside.groupBy(*_KEY).agg(F.max("bin").alias("last")), "rules-cover")
+        estimates = _fit(measured.join(last, _KEY).where("bin <= last"))
+    best = estimates.groupBy("g1", "g2").agg(F.min(F.struct("size", "start", "centre", "inverse")).alias("best"))
+    best = best.select("g1", "g2", "best.centre", "best.inverse").join(sizes.drop("n"), ["g1", "g2"])
+    return groups, kept(best, "rules-estimates")
 
 
 def _judged(rows: DataFrame, groups: DataFrame, estimates: DataFrame) -> DataFrame:
@@ -212,24 +259,26 @@ def _judged(rows: DataFrame, groups: DataFrame, estimates: DataFrame) -> DataFra
 def _named(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
     # Called non-deterministic so that Spark does not copy the function into filters and run it twice.
     stats = text_stats.asNondeterministic()(filled(text))
-    return bounded(docs).withColumns({"__stats": stats, "__l": _label(lang), "__s": _label(source)})
+    one, two = digests(filled(text))
+    return bounded(docs).withColumns({"__stats": stats, "__l": _label(lang), "__s": _label(source), "__t1": one, "__t2": two})
 
 
 def _fit_on(named: DataFrame) -> tuple[DataFrame, DataFrame]:
     sound = named.where(~base_failed(F.col("__stats.n_words"), F.col("__stats.n_repeat_words")))
-    return fit_rules(sound.select(F.col("__l").alias("l"), F.col("__s").alias("s"), F.col("__stats.vector").alias("vector")))
+    names = [F.col(f"__{c}").alias(c) for c in ("l", "s", "t1", "t2")]
+    return fit_rules(sound.select(*names, F.col("__stats.vector").alias("vector")))
 
 
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", doc_id: str = "doc_id") -> DataFrame:
     """Per document: id, the counts, base_failed, kept and distance (squared; null where no group was large enough).
 
     Null texts count as empty, and fail the base rules. Null languages and sources are a group of their own.
-    Estimates come from all rows that pass the base rules; a pair of language and source with fewer than
-    LEAST_ROWS of them joins the rest of its language; a rest with fewer joins the largest group of its language, or
-    the rest of all where it has no group, and if even this is too small the base rules alone decide. Repeated rows all count. An empty table gives an empty one.
+    Estimates come from all texts that pass the base rules, copies counted once, and judge every row; a pair of language and
+    source with fewer than LEAST_ROWS of them joins the rest of its language; a rest with fewer joins the largest group of its language, or
+    the rest of all where it has no group, and if even this is too small the base rules alone decide. Repeated rows are each listed. An empty table gives an empty one.
     """
     slim = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(source).alias("source"))
-    stats = kept(_named(slim, "text", "lang", "source").select("__id", "__stats", "__l", "__s"), "rules-stats")
+    stats = kept(_named(slim, "text", "lang", "source").select("__id", "__stats", "__l", "__s", "__t1", "__t2"), "rules-stats")
     judged = _judged(stats, *_fit_on(stats))
     counts = [F.col(f"__stats.{c}").alias(c) for c in _NAMES]
     failed = base_failed(F.col("__stats.n_words"), F.col("__stats.n_repeat_words"))
@@ -243,7 +292,7 @@ def passing(docs: DataFrame, text: str = "text", lang: str = "lang", source: str
     Columns may have any name but those that begin with two underscores.
     """
     named = _named(docs, text, lang, source)
-    fitted = _fit_on(kept(named.select("__stats", "__l", "__s"), "rules-stats"))
+    fitted = _fit_on(kept(named.select("__stats", "__l", "__s", "__t1", "__t2"), "rules-stats"))
     return _judged(named, *fitted).where("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
