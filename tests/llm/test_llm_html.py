@@ -44,3 +44,30 @@ def test_pages(spark):
     assert sorted((r.page_id, r.text, r.tag) for r in html_text.with_text(pages).collect()) == [(1, "", "t"), (2, "", "t"), (3, "a", "t"), (3, "a", "t")]
     assert html_text.op7_html_text(pages.where("false")).count() == 0
     assert [r.n_bytes for r in html_text.op7_html_text(pages).where("page_id = 1").collect()] == [None]
+
+
+SHOWN = {
+    "<style>@media print { nav, .main { display:none } } @media (max-width:600px){.main{display:none}}</style><nav>n</nav><p class=main>m": "n\n\nm",
+    "<style>@media screen{.a{display:none}} @media print, all {.b{display:none}}</style><p class=a>a<p class=b>b<p>c": "c",
+    "<style media=print>p{display:none}</style><p>a": "a",
+    "<style>@import 'x'; @layer base { @media all { .a{display:none} } } @keyframes k { from {display:none} }</style><p class=a>a<p>b": "b",
+    "<style>.tab{display:none} .tab{display:block}</style><p class=tab>a": "a",
+    "<style>.tab.on{display:block} .tab{display:none}</style><p class=tab>a<p class='tab on'>b": "b",
+    "<style>#q{display:none} p{display:block}</style><p id=q>a<p>b": "b",
+    "<style>.a{display:none !important} .b{display:none}</style><p class=a style='display:block'>a<p class=b style='color:red;display:block'>b": "b",
+    "<style>.tab{display:block}</style><div hidden class=tab>a</div><div hidden>b</div>": "a",
+    "<div style='visibility:hidden'>a <b style='visibility:visible'>b</b> c</div>": "b",
+    "so <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac><annotation encoding=t>x=</annotation></math> holds": "so x= 1 2 holds",
+    "<span><math><semantics><mi>E</mi><annotation encoding='application/x-tex'>E</annotation></semantics></math></span><span aria-hidden=true>E</span>": "E",
+    "<svg><title>t</title><defs/><style>.x{fill:red}</style><desc>d</desc><rect/><text>one <tspan>label</tspan></text> <text>two</text></svg>on": "one label\ntwo\non",
+    "<svg><defs><text>not drawn</text></defs></svg><p>a": "a",
+}
+
+
+@pytest.mark.parametrize("html", SHOWN)
+def test_what_a_reader_sees_is_text(html):
+    assert visible_text(html) == SHOWN[html]
+
+
+def test_deep_style_sheets_are_safe():
+    assert visible_text("<style>" + "@media all {" * 5000 + "p{display:none}</style><p>a<div>b</div>") == "b"

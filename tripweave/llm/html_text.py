@@ -21,7 +21,12 @@ from tripweave.llm.common import bounded
 
 # Fixed values of the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = set("head script style template noscript title meta link datalist object iframe svg math audio video canvas".split())
+UNSEEN = set("head script style template noscript title meta link datalist object iframe audio video canvas mphantom annotation annotation-xml".split())
+#: Of svg, what is drawn only where something refers to it, or never; text is drawn in text elements alone.
+UNDRAWN = set("defs symbol clippath mask marker pattern desc metadata".split())
+DRAWN = {"text", "foreignobject"}
+#: Elements of formulas whose parts stand above, below or beside each other.
+APART = set("mfrac msup msub msubsup munder mover munderover mroot mtable mtr mlabeledtr".split())
 BLOCKS = set(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section summary table ul caption tr".split()
@@ -47,9 +52,9 @@ SCOPES = {"table", "td", "th", "caption", "html", "template", "object"}
 
 WIDEST = 80  # columns of a table are aligned up to so many characters
 _BLANK = re.compile(r"[ \t\n\r\f]+")
-_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(hidden|collapse)", re.I)
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_SIMPLE = re.compile(r"([a-z][a-z0-9]*)?(?:([.#])([\w-]+))?", re.I)
+_SAID = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([\w -]+?)\s*(!\s*important)?\s*(?=;|$)", re.I)
+_SELECTOR = re.compile(r"(\*|[a-z][a-z0-9-]*)?((?:[.#][\w-]+)*)", re.I)
+_SCREEN = re.compile(r"((only\s+)?(all|screen)|not\s+(print|speech))?", re.I)
 
 
 class Node:
@@ -61,13 +66,14 @@ class Node:
 
 
 class TreeBuilder(HTMLParser):
-    """The element tree of a page, and the plain rules of its style sheets that hide things."""
+    """The element tree of a page, and the rules of its style sheets on what is shown, by selectors without combinators."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = Node("html", {})
         self._open = [self.root]
-        self.hiding: set[tuple[str, str, str]] = set()  # (tag, "." or "#" or "", name)
+        self.rules: dict[str, list[tuple]] = {}  # by one name of the selector: (tag, names, rank, what is said)
+        self._read = 0
 
     def _close(self, tags: set[str], limits: set[str]) -> None:
         """Close the outermost open element of ``tags`` inside the nearest of ``limits``."""
@@ -102,7 +108,9 @@ class TreeBuilder(HTMLParser):
         return self.parse_bogus_comment(i)  # a page may hold sections that are not HTML
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.handle_starttag(tag, attrs)  # the slash means nothing in HTML
+        self.handle_starttag(tag, attrs)  # the slash means nothing in HTML, but closes in drawings and formulas
+        if self._open[-1].tag == tag and any(node.tag in ("svg", "math") for node in self._open[:-1]):
+            self._open.pop()
 
     def _push(self, tag: str, attrs: dict[str, str | None]) -> None:
         node = Node(tag, attrs)
@@ -126,7 +134,8 @@ class TreeBuilder(HTMLParser):
     def handle_data(self, data: str) -> None:
         here = self._open[-1]
         if here.tag == "style":
-            self._read_rules(data)
+            if _on_screen(here.attrs.get("media") or ""):
+                self._read_rules(re.sub(r"/\*.*?\*/", "", data, flags=re.S))
         elif here.tag == "head" and data.strip():
             self._open.pop()
             self._open[-1].children.append(data)
@@ -134,23 +143,82 @@ class TreeBuilder(HTMLParser):
             here.children.append(data)
 
     def _read_rules(self, sheet: str) -> None:
-        for selectors, body in _RULE.findall(re.sub(r"/\*.*?\*/", "", sheet, flags=re.S)):
-            if _HIDDEN.search(body):
-                for selector in selectors.split(","):
-                    plain = _SIMPLE.fullmatch(selector.strip())
-                    if plain and plain[0]:
-                        self.hiding.add(((plain[1] or "").lower(), plain[2] or "", plain[3] or ""))
+        for head, body in _blocks(sheet):
+            if said := _said(body):
+                for selector in head.split(","):
+                    self._add_rule(selector.strip(), said)
+
+    def _add_rule(self, selector: str, said: list[tuple[str, str, bool]]) -> None:
+        plain = _SELECTOR.fullmatch(selector)
+        if not selector or not plain:
+            return
+        tag = "" if plain[1] in (None, "*") else plain[1].lower()
+        names = re.findall(r"[.#][\w-]+", plain[2])
+        ids = sum(name[0] == "#" for name in names)
+        self._read += 1
+        rank = (ids, len(names) - ids, bool(tag), self._read)
+        self.rules.setdefault(names[0] if names else tag, []).append((tag, set(names), rank, said))
+
+
+def _on_screen(media: str) -> bool:
+    """Whether a list of media queries holds on any screen."""
+    return any(_SCREEN.fullmatch(query.strip()) for query in media.split(","))
+
+
+def _holds(head: str) -> bool:
+    """Whether the rules in a block that begins with @ hold."""
+    name, condition = re.fullmatch(r"(@[\w-]*)(.*)", head, re.S).groups()
+    name, condition = name.lower(), condition.strip()
+    return name == "@layer" or name == "@media" and _on_screen(condition) or name == "@supports" and not condition.lower().startswith("not")
+
+
+def _blocks(sheet: str) -> list[tuple[str, str]]:
+    """The rules of a style sheet that hold: selectors and declarations."""
+    out = []
+    todo: list[tuple[str, bool, list[str]]] = []  # of the open blocks: selectors, or empty; whether it holds; declarations
+    start = 0
+    for mark in re.finditer(r"[{};]", sheet + "}" * (1 + sheet.count("{"))):  # the end of a sheet closes its blocks
+        piece, start = sheet[start : mark.start()], mark.end()
+        if mark[0] == "{":
+            head = piece.strip()
+            group = head.startswith("@")
+            holds = not todo or not todo[-1][0] and todo[-1][1]
+            todo.append(("" if group else head, holds and (not group or _holds(head)), []))
+        elif todo:
+            todo[-1][2].append(piece)
+            if mark[0] == "}":
+                head, holds, parts = todo.pop()
+                if head and holds:
+                    out.append((head, ";".join(parts)))
+    return out
+
+
+def _said(declarations: str) -> list[tuple[str, str, bool]]:
+    return [(name.lower(), value.lower(), bool(strong)) for name, value, strong in _SAID.findall(declarations)]
 
 
-def shown(node: Node, hiding: set[tuple[str, str, str]]) -> bool:
-    if node.tag in UNSEEN or "hidden" in node.attrs or (node.attrs.get("aria-hidden") or "").lower() == "true":
-        return False
-    if node.tag == "dialog" and "open" not in node.attrs or _HIDDEN.search(node.attrs.get("style") or ""):
-        return False
-    if hiding:
-        names = [("", "")] + [(".", c) for c in (node.attrs.get("class") or "").split()] + [("#", node.attrs.get("id") or "")]
-        return not any((tag, mark, name) in hiding for mark, name in names for tag in (node.tag, "") if tag or mark)
-    return True
+def shown(node: Node, rules: dict[str, list[tuple]], visible: bool) -> bool | None:
+    """Whether the text in an element is visible where its parent's is or is not; None if the element and all in it are not shown.
+
+    As in a browser, what is important holds first, then the style of the element, then the more special rule, then the last.
+    """
+    if node.tag in UNSEEN or (node.attrs.get("aria-hidden") or "").lower() == "true":
+        return None
+    best: dict[str, tuple] = {}
+    if "hidden" in node.attrs or node.tag == "dialog" and "open" not in node.attrs:
+        best["display"] = ((), "none")
+    names = {"." + c for c in (node.attrs.get("class") or "").split()} | {"#" + (node.attrs.get("id") or "")} if rules else set()
+    found = [rule for key in (*names, node.tag, "") for rule in rules.get(key, ())] if rules else []
+    found = [(rank, said) for tag, wanted, rank, said in found if tag in ("", node.tag) and wanted <= names]
+    if "style" in node.attrs:
+        found.append(((1 << 30,), _said(node.attrs["style"] or "")))
+    for rank, said in found:
+        for k, (name, value, strong) in enumerate(said):
+            best[name] = max(best.get(name, ((), "")), ((strong, *rank, k), value))
+    if best.get("display", ((), ""))[1] == "none":
+        return None
+    said_visible = best.get("visibility", ((), ""))[1]
+    return {"hidden": False, "collapse": False, "visible": True, "initial": True}.get(said_visible, visible)
 
 
 class Page:
@@ -258,20 +326,30 @@ def visible_text(html: str) -> str:
     tables: list[list[list[tuple[list[str], int]]]] = []
     lists: list[list] = []  # (kind, number) of the open lists
     kept = 0
-    todo: list[tuple[Node | str, bool]] = [(builder.root, False)]
+    drawn: list[bool] = []  # of the open svg, text and foreignobject elements: whether text is drawn there
+    todo: list[tuple[Node | str, bool, bool]] = [(builder.root, False, True)]  # what, whether it is left, whether text shows
     while todo:
-        node, leave = todo.pop()
+        node, leave, visible = todo.pop()
         if isinstance(node, str):
-            page.text(node, kept > 0)
+            if visible and (not drawn or drawn[-1]):
+                page.text(node, kept > 0)
             continue
         tag = node.tag
         if not leave:
-            if not shown(node, builder.hiding):
+            inner = shown(node, builder.rules, visible)
+            if inner is None or drawn and tag in UNDRAWN:
                 continue
-            todo.append((node, True))
-            todo += [(child, False) for child in reversed(node.children)]
+            todo.append((node, True, visible))
+            for child in reversed(node.children):
+                todo.append((child, False, inner))
+                if tag in APART:
+                    todo.append((" ", False, inner))
+            if tag == "svg" or drawn and tag in DRAWN:
+                page.block(1)
+                drawn.append(tag != "svg")
             if tag == "br":
-                page.new_line()
+                if visible:
+                    page.new_line()
             elif tag in ("td", "th"):
                 pages.append((page, lists, kept))
                 page, lists, kept = Page(), [], 0
@@ -296,6 +374,9 @@ def visible_text(html: str) -> str:
             if tag in ("pre", "textarea"):
                 kept += 1
             continue
+        if tag == "svg" or drawn and tag in DRAWN:
+            page.block(1)
+            drawn.pop()
         if tag in ("td", "th"):
             lines = page.done()
             page, lists, kept = pages.pop()
