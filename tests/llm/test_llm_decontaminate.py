@@ -72,6 +72,15 @@ def test_clean_documents_stay_as_they_are(spark):
     assert decontaminate.leaks(docs.where("false"), items).count() == 0
 
 
+def test_items_without_an_id_are_found(spark):
+    item, other = "alpha beta gamma delta epsilon zeta eta theta", "one two three four five six seven"
+    docs = spark.createDataFrame([(1, "so " + item + " it goes"), (2, "alpha beta gamma delta"), (3, other), (None, item)], DOCS)
+    items = spark.createDataFrame([(None, item), (None, other), (7, item), (None, item)], ITEMS)
+    got = Counter(map(tuple, decontaminate.leaks(docs, items).collect()))
+    assert got == Counter([(1, None, 4, 4), (1, 7, 4, 4), (None, None, 4, 4), (None, 7, 4, 4), (3, None, 3, 3)])
+    assert [r.doc_id for r in decontaminate.without_leaks(docs, items.where("item_id is null")).collect()] == [2]
+
+
 def test_runs_no_python(spark, sf_dir):
     for name in ("op5_quote_links", "op6_decontaminate"):
         plan = plan_of(registered()[name](spark, sf_dir))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tripweave.llm.common import digests, filled, kept
 
 HITS = 4
-BROADCAST_ROWS = 500_000  # an index of up to so many rows, 16 bytes each, goes to all executors; a larger one is joined by shuffle
+BROADCAST_ROWS = 500_000  # an index of up to so many rows, 32 bytes each, goes to all executors; a larger one is joined by shuffle
 
 
 def words_of(text: Column) -> Column:
@@ -44,13 +44,15 @@ def _plain(window: Column) -> Column:
 
 
 def _items(benchmark: DataFrame, words: int, percent: int, text: str, item_id: str) -> DataFrame:
-    """Items with words: id, width of their shingles, the distinct shingles, and what they must share."""
+    """Items with words: id, name of their text (key), width of their shingles, the distinct shingles, and what they must share."""
     split = benchmark.select(F.col(item_id).alias("item"), words_of(filled(text)).alias("words"))
     split = split.withColumn("width", F.least(F.lit(words), F.size("words"))).where("width > 0")
     items = split.withColumn("shingles", F.array_distinct(_windows(F.col("words"), F.col("width"), _plain)))
     items = items.withColumn("n", F.size("shingles").cast("long"))
-    # Repeated rows of one item are one item; different texts under one id are told apart by their shingles.
-    return items.select("item", "width", "shingles", "n").distinct().withColumn("need", -F.floor(-F.col("n") * percent / 100))
+    items = items.withColumn("shingles", F.array_sort("shingles"))
+    key = F.struct(F.xxhash64("width", "shingles"), F.xxhash64(F.lit("second"), "width", "shingles")).alias("key")
+    # Repeated rows of one item are one item; different texts under one id, and items without one, are told apart by their shingles.
+    return items.select("item", key, "width", "shingles", "n").distinct().withColumn("need", -F.floor(-F.col("n") * percent / 100))
 
 
 def _sketches(items: DataFrame) -> DataFrame:
@@ -60,13 +62,14 @@ def _sketches(items: DataFrame) -> DataFrame:
     hashes = F.transform("shingles", lambda s: F.xxhash64(F.split(s, " ")))
     sketch = items.withColumn("least", F.slice(F.array_sort(hashes), F.lit(1), length.cast("int")))
     hits = F.least(F.lit(HITS), F.size("least") - (F.col("n") - F.col("need")))
-    return sketch.select("item", "n", "width", F.greatest(hits, F.lit(1)).alias("hits"), F.explode("least").alias("h"))
+    return sketch.select("key", "n", "width", F.greatest(hits, F.lit(1)).alias("hits"), F.explode("least").alias("h"))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, words: int = 5, percent: int = 80, text: str = "text", item_id: str = "item_id") -> DataFrame:
     """Texts that hold at least ``percent`` of the distinct shingles of an item: __t1, __t2 (name of the text), item, n, shared."""
     items = kept(_items(benchmark, words, percent, text, item_id), "items")
-    sketches = kept(_sketches(items), "item-sketches")
+    named = items.drop("item").dropDuplicates(["key"])  # search and verification name items by their text, as ids may be null
+    sketches = kept(_sketches(named), "item-sketches")
     small = sketches.count() <= BROADCAST_ROWS
     index = F.broadcast(sketches) if small else sketches
     widths = sorted(r.width for r in items.select("width").distinct().collect())  # at most ``words`` of them
@@ -77,26 +80,28 @@ def matches(docs: DataFrame, benchmark: DataFrame, words: int = 5, percent: int
     found = None
     for width in widths:
         grams = split.select("t1", "t2", F.explode(_windows(F.col("words"), F.lit(width), _hash)).alias("h"))
-        hit = grams.join(index.where(F.col("width") == width), "h").select("t1", "t2", "item", "n", "hits", "h")
+        hit = grams.join(index.where(F.col("width") == width), "h").select("t1", "t2", "key", "n", "hits", "h")
         found = hit if found is None else found.union(hit)
     if found is None:
-        found = texts.where("false").join(sketches, F.lit(False)).select("t1", "t2", "item", "n", "hits", "h")
-    searched = found.groupBy("t1", "t2", "item", "n", "hits").agg(F.size(F.collect_set("h")).alias("got")).where("got >= hits")
-    searched = kept(searched.groupBy("t1", "t2").agg(F.collect_set("item").alias("candidates")), "leak-candidates")
+        found = texts.where("false").join(sketches, F.lit(False)).select("t1", "t2", "key", "n", "hits", "h")
+    searched = found.groupBy("t1", "t2", "key", "n", "hits").agg(F.size(F.collect_set("h")).alias("got")).where("got >= hits")
+    searched = kept(searched.groupBy("t1", "t2").agg(F.collect_set("key").alias("candidates")), "leak-candidates")
 
     # One text of each candidate is enough; equal ones give equal rows.
-    suspects = texts.join(searched, ["t1", "t2"]).select("t1", "t2", F.explode("candidates").alias("item"), words_of(F.col("text")).alias("words"))
-    pairs = suspects.join(items, "item")
+    suspects = texts.join(searched, ["t1", "t2"]).select("t1", "t2", F.explode("candidates").alias("key"), words_of(F.col("text")).alias("words"))
+    pairs = suspects.join(named, "key")
     grams = pairs.withColumn("own", _windows(F.col("words"), F.col("width"), _plain))
     counted = grams.withColumn("shared", F.size(F.array_intersect("shingles", "own")).cast("long")).where("shared >= need")
-    return counted.select(F.col("t1").alias("__t1"), F.col("t2").alias("__t2"), "item", "n", "shared").distinct()
+    shared = counted.select(F.col("t1").alias("__t1"), F.col("t2").alias("__t2"), "key", "n", "shared").distinct()
+    return shared.join(items.select("key", "item"), "key").drop("key")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, words: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id") -> DataFrame:
     """A row per document and item it holds: both ids, n_shingles of the item and n_shared.
 
     Words are runs of letters and digits, case aside. An item of fewer words than a shingle is one
-    shingle of them all; an item or document without words, or a null, matches nothing. Repeated
+    shingle of them all; an item or document without words, or a null text, matches nothing. An item without an
+    id is matched as any other and listed with a null. Repeated
     documents are listed once per row; repeated items once. Empty tables give an empty one.
     """
     one, two = digests(filled(text))
