@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripweave.llm import chunk_dedup, decontaminate, html_text, ngram_join, packing, quality_net, quality_rules, quotes, suffix_dedup, token_counts
+from tripweave.llm import chunk_dedup, decontaminate, html_text, ngram_join, packing, quality_net, quality_rules, quotes, suffix_dedup, token_counts, winnow
 from tripweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,10 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.op10_ngram_join(table(spark, sf_dir, "documents"))
 
 
+def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.op11_winnowing(table(spark, sf_dir, "documents"))
+
+
 def registered() -> dict[str, Query]:
     found = (
         op1_chunk_dedup,
@@ -64,5 +68,6 @@ def registered() -> dict[str, Query]:
         op8_packing,
         op9_token_counts,
         op10_ngram_join,
+        op11_winnowing,
     )
     return {f.__name__: f for f in found}
