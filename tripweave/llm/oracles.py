@@ -10,6 +10,11 @@ _PLAIN = "list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRS
 _BLANK = "[ \\t\\n\\x0B\\f\\r]+"
 _UNQUOTED = f"regexp_replace(regexp_replace(coalesce(text, ''), '(?m)^[ \\t]*>[^\\r\\n]*(\\r\\n|\\r|\\n|$)', '', 'g'), '^{_BLANK}|{_BLANK}$', '', 'g')"
 
+# Terms of a text, and the CRC-32 of the decimal digits of c, bit by bit.
+_TERMS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+_BITS = "flatten(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: [CAST(ascii(x) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))"
+_CRC32 = f"xor(list_reduce(list_concat([4294967295::BIGINT], {_BITS}), lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))), 4294967295)"
+
 
 def _normal(text: str) -> str:
     return f"trim(regexp_replace(lower({text}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
@@ -91,4 +96,45 @@ ORACLES: dict[str, str] = {
         links AS (SELECT a, b FROM shared WHERE 100 * common >= 90 * (na + nb - common)),
         reached AS (SELECT r, doc_id AS seen FROM sets UNION SELECT l.b, x.seen FROM reached x JOIN links l ON l.a = x.r)
         SELECT doc_id, len(grams) AS n_shingles, (SELECT min(seen) FROM reached x WHERE x.r = s.r) AS component_id FROM sets s""",
+    "op12_prefix_trie": f"""
+        WITH conv AS (
+          SELECT conv_id AS c, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS turns
+          FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+        ),
+        sized AS (SELECT c, turns, {_CRC32} % 9 AS h FROM conv),
+        rebuilt AS (
+          SELECT a.c, list_concat(coalesce(b.turns[1:a.h], []), a.turns[a.h + 1:]) AS s FROM sized a LEFT JOIN conv b ON b.c = a.c - a.c % 5
+        ),
+        members AS (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM rebuilt),
+        nodes AS (
+          SELECT d, s[1:d] AS k, min(c) AS conv_id, count(*) AS n, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (len(s) = d) AS ends
+          FROM members GROUP BY ALL
+        ),
+        kids AS (SELECT d - 1 AS d, k[1:d - 1] AS k, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+        full_nodes AS (
+          SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN n.d = 0 THEN 0 ELSE (n - 1) * strlen(n.k[n.d].t) END AS saved
+          FROM nodes n LEFT JOIN kids USING (d, k)
+        ),
+        up AS (SELECT k, saved, n_children, unnest(range(0, d + 1)) AS e FROM full_nodes),
+        sums AS (SELECT e AS d, k[1:e] AS k, sum(saved) AS saved, count(*) FILTER (n_children = 0) AS leaves FROM up GROUP BY ALL)
+        SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n AS n_convs, n.n_children, CAST(leaves AS BIGINT) AS n_leaves,
+               CAST(s.saved AS BIGINT) AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+        FROM full_nodes n JOIN sums s USING (d, k) LEFT JOIN nodes p ON p.d = n.d - 1 AND p.k = n.k[1:n.d - 1]
+    """,
+    "op13_treap_search": f"""
+        WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents),
+        cells AS (SELECT r, doc_id, t, count(*) AS tf FROM (SELECT r, doc_id, unnest(terms) AS t FROM docs) GROUP BY ALL),
+        sizes AS (SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM cells GROUP BY r),
+        total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS len FROM sizes),
+        weights AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM cells, total GROUP BY t, docs),
+        items AS (SELECT row_number() OVER () AS i, item_id, {_TERMS} AS terms FROM benchmark),
+        asked AS (SELECT DISTINCT i, item_id, t FROM (SELECT i, item_id, unnest(terms) AS t FROM items)),
+        impacts AS (SELECT c.*, (1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // len)) AS impact FROM cells c JOIN sizes USING (r), total),
+        scores AS (
+          SELECT i, item_id, r, doc_id, CAST(sum(w * impact) AS BIGINT) AS score
+          FROM asked JOIN weights USING (t) JOIN impacts USING (t) GROUP BY ALL HAVING sum(w * impact) > 0
+        ),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS FIRST) AS p FROM scores)
+        SELECT item_id, CAST(p AS INTEGER) AS rank, doc_id, score FROM ranked WHERE p <= 10
+    """,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripweave.llm import chunk_dedup, decontaminate, html_text, ngram_join, packing, quality_net, quality_rules, quotes, suffix_dedup, token_counts, winnow
+from tripweave.llm import chunk_dedup, decontaminate, html_text, ngram_join, packing, prefix_trie, quality_net, quality_rules, quotes, suffix_dedup, token_counts, treap_search, winnow
 from tripweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,14 @@ def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.op11_winnowing(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.op12_prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return treap_search.op13_treap_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def registered() -> dict[str, Query]:
     found = (
         op1_chunk_dedup,
@@ -69,5 +77,7 @@ def registered() -> dict[str, Query]:
         op9_token_counts,
         op10_ngram_join,
         op11_winnowing,
+        op12_prefix_trie,
+        op13_treap_search,
     )
     return {f.__name__: f for f in found}
