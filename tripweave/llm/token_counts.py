@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tripweave.llm.common import bounded, filled
 from tripweave.llm.vocab import default_path, safe_parts, sentence_pieces
 
-BATCH = 1 << 18  # characters encoded at once
+BATCH = 1 << 18  # bytes encoded at once
 PART = 1 << 16  # characters after which a text is cut at the next safe place
 
 
@@ -25,7 +25,7 @@ def _even_batches(texts: Iterator[tuple[int, str]]) -> Iterator[tuple[list[int],
     for row, part in texts:
         rows.append(row)
         parts.append(part)
-        size += len(part)
+        size += len(part) if part.isascii() else len(part.encode())
         if size >= BATCH:
             yield rows, parts
             rows, parts, size = [], [], 0

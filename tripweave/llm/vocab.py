@@ -11,6 +11,8 @@ import numpy as np
 
 #: A single space between word characters. No token of the vocabularies here reaches over it.
 _SAFE = re.compile(r"(?<=\w) (?=\w)")
+#: White space in a row that the faster library's matcher runs out of stack on, some way before it does.
+_BLANK_RUN = re.compile(r"\s{50000}")
 #: How byte-level vocabularies write words apart (fixed value of the public format).
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -40,12 +42,20 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+@lru_cache(maxsize=2)
+def _own_library(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 @lru_cache(maxsize=2)
 def byte_bpe(path: str):
     """A function from text to ids equal to those of the byte-level vocabulary at ``path``.
 
     Ids of such a vocabulary are in the order of its merges, so the faster library
-    can use them as ranks. Special strings inside a text become their own ids.
+    can use them as ranks. Special strings inside a text become their own ids. A part with a very long run of
+    white space goes to the vocabulary's own library, as the other cannot match it.
     """
     import tiktoken
 
@@ -57,8 +67,13 @@ def byte_bpe(path: str):
     encoding = tiktoken.Encoding("byte_bpe", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens=special)
     allowed = set(special)
 
+    def of_part(part: str) -> np.ndarray:
+        if _BLANK_RUN.search(part):
+            return np.array(_own_library(path).encode(part, add_special_tokens=False).ids, np.uint32)
+        return encoding.encode_to_numpy(part, allowed_special=allowed)
+
     def ids(text: str) -> np.ndarray:
-        parts = [encoding.encode_to_numpy(p, allowed_special=allowed) for p in safe_parts(text, 1 << 20)]
+        parts = [of_part(p) for p in safe_parts(text, 1 << 20)]
         return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
     return ids
