@@ -72,9 +72,7 @@ class _Shard:
     def add(self, doc: int | None, terms: list[bytes]) -> None:
         counts = Counter(terms)
         numbers = self.numbers
-        for term in counts.keys() - numbers.keys():
-            numbers[term] = len(numbers)
-        self.rows.append(np.fromiter((numbers[t] for t in counts), np.int32, len(counts)))
+        self.rows.append(np.fromiter((numbers.setdefault(t, len(numbers)) for t in counts), np.int32, len(counts)))
         self.frequencies.append(np.fromiter(counts.values(), np.int32, len(counts)))
         self.docs.append(doc)
         self.lengths.append(len(terms))
