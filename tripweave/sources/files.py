@@ -6,6 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tripweave.sources.widening import MERGE_ERRORS, read_widened, types_differ
+
 # Fixed value: file name pattern of trip parts.
 PART_GLOB = "part*.parquet"
 
@@ -15,18 +17,24 @@ def scan_trips(
 ) -> DataFrame:
     """All Parquet parts under a directory as one table, with the columns of all parts.
 
-    A part without a column gives nulls for it. Raises ValueError without a path and FileNotFoundError if no file matches.
+    A part without a column gives nulls for it. Where parts hold a column in types of different width, as
+    int, long and double, all are read as the widest. Raises ValueError without a path and FileNotFoundError if no file matches.
     """
     if not path:
         raise ValueError("no input path given")
     reader = spark.read.option("pathGlobFilter", glob)
+    # Only the listing is used, as no file content is selected.
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", glob)
     try:
         if schema is None:
-            return reader.option("mergeSchema", True).parquet(path)
-        # With a schema Spark does not open a file, so look for one: only the
-        # listing is used, as no file content is selected.
-        listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-        found = not listing.select("path").isEmpty()
+            try:
+                return reader.option("mergeSchema", True).parquet(path)
+            except MERGE_ERRORS as e:
+                if not types_differ(e):
+                    raise
+            return read_widened(spark, path, [r.path for r in listing.load(path).select("path").collect()])
+        # With a schema Spark does not open a file, so look for one.
+        found = not listing.load(path).select("path").isEmpty()
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise FileNotFoundError(f"no {glob} under {path}") from e
