@@ -1,3 +1,4 @@
+import re
 from datetime import timedelta
 
 import pytest
@@ -5,6 +6,7 @@ from helpers import T0, frame, plan_of, trip
 from pyspark.sql import functions as F
 
 from tripweave.operators import ordering
+from tripweave.operators.slices import SLICE, sliced
 
 
 def expected(rows, speedup, floor):
@@ -43,10 +45,11 @@ def test_schedule_equals_the_loop(spark, slices, floor):
 def test_one_instant_and_copies_of_one_trip_span_several_slices(spark):
     copies = [trip("same", T0 + timedelta(days=40))] * 200
     trips = frame(spark, hot_rows() + copies).select("ride_id", "event_time")
-    table = ordering._slice_table(trips, 0, 8)
+    table = sliced(trips, ordering.ORDER, 8).persist()
     for hot in (F.col("event_time") == F.lit(T0), F.col("ride_id") == "same"):
-        assert table.where(hot).select("_slice").distinct().count() > 1
-    sizes = [r["count"] for r in table.groupBy("_slice").count().collect()]
+        assert table.where(hot).select(SLICE).distinct().count() > 1
+    sizes = [r["count"] for r in table.groupBy(SLICE).count().collect()]
+    table.unpersist()
     assert len(sizes) == 8 and max(sizes) < 2 * min(sizes)
     got = ordering.replay_schedule(trips, speedup=60.0, min_delay_s=0.5, slices=8).orderBy("seq").collect()
     want = expected(hot_rows() + copies, 60.0, 0.5)
@@ -87,20 +90,54 @@ def test_empty_table(spark):
     assert ordering.emit_offsets(empty).count() == 0
 
 
-def test_first_n(spark, monkeypatch):
+def final_plan(df):
+    """The plan as it ran, without the one that it began with."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().executedPlan().toString()
+
+
+def row_exchanges(plan):
+    return [line for line in plan.splitlines() if "Exchange shufflepartitionid" in line and "ReusedExchange" not in line]
+
+
+def test_schedule_shuffles_rows_once_and_writes_nothing(spark):
+    trips = frame(spark, hot_rows()).select("ride_id", "event_time")
+    for floor in (0.0, 0.05):
+        before = spark.sparkContext.statusTracker().getJobIdsForGroup()
+        schedule = ordering.replay_schedule(trips, min_delay_s=floor)
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup() == before
+        plan = final_plan(schedule)
+        assert len(row_exchanges(plan)) == 1 and "ReusedExchange" in plan
+        assert "rangepartitioning" not in plan and "hashpartitioning" not in plan
+
+
+def test_first_n(spark):
     trips = frame(spark, hot_rows())
     order = [r[0] for r in expected(hot_rows(), 1.0, 0.0)]
-    plan = plan_of(ordering.first_n(trips, 150))
-    assert "TakeOrderedAndProject" in plan and plan.count("WindowGroupLimit") == 2
-    for n in (1, 119, 121, 240, 359, 360, 500):
-        assert [r.ride_id for r in ordering.first_n(trips, n).collect()] == order[:n]
+    for n in (1, 119, 121, 150, 240, 359, 360, 500):
+        got = ordering.first_n(trips, n)
+        assert got.columns == trips.columns
+        assert [r.ride_id for r in got.collect()] == order[:n]
     assert ordering.first_n(frame(spark, []), 3).count() == 0
-    assert [r.ride_id for r in ordering.first_n(trips, 150).collect()] == order[:150]
     assert [r.ride_id for r in ordering.first_n(trips, 0).collect()] == order
-    monkeypatch.setattr(ordering, "TOP_N_LIMIT", 10)
-    big = ordering.first_n(trips, 150)
-    assert "WindowGroupLimit" not in plan_of(big) and big.columns == trips.columns
-    assert [r.ride_id for r in big.collect()] == order[:150]
+
+
+def test_first_n_has_one_plan_and_runs_nothing_before_it_is_read(spark):
+    trips = frame(spark, hot_rows())
+    tracker = spark.sparkContext.statusTracker()
+    before = tracker.getJobIdsForGroup()
+    plans = [plan_of(ordering.first_n(trips, n)) for n in (1, 1000, 1001, 10**9)]
+    shapes = {tuple(re.match(r"[ :+-]*(\w*)", line)[1] for line in plan.splitlines()) for plan in plans}
+    assert len(shapes) == 1
+    assert tracker.getJobIdsForGroup() == before
+
+
+def test_first_n_of_copies_in_one_instant(spark):
+    rows = [trip("same", T0)] * 500 + [trip(f"a{i:03d}", T0) for i in range(500)] + [trip("early", T0 - timedelta(microseconds=1))]
+    trips = frame(spark, rows)
+    for n in (1, 2, 400, 502, 700, 1001):
+        got = [r.ride_id for r in ordering.first_n(trips, n).collect()]
+        assert got == ["early", *sorted(r[0] for r in rows if r[0] != "early")][:n]
 
 
 def test_a_very_long_floor_does_not_overflow(spark):

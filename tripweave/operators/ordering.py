@@ -1,9 +1,10 @@
 """Event-time order: sort, first rows, gaps and replay schedules.
 
 A window over the whole table would put it into one task, and a window per day
-would put a hot day into one task. So the gap and schedule operators cut the
-table into even *slices* of its total order with Spark's range partitioning,
-compute inside each slice, and join back one summary row per slice.
+would put a hot day into one task. So the gap and schedule operators deal the
+table to even slices of its total order (``tripweave.operators.slices``), compute
+inside each slice, and join back one summary row per slice. The rows go through one
+shuffle, which the summary reads too; nothing is written on the way.
 
 The order is event time, then ride id. A last key, drawn at random, settles
 nothing that shows, but it lets the cut run through many trips of one instant
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripweave.functions.columns import MICROS
-from tripweave.sources.scratch import materialise, scratch_path, staged
+from tripweave.operators.slices import SLICE, all_columns, in_order, sliced
 
 # One simulated day per real minute, and no least delay.
 SPEEDUP = 1440.0
@@ -24,10 +25,8 @@ MIN_DELAY_S = 0.0
 
 ORDER = ["event_time", "ride_id"]
 
-# Up to this n Spark limits a ranked group before the shuffle
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-TOP_N_LIMIT = 1000
-MERGE_GROUPS = 200
+# Histograms that close in on an instant, coarsest first: days, seconds of a day, microseconds of a second.
+_UNITS = ("DAY", "SECOND", "MICROSECOND")
 
 
 def _tie(trips: DataFrame) -> Column:
@@ -51,40 +50,56 @@ def range_cut(trips: DataFrame) -> DataFrame:
     return trips.repartitionByRange(*ORDER, _tie(trips)).sortWithinPartitions(*ORDER)
 
 
-def _end_of_nth(trips: DataFrame, n: int, unit: str) -> Column:
-    """The end of the day or second that holds the n-th trip, as a scalar subquery."""
-    counts = trips.groupBy(F.date_trunc(unit, "event_time").alias("start")).agg(F.count(F.lit(1)).alias("rows"))
-    running = counts.withColumn("so_far", F.sum("rows").over(Window.orderBy("start")))
-    holder = F.coalesce(F.min(F.when(F.col("so_far") >= n, F.col("start"))), F.max("start"))
-    return running.agg((holder + F.expr(f"INTERVAL 1 {unit}")).alias("until")).scalar()
+def _start_of(unit: str) -> Column:
+    return F.date_trunc(unit, "event_time") if unit != "MICROSECOND" else F.col("event_time")
+
+
+def _instant_of_nth(trips: DataFrame, n: int) -> Column:
+    """The event time of the n-th trip, the last one where there are fewer, as a scalar subquery.
+
+    Each histogram counts the trips up to the end of the day or second that the one before has
+    found, those before its start in one bucket; so a histogram has at most a million rows, or one per day.
+    """
+    found = None
+    for unit, above in zip(_UNITS, (None, *_UNITS)):
+        start, counted = _start_of(unit), trips
+        if found is not None:
+            counted = trips.where(F.col("event_time") < found + F.expr(f"INTERVAL 1 {above}"))
+            start = F.greatest(start, found)
+        counts = counted.groupBy(start.alias("start")).agg(F.count(F.lit(1)).alias("rows"))
+        running = counts.withColumn("so_far", F.sum("rows").over(Window.orderBy("start")))
+        holder = F.coalesce(F.min(F.when(F.col("so_far") >= n, F.col("start"))), F.max("start"))
+        found = running.agg(holder.alias("found")).scalar()
+    return found
 
 
 def first_n(trips: DataFrame, n: int | None = None) -> DataFrame:
     """The first n rows with an event time, in event order; None or 0 means all.
 
-    A plain top-n sends n rows of every partition to one task. Here counts per day,
-    and then per second of the days needed (at most n and a day's seconds), give a
-    bound that the scan filters on, so little more than n rows are left, unless the
-    last instant is a hot one. What is left is limited within groups of partitions
-    before it is merged. A large n takes the days needed through the slices.
+    A plain top-n sends n rows of every partition to one task. Here histograms of event times find the instant of the
+    n-th trip. All trips before it are wanted, and of those at it the first few by ride id, which are ranked in slices:
+    a hot instant is no hot task, and nothing else is ranked. It is one plan for any n, and runs nothing before it is read.
     """
     valid = trips.where(F.col("event_time").isNotNull())
     if not n:
         return sort_by_event_time(valid)
-    early = valid.where(F.col("event_time") < _end_of_nth(valid, n, "DAY"))
-    if n > TOP_N_LIMIT:
-        # The row goes along as one value, as its columns may have the names of the schedule's.
-        rows = early.select(*ORDER, F.struct(*trips.columns).alias("_trip"))
-        placed = replay_schedule(rows).where(F.col("seq") <= n)
-        return sort_by_event_time(placed.select("_trip.*"))
-    early = valid.where(F.col("event_time") < _end_of_nth(early, n, "SECOND"))
-    in_group = Window.partitionBy("_group").orderBy(*ORDER)
-    limited = (
-        early.withColumn("_group", F.spark_partition_id() % MERGE_GROUPS)
-        .withColumn("_rank", F.row_number().over(in_group))
-        .where(F.col("_rank") <= n)
-    )
-    return limited.drop("_group", "_rank").orderBy(*ORDER).limit(n)
+    last = _instant_of_nth(valid.select("event_time"), n)
+    earlier = valid.where(F.col("event_time") < last)
+    missing = F.lit(n) - valid.select("event_time").where(F.col("event_time") < last).agg(F.count(F.lit(1))).scalar()
+    # The row goes along as one value, as its columns may have any names.
+    at_last = valid.where(F.col("event_time") == last).select("ride_id", F.struct(*trips.columns).alias("trip"))
+    ranked = _numbered(sliced(at_last, ["ride_id"]), ["ride_id"])
+    return sort_by_event_time(earlier.unionByName(ranked.where(F.col("number") <= missing).select("trip.*")))
+
+
+def _numbered(cut: DataFrame, order: list[str]) -> DataFrame:
+    """Sliced rows with ``number``, their place in the order, from 1."""
+    before = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = cut.groupBy(SLICE).agg(F.count_if(all_columns(cut)).alias("rows"))
+    # One row per slice.
+    starts = sizes.select(SLICE, F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+    placed = cut.withColumn("number", F.row_number().over(in_order(order))).join(F.broadcast(starts), SLICE, "left")
+    return placed.withColumn("number", F.col("number") + F.col("start"))
 
 
 def emit_offsets(trips: DataFrame, speedup: float = SPEEDUP) -> DataFrame:
@@ -99,30 +114,6 @@ def emit_offsets(trips: DataFrame, speedup: float = SPEEDUP) -> DataFrame:
     return valid.withColumn("emit_offset_s", (us - first).cast("double") / F.lit(speedup * MICROS))
 
 
-def _slice_table(trips: DataFrame, floor_us: int, slices: int) -> DataFrame:
-    """Materialise the sliced table with its values local to each slice.
-
-    The draws are written before the cut, so that a retried task cuts alike and
-    the input is computed once, not again for the range sample. The result is
-    written because both readers of it must see the same slices.
-    """
-    in_slice = Window.partitionBy("_slice").orderBy(*ORDER)
-    up_to_here = in_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    with staged(trips.where(F.col("event_time").isNotNull()).withColumn("_draw", F.rand(0)), "drawn") as drawn:
-        local = (
-            drawn.repartitionByRange(slices, *ORDER, "_draw")
-            .withColumn("_slice", F.spark_partition_id())
-            .withColumn("_us", F.unix_micros("event_time"))
-            .withColumn("_gap_us", F.col("_us") - F.lag("_us").over(in_slice))
-            .withColumn("_row", F.row_number().over(in_slice))
-            # The first row of a slice waits on the slice before it, so it adds nothing here.
-            .withColumn("_own_us", F.coalesce(_floored(F.col("_gap_us"), floor_us), F.lit(0)))
-            .withColumn("_wait_us", F.sum("_own_us").over(up_to_here))
-            .drop("_own_us", "_draw")
-        )
-        return materialise(local, scratch_path(trips.sparkSession, "event-order"))
-
-
 def _floored(gap_us: Column, floor_us: int) -> Column:
     """The gap, at least the floor; NULL where there is no gap."""
     return F.when(gap_us.isNotNull(), F.greatest(gap_us, F.lit(floor_us).cast("long")))
@@ -143,23 +134,33 @@ def replay_schedule(
     microseconds of event time, so they do not depend on the order of addition.
 
     ``slices`` defaults to the shuffle partition count; set it so that one slice
-    fits a task. Pass only the columns you need: they are written twice and sorted.
+    fits a task. Pass only the columns you need: they are shuffled and sorted.
     """
-    spark = trips.sparkSession
     floor_us = round(min_delay_s * speedup * MICROS)
-    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = _slice_table(trips, floor_us, slices)
-
-    by_slice = Window.orderBy("_slice")
+    # The trip goes along as one value, as its columns may have any names.
+    rows = trips.where(F.col("event_time").isNotNull()).select(
+        *ORDER, F.unix_micros("event_time").alias("us"), F.struct(*trips.columns).alias("trip")
+    )
+    cut = sliced(rows, ORDER, slices)
+    here = in_order(ORDER)
+    up_to_here = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = (
+        cut.withColumn("gap_us", F.col("us") - F.lag("us").over(here))
+        .withColumn("row", F.row_number().over(here))
+        # The first row of a slice waits on the slice before it, so it adds nothing here.
+        .withColumn("own_us", F.coalesce(_floored(F.col("gap_us"), floor_us), F.lit(0)))
+        .withColumn("wait_us", F.sum("own_us").over(up_to_here))
+    )
+    by_slice = Window.orderBy(SLICE)
     before = by_slice.rowsBetween(Window.unboundedPreceding, -1)
     # One row per slice, at most ``slices`` rows: small enough for one task and to broadcast.
     carry = (
-        table.groupBy("_slice")
+        local.groupBy(SLICE)
         .agg(
-            F.min("_us").alias("first_us"),
-            F.max("_us").alias("last_us"),
-            F.max("_wait_us").alias("wait_us"),
-            F.count(F.lit(1)).alias("rows"),
+            F.min("us").alias("first_us"),
+            F.max("us").alias("last_us"),
+            F.max("wait_us").alias("wait_us"),
+            F.count_if(all_columns(cut)).alias("rows"),
         )
         .withColumn("entry_gap_us", F.coalesce(F.col("first_us") - F.lag("last_us").over(by_slice), F.lit(0)))
         .withColumn("entry_us", _floored(F.col("entry_gap_us"), floor_us))
@@ -169,20 +170,17 @@ def replay_schedule(
             F.col("entry_us")
             + F.coalesce(F.sum((F.col("entry_us") + F.col("wait_us")).cast("decimal(28,0)")).over(before), F.lit(0)),
         )
-        .select("_slice", "entry_gap_us", "rows_before", "start_us")
-    )
-    gap_s = F.coalesce("_gap_us", "entry_gap_us").cast("double") / F.lit(float(MICROS))
-    return (
-        table.join(F.broadcast(carry), "_slice")
-        .withColumn("gap_s", gap_s)
-        .select(
-            *trips.columns,
-            (F.col("rows_before") + F.col("_row")).alias("seq"),
-            "gap_s",
-            F.greatest(F.col("gap_s") / F.lit(float(speedup)), F.lit(float(min_delay_s))).alias("delay_s"),
-            ((F.col("start_us") + F.col("_wait_us")).cast("double") / F.lit(speedup * MICROS)).alias("emit_offset_s"),
-        )
+        .select(SLICE, "entry_gap_us", "rows_before", "start_us")
     )
+    gap_s = F.coalesce("gap_us", "entry_gap_us").cast("double") / F.lit(float(MICROS))
+    placed = local.join(F.broadcast(carry), SLICE, "left").withColumn("gap_s", gap_s)
+    added = [
+        (F.col("rows_before") + F.col("row")).alias("seq"),
+        F.col("gap_s"),
+        F.greatest(F.col("gap_s") / F.lit(float(speedup)), F.lit(float(min_delay_s))).alias("delay_s"),
+        ((F.col("start_us") + F.col("wait_us")).cast("double") / F.lit(speedup * MICROS)).alias("emit_offset_s"),
+    ]
+    return placed.select("trip.*", *added)
 
 
 def inter_arrival_gaps(trips: DataFrame, **options: object) -> DataFrame:

@@ -68,4 +68,5 @@ def all_columns(df: DataFrame) -> Column:
     Spark shares one exchange between two readers only where both need the same columns of it.
     Counting this in a summary of the slices keeps the columns there.
     """
-    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).isNotNull()
+    # Spark would not compute a hash only to see that it is no null.
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]) % 2 < 2
