@@ -12,8 +12,10 @@ from pyspark.sql.types import StructType
 from tripweave.functions.columns import instant
 from tripweave.operators.enrich import DEFAULT_CHAIN, Transform, enrich
 from tripweave.operators.treatment import TREATED, backfill_range, mark_treated, untreated_bounds, untreated_day
+from tripweave.sources import ledger
 from tripweave.sources.scratch import materialise, remove, scratch_path
-from tripweave.sources.tables import EVENT_DATE, gathered, read_note, read_table, remove_note, replace_partitions, upsert_table, write_note
+from tripweave.sources.notes import read_note, remove_note, write_note
+from tripweave.sources.tables import EVENT_DATE, gathered, read_table, replace_partitions, upsert_table
 from tripweave.streaming.jobs import BATCH_ID
 
 Bounds = tuple[datetime, datetime]
@@ -37,7 +39,8 @@ def mark_day(trips: DataFrame, staging: str, bounds: Bounds) -> None:
     The partitions of the micro-batches that were read give way to two per date, one of treated
     rows and one of the rest, so files do not grow with the number of batches, and the next open day
     is sought outside the treated ones. A journal names the change before it is made;
-    a run that died in between is finished by the next.
+    a run that died in between is finished by the next. The micro-batches go into the table's ledger
+    (``tripweave.sources.ledger``), so that one that runs again does not bring its rows back.
     """
     spark = trips.sparkSession
     t0, t1 = bounds
@@ -47,12 +50,14 @@ def mark_day(trips: DataFrame, staging: str, bounds: Bounds) -> None:
     copy = scratch_path(spark, "marked-day")
     marked = materialise(gathered(mark_treated(day, bounds).withColumn(BATCH_ID, batch), by), copy)
 
-    def parts(rows: DataFrame) -> set[str]:
+    def parts(rows: DataFrame) -> set[tuple[str, str]]:
         """One for each date and micro-batch of a day or two."""
-        return {f"{EVENT_DATE}={r[0]}/{BATCH_ID}={r[1]}" for r in rows.select(*(F.col(c).cast("string") for c in by)).distinct().collect()}
+        return {tuple(r) for r in rows.select(*(F.col(c).cast("string") for c in by)).distinct().collect()}
 
-    gone = sorted(parts(day) - parts(marked))
-    write_note(spark, staging, "journal", {"copy": copy, "gone": gone, "schema": marked.schema.jsonValue()})
+    read = parts(day)
+    gone = sorted(f"{EVENT_DATE}={d}/{BATCH_ID}={b}" for d, b in read - parts(marked))
+    absorbed = sorted((b, d) for d, b in read if not b.startswith((TREATED_PART, OPEN_PART)))
+    write_note(spark, staging, "journal", {"copy": copy, "gone": gone, "schema": marked.schema.jsonValue(), "absorbed": absorbed})
     finish_mark(spark, staging)
 
 
@@ -61,6 +66,8 @@ def finish_mark(spark: SparkSession, staging: str) -> None:
     journal = read_note(spark, staging, "journal")
     if journal is None:
         return
+    # A copy is written once, so its name tells marks apart.
+    ledger.record(spark, staging, journal["copy"].rsplit("/", 1)[-1], journal["absorbed"])
     marked = spark.read.schema(StructType.fromJson(journal["schema"])).parquet(journal["copy"])
     replace_partitions(marked, staging, [EVENT_DATE, BATCH_ID])
     for part in journal["gone"]:
@@ -105,6 +112,12 @@ def backfill(
     start: datetime,
     end: datetime,
     transforms: Iterable[Transform] = DEFAULT_CHAIN,
+    keys_move: bool = True,
 ) -> None:
-    """Enrich event times in [start, end) again, whatever their flag."""
-    upsert_table(_warehouse_rows(backfill_range(read_table(spark, staging), start, end), transforms), warehouse)
+    """Enrich event times in [start, end) again, whatever their flag, in place of what the warehouse has of them.
+
+    Rows of the range that staging no longer holds go from the warehouse too. A trip whose event time was
+    corrected into the range or out of it leaves its old place if ``keys_move``, which is that of ``upsert_table``.
+    """
+    rows = _warehouse_rows(backfill_range(read_table(spark, staging), start, end), transforms)
+    upsert_table(rows, warehouse, keys_move=keys_move, instead_of=(start, end))
