@@ -211,3 +211,39 @@ def updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A corrected version of every trip: newer, older or equally old by turns of k."""
     shift = F.col("dropoff_zone").cast("long") - 50
     return trips(spark, sf_dir).withColumns({"ingest_time": _later(F.col("ingest_time"), shift * 60), "fare_usd": F.col("fare_usd") + 1})
+
+
+def odd_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips of which some have fares or distances that no total can hold, by the last digit of the drop-off zone."""
+    kind = F.col("dropoff_zone").cast("long") % 10
+    fares = {0: float("nan"), 1: 1e19, 2: None, 3: float("-inf")}
+    distances = {3: float("inf"), 4: float("nan"), 5: -1e300}
+
+    def spoilt(name: str, values: dict[int, float | None]) -> Column:
+        out = F.col(name)
+        for digit, value in values.items():
+            out = F.when(kind == digit, F.lit(value).cast("double")).otherwise(out)
+        return out
+
+    return trips(spark, sf_dir).withColumns({"fare_usd": spoilt("fare_usd", fares), "distance_km": spoilt("distance_km", distances)})
+
+
+def moved_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newer versions of every fifth trip, some days later or earlier by turns of k, and some trips that are new."""
+    days = F.col("dropoff_zone").cast("long") % 7 - 3
+    fifth = updates(spark, sf_dir).where(F.col("ride_id").cast("long") % 5 == 0)
+    moved = fifth.withColumns({"event_time": _later(F.col("event_time"), days * 86400), "ingest_time": _later(F.col("ingest_time"), F.lit(864000).cast("long"))})
+    new = fifth.where(F.col("ride_id").cast("long") % 10 == 0).withColumn("ride_id", F.concat(F.lit("new-"), "ride_id"))
+    return moved.unionByName(new)
+
+
+MOVED_SQL = """
+updates AS (
+  SELECT * REPLACE (ingest_time + to_minutes(CAST(dropoff_zone AS BIGINT) - 50) AS ingest_time, fare_usd + 1 AS fare_usd) FROM trips
+),
+fifth AS (SELECT * FROM updates WHERE CAST(ride_id AS BIGINT) % 5 = 0),
+moved AS (
+  SELECT * REPLACE (event_time + to_days(CAST(CAST(dropoff_zone AS BIGINT) % 7 - 3 AS INTEGER)) AS event_time, ingest_time + to_days(10) AS ingest_time) FROM fifth
+  UNION ALL
+  SELECT * REPLACE ('new-' || ride_id AS ride_id) FROM fifth WHERE CAST(ride_id AS BIGINT) % 10 = 0
+)"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.fixtures import DIM_ZONE_SQL, FULL_RAW_SQL, LINEITEM_TRIPS_SQL, RAW_TRIPS_SQL, TRIPS_SQL
+from checks.fixtures import DIM_ZONE_SQL, FULL_RAW_SQL, LINEITEM_TRIPS_SQL, MOVED_SQL, RAW_TRIPS_SQL, TRIPS_SQL
 
 
 def _round(x: str, digits: int) -> str:
@@ -136,6 +136,11 @@ ORACLES: dict[str, str] = {
                CAST(DOLocationID AS VARCHAR) AS dropoff_zone, trip_distance * 1.60934::DOUBLE AS distance_km,
                fare_amount AS fare_usd, payment_type
         FROM raw_trips WHERE tpep_pickup_datetime IS NOT NULL""",
+    "replay_resumed": f"""WITH {RAW_TRIPS_SQL}
+        SELECT CAST(event_id AS VARCHAR) AS ride_id, tpep_pickup_datetime AS event_time, tpep_dropoff_datetime AS dropoff_time,
+               CAST(PULocationID AS VARCHAR) AS pickup_zone, CAST(DOLocationID AS VARCHAR) AS dropoff_zone,
+               trip_distance * 1.60934::DOUBLE AS distance_km, fare_amount AS fare_usd, payment_type
+        FROM raw_trips WHERE tpep_pickup_datetime IS NOT NULL""",
     "key_fallback": f"""WITH {RAW_TRIPS_SQL}
         SELECT md5(concat_ws(chr(31), '=' || DOLocationID, '=' || PULocationID, '=' || event_id, '=' || CAST(fare_amount AS VARCHAR),
                    '=' || payment_type, '=' || epoch_us(tpep_dropoff_datetime), '=' || epoch_us(tpep_pickup_datetime),
@@ -179,6 +184,11 @@ ORACLES: dict[str, str] = {
     "scan_trips_mixed": f"""WITH {RAW_TRIPS_SQL}
         SELECT * REPLACE (CASE WHEN event_id % 2 = 0 THEN payment_type END AS payment_type,
                           CASE WHEN event_id % 2 = 1 THEN trip_distance END AS trip_distance) FROM raw_trips""",
+    "scan_trips_widened": f"""WITH {RAW_TRIPS_SQL}
+        SELECT * REPLACE (CAST(PULocationID AS DOUBLE) AS PULocationID,
+                          CASE WHEN event_id % 3 <> 1 THEN DOLocationID END AS DOLocationID,
+                          CASE WHEN event_id % 3 = 2 THEN CAST(CAST(floor(trip_distance) AS INTEGER) AS DOUBLE) ELSE trip_distance END AS trip_distance)
+        FROM raw_trips""",
     "payload_map_times": f"""WITH {RAW_TRIPS_SQL}
         SELECT CAST(event_id AS VARCHAR) AS ride_id, tpep_pickup_datetime AS event_time, tpep_dropoff_datetime AS dropoff_time
         FROM raw_trips WHERE tpep_pickup_datetime IS NOT NULL""",
@@ -211,6 +221,9 @@ ORACLES: dict[str, str] = {
     "stream_closed_windows": f"""WITH {_CLEANED},
         days AS ({_DAYS})
         SELECT * FROM days WHERE window_end <= (SELECT max(event_time) - INTERVAL 1 HOUR FROM cleaned)""",
+    "stream_late_trips": f"""WITH {_CLEANED},
+        days AS ({_DAYS})
+        SELECT * FROM days WHERE window_end <= (SELECT max(event_time) - INTERVAL 1 HOUR FROM cleaned)""",
     "stream_clean_interval": _ALL_CLEANED,
     "daily_batch_warehouse": f"""WITH {_ENRICHED}, {_BOUNDS},
         next_bounds AS (
@@ -221,9 +234,15 @@ ORACLES: dict[str, str] = {
         WHERE event_time BETWEEN b.t0 AND b.t1 OR event_time BETWEEN n.t0 AND n.t1""",
     "daily_batch_staging": f"""WITH {TRIPS_SQL}, {_BOUNDS}
         SELECT ride_id, event_time, CASE WHEN event_time BETWEEN t0 AND t1 THEN 'Yes' ELSE treated END AS treated FROM trips, bounds""",
+    "backfill_corrected": f"""WITH {_ENRICHED}
+        SELECT * EXCLUDE (treated), strftime(event_time, '%Y-%m-%d') AS event_date FROM enriched
+        WHERE CAST(ride_id AS BIGINT) % 2 = 0 OR event_time < TIMESTAMP '2024-01-05 12:00:00' OR event_time >= TIMESTAMP '2024-01-15'""",
     "row_count": f"WITH {TRIPS_SQL} SELECT count(*) AS row_count FROM trips",
     "sort_by_event_time": f"WITH {TRIPS_SQL} SELECT * FROM trips ORDER BY event_time, ride_id",
     "first_n_trips": f"WITH {TRIPS_SQL} SELECT * FROM trips ORDER BY event_time, ride_id LIMIT 1000",
+    "first_half_trips": f"""WITH {LINEITEM_TRIPS_SQL}
+        SELECT ride_id, event_time, fare_usd FROM trips
+        QUALIFY row_number() OVER (ORDER BY event_time, ride_id) <= (SELECT count(*) // 2 FROM trips)""",
     "sample_hash": f"""WITH {TRIPS_SQL} SELECT * FROM trips
         WHERE CAST(CAST('0x' || substr(md5(ride_id), 1, 15) AS BIGINT) AS HUGEINT) * (SELECT count(*) FROM trips)
               < 1000::HUGEINT * 1152921504606846976""",
@@ -238,10 +257,24 @@ ORACLES: dict[str, str] = {
         FROM trips""",
     "stream_clean": _ALL_CLEANED,
     "stream_to_staging": f"WITH {_CLEANED} SELECT * EXCLUDE (treated), 'No' AS treated, strftime(event_time, '%Y-%m-%d') AS event_date FROM cleaned",
+    "stream_retry_after_mark": f"""WITH {TRIPS_SQL},
+        first_day AS (SELECT min(event_time) AS t0, min(event_time) + INTERVAL 1 DAY AS t1 FROM trips)
+        SELECT ride_id, event_time, CASE WHEN event_time BETWEEN t0 AND t1 THEN 'Yes' ELSE 'No' END AS treated FROM trips, first_day""",
     "stream_daily_window": _DAILY,
     "replay_as_stream": _ALL_TRIPS,
     "stream_dedup": _ALL_TRIPS,
     "daily_window": _DAILY,
+    "daily_window_odd_values": f"""WITH {TRIPS_SQL},
+        cleaned AS (
+          SELECT event_time, kind, CASE WHEN kind > 3 THEN fare_usd END AS fare_usd, CASE WHEN kind NOT BETWEEN 3 AND 5 THEN distance_km END AS distance_km
+          FROM (SELECT *, CAST(dropoff_zone AS BIGINT) % 10 AS kind FROM trips)
+        ),
+        odd AS (
+          SELECT CAST(date_trunc('day', event_time) AS TIMESTAMP) AS window_start,
+                 count(*) FILTER (kind IN (0, 1, 3)) AS odd_fares, count(*) FILTER (kind BETWEEN 3 AND 5) AS odd_distances
+          FROM cleaned GROUP BY 1
+        )
+        SELECT * FROM ({_DAYS}) JOIN odd USING (window_start)""",
     "hourly_zone_kpi": f"""WITH {_CLEANED}
         SELECT CAST(date_trunc('hour', event_time) AS TIMESTAMP) AS event_hour, pickup_zone, {_WINDOW_COLUMNS} FROM cleaned GROUP BY 1, 2""",
     "ingest_lag": f"""WITH {TRIPS_SQL},
@@ -249,6 +282,19 @@ ORACLES: dict[str, str] = {
                         (epoch_us(ingest_time) - epoch_us(event_time)) / 1000000 AS lag_s FROM trips)
         SELECT window_start, count(*) AS trips, min(lag_s) AS min_lag_s, max(lag_s) AS max_lag_s, {_mean('lag_s')} AS avg_lag_s
         FROM lags GROUP BY 1""",
+    "ingest_lag_quantiles": f"""WITH {TRIPS_SQL},
+        lags AS (SELECT CAST(date_trunc('day', event_time) AS TIMESTAMP) AS window_start, epoch_us(ingest_time) - epoch_us(event_time) AS us FROM trips),
+        shifts AS (SELECT window_start, us, abs(us) AS size, greatest(length(bin(abs(us))) - 8, 0) AS spare FROM lags),
+        tops AS (
+          SELECT window_start, CASE WHEN us < 0 THEN -((size >> spare) << spare) ELSE ((size >> spare) << spare) + (1::BIGINT << spare) - 1 END AS top FROM shifts
+        ),
+        ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY top) AS rank, count(*) OVER (PARTITION BY window_start) AS n FROM tops
+        )
+        SELECT window_start, count(*) AS trips, CAST(min(top) FILTER (rank >= ceil(n * 0.5::DOUBLE)) AS DOUBLE) / 1000000 AS lag_p50_s,
+               CAST(min(top) FILTER (rank >= ceil(n * 0.9::DOUBLE)) AS DOUBLE) / 1000000 AS lag_p90_s,
+               CAST(min(top) FILTER (rank >= ceil(n * 0.999::DOUBLE)) AS DOUBLE) / 1000000 AS lag_p99_9_s
+        FROM ranked GROUP BY 1""",
     "freshness": f"""WITH {TRIPS_SQL}
         SELECT max(event_time) AS latest_event,
                (epoch_us(TIMESTAMP '2024-02-01') - epoch_us(max(event_time))) / 1000000 AS age_s,
@@ -256,6 +302,13 @@ ORACLES: dict[str, str] = {
         FROM trips""",
     "upsert_latest": _UPDATED,
     "upsert_table": _UPDATED,
+    "upsert_moved_keys": f"""WITH {TRIPS_SQL}, {MOVED_SQL},
+        versions AS (
+          SELECT *, 0 AS src FROM trips
+          UNION ALL SELECT *, 1 AS src FROM updates WHERE CAST(ride_id AS BIGINT) % 3 = 0
+          UNION ALL SELECT *, 2 AS src FROM moved
+        )
+        SELECT * EXCLUDE (src) FROM versions QUALIFY row_number() OVER (PARTITION BY ride_id ORDER BY ingest_time DESC, src DESC) = 1""",
     "upsert_new_column": f"""WITH {TRIPS_SQL},
         both_versions AS (
           SELECT *, NULL::BIGINT AS fare_band, 0 AS src FROM trips

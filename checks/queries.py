@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 from datetime import datetime, timedelta
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,6 +15,7 @@ from checks import fixtures as fx
 from tripweave.functions.columns import instant
 from tripweave.operators import aggregates, enrich, marts, messages, ordering, payload, quality, sampling, treatment, upsert
 from tripweave.plans import daily_batch
+from tripweave.plans import replay as replay_plan
 from tripweave.schemas import RAW_TRIP
 from tripweave.sources import files, jdbc, tables, topics
 from tripweave.sources.scratch import scratch_path
@@ -73,6 +76,21 @@ def scan_trips_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.scan_trips(spark, path)
 
 
+def scan_trips_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts where one zone is int, long or double, the other long, missing or int, and the distance double, double or int."""
+    path, raw = scratch_path(spark, "raw-trips"), fx.raw_trips(spark, sf_dir)
+    pickup, dropoff = F.col("PULocationID"), F.col("DOLocationID")
+    kinds = (
+        {"PULocationID": pickup.cast("int")},
+        {"PULocationID": pickup.cast("double"), "DOLocationID": None},
+        {"DOLocationID": dropoff.cast("int"), "trip_distance": F.floor("trip_distance").cast("int")},
+    )
+    for left, kind in enumerate(kinds):
+        part = raw.where(F.col("event_id") % 3 == left).drop(*[c for c, value in kind.items() if value is None])
+        part.withColumns({c: value for c, value in kind.items() if value is not None}).write.mode("append").parquet(path)
+    return files.scan_trips(spark, path)
+
+
 def parquet_overwrite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "overwritten")
     files.write_parquet(fx.updates(spark, sf_dir), path)
@@ -267,6 +285,17 @@ def daily_batch_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(staging).select("ride_id", "event_time", "treated")
 
 
+def backfill_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The warehouse after all was loaded, every other trip was taken out of staging, and ten days were run again."""
+    warehouse, everything = scratch_path(spark, "warehouse"), (datetime(1900, 1, 1), datetime(2200, 1, 1))
+    daily_batch.backfill(spark, _staged(spark, sf_dir), warehouse, *everything)
+    corrected = scratch_path(spark, "staging")
+    left = tables.with_event_date(_cleaned(spark, sf_dir)).where(F.col("ride_id").cast("long") % 2 == 0)
+    tables.write_table(left.withColumn(jobs.BATCH_ID, F.lit("0")), corrected)
+    daily_batch.backfill(spark, corrected, warehouse, datetime(2024, 1, 5, 12), datetime(2024, 1, 15))
+    return tables.read_table(spark, warehouse).drop("treated")
+
+
 # Order, samples, counts
 
 
@@ -300,6 +329,12 @@ def first_n_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordering.first_n(fx.trips(spark, sf_dir), 1000)
 
 
+def first_half_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More rows than a ranked limit takes; many share an event time."""
+    trips = fx.lineitem_trips(spark, sf_dir)
+    return ordering.first_n(trips, trips.count() // 2).select("ride_id", "event_time", "fare_usd")
+
+
 def sample_to_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What must hold of a random sample: all of it in the table, none twice, its size near the target of 1000."""
     trips = fx.trips(spark, sf_dir)
@@ -373,6 +408,24 @@ def _appended(spark: SparkSession, rows: DataFrame) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def replay_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of a replay that died in its third step and was run again."""
+    raw, topic, progress = (scratch_path(spark, label) for label in ("raw-trips", "topic", "progress"))
+    files.write_parquet(fx.raw_trips(spark, sf_dir), raw)
+    begun = []
+
+    def dies(start: datetime) -> None:
+        begun.append(start)
+        if len(begun) == 3:
+            raise InterruptedError
+
+    run = partial(replay_plan.replay_to_topic, spark, raw, "parquet", key_field="event_id", step=LANDING_STEP, out=topic, progress=progress)
+    with suppress(InterruptedError):
+        run(before_step=dies)
+    run()
+    return messages.decode(spark.read.parquet(topic)).drop("ingest_time")
+
+
 def stream_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _appended(spark, _topic(spark, fx.trips(spark, sf_dir)))
 
@@ -406,6 +459,18 @@ def stream_two_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).drop(jobs.BATCH_ID)
 
 
+def stream_retry_after_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staging table after two micro-batches, a daily run, and the second batch once more."""
+    path, trips = scratch_path(spark, "staging"), _cleaned(spark, sf_dir).drop("treated")
+    batches = [trips.where(F.col("ride_id").cast("long") % 2 == left) for left in range(2)]
+    sink = jobs.staging_sink(path)
+    for number, batch in enumerate(batches):
+        sink(batch, number)
+    daily_batch.run_day(spark, path, scratch_path(spark, "warehouse"))
+    jobs.staging_sink(path)(batches[1], 1)
+    return spark.read.parquet(path).select("ride_id", "event_time", "treated")
+
+
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A topic with all trips and then a correction of each, merged batch by batch."""
     topic, table = scratch_path(spark, "topic"), scratch_path(spark, "warehouse")
@@ -434,11 +499,14 @@ def stream_daily_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).drop(jobs.WINDOW)
 
 
-def _landed(spark: SparkSession, trips: DataFrame, step: timedelta = LANDING_STEP) -> DataFrame:
-    """The trips as a stream in event order, about two steps to a micro-batch."""
+def _landed(spark: SparkSession, trips: DataFrame, step: timedelta = LANDING_STEP, late: DataFrame | None = None) -> DataFrame:
+    """The trips as a stream in event order, about two steps to a micro-batch; ``late`` ones come after all others."""
     by_date, landing = scratch_path(spark, "by-date"), scratch_path(spark, "landing")
     tables.write_table(tables.with_event_date(trips), by_date)
     slices = replay.land_in_event_order(spark.read.parquet(by_date), landing, step)
+    if late is not None:
+        _dealt(tables.with_event_date(late)).write.parquet(f"{landing}/{replay.SLICE}={2**60}")
+        slices += 1
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(landing).select("path").count()
     pace = max(1, 2 * files // max(1, slices))
     return replay.replay_stream(spark, landing, tables.with_event_date(trips), files_per_batch=pace).drop(tables.EVENT_DATE)
@@ -451,6 +519,15 @@ def stream_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def stream_late_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily windows, closed while every tenth trip was still missing and amended when these came."""
+    trips, path = enrich.clean_trips(fx.trips(spark, sf_dir).drop("treated")), scratch_path(spark, "windows")
+    late = F.col("ride_id").cast("long") % 10 == 0
+    stream = _landed(spark, trips.where(~late), late=trips.where(late))
+    jobs.windows_with_amendments(stream, path, scratch_path(spark, "stream-state"), interval=None).awaitTermination()
+    return jobs.amended_windows(spark, path)
+
+
 def replay_as_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _appended(spark, _landed(spark, fx.trips(spark, sf_dir)))
 
@@ -470,6 +547,10 @@ def daily_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.daily_window(_cleaned(spark, sf_dir))
 
 
+def daily_window_odd_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.daily_window(fx.odd_trips(spark, sf_dir), report_odd=True)
+
+
 def hourly_zone_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.hourly_zone_kpi(_cleaned(spark, sf_dir))
 
@@ -478,6 +559,13 @@ def ingest_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.ingest_lag(fx.trips(spark, sf_dir))
 
 
+def ingest_lag_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles by day out of stored sketches by hour."""
+    path = scratch_path(spark, "lag-sketch")
+    files.write_parquet(aggregates.lag_sketch(fx.trips(spark, sf_dir)), path)
+    return aggregates.sketch_quantiles(aggregates.merge_sketches(spark.read.parquet(path), "DAY"), [0.5, 0.9, 0.999])
+
+
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.freshness(fx.trips(spark, sf_dir), INGEST, 2 * 86400)
 
@@ -495,6 +583,16 @@ def upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).drop(tables.EVENT_DATE)
 
 
+def upsert_moved_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corrections that move trips to other dates, merged twice into a stored table and its key index."""
+    path = scratch_path(spark, "warehouse")
+    tables.upsert_table(fx.trips(spark, sf_dir), path)
+    tables.upsert_table(fx.updates(spark, sf_dir).where(F.col("ride_id").cast("long") % 3 == 0), path)
+    for _ in range(2):
+        tables.upsert_table(fx.moved_updates(spark, sf_dir), path)
+    return tables.read_table(spark, path).drop(tables.EVENT_DATE)
+
+
 def upsert_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored table gains a column with the corrections of every other trip."""
     path, updates = scratch_path(spark, "warehouse"), fx.updates(spark, sf_dir)
@@ -535,14 +633,14 @@ def kpi_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 ALL: dict[str, Query] = {
     q.__name__: q
     for q in (
-        scan_trips_glob, scan_trips_schema, scan_trips_mixed, parquet_overwrite_roundtrip, csv_source_roundtrip, jdbc_read_ranges,
+        scan_trips_glob, scan_trips_schema, scan_trips_mixed, scan_trips_widened, parquet_overwrite_roundtrip, csv_source_roundtrip, jdbc_read_ranges,
         payload_map, payload_map_times, payload_defaults, key_fallback, drop_null_event_time, encode_wire, decode_wire, parse_quarantine, quarantined_text, accepted_messages,
         clean_trips, trip_duration, fare_metrics, avg_speed, time_features, enrich_trips, enrich_lineitem, custom_transform,
-        untreated_min, untreated_day, mark_treated, backfill_range, daily_batch_warehouse, daily_batch_all, daily_batch_with_late_batch, daily_batch_staging,
-        row_count, sort_by_event_time, sort_order, first_n_trips, sample_to_target, sample_hash, union_trip_parts,
+        untreated_min, untreated_day, mark_treated, backfill_range, daily_batch_warehouse, daily_batch_all, daily_batch_with_late_batch, daily_batch_staging, backfill_corrected,
+        row_count, sort_by_event_time, sort_order, first_n_trips, first_half_trips, sample_to_target, sample_hash, union_trip_parts,
         inter_arrival_gap, replay_delay, replay_schedule, replay_schedule_lineitem, emit_offsets,
-        stream_source, stream_clean, stream_clean_interval, stream_to_staging, stream_two_topics, stream_quarantine, stream_upsert, stream_daily_window, stream_closed_windows, replay_as_stream, stream_dedup,
-        daily_window, hourly_zone_kpi, ingest_lag, freshness, upsert_latest, upsert_table, upsert_new_column,
+        stream_source, stream_clean, stream_clean_interval, stream_to_staging, stream_two_topics, stream_quarantine, stream_retry_after_mark, stream_upsert, stream_daily_window, stream_closed_windows, stream_late_trips, replay_as_stream, replay_resumed, stream_dedup,
+        daily_window, daily_window_odd_values, hourly_zone_kpi, ingest_lag, ingest_lag_quantiles, freshness, upsert_latest, upsert_table, upsert_moved_keys, upsert_new_column,
         dq_not_null, dq_unique, dq_range, dq_business_rules, dim_zone, fact_trips, kpi_daily,
     )
 }

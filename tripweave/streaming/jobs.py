@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,18 +12,22 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from tripweave.functions.columns import row_digest
-from tripweave.operators.aggregates import daily_window
+from tripweave.operators.aggregates import daily_window, whole_windows, window_parts
 from tripweave.operators.enrich import clean_trips
 from tripweave.operators.messages import accepted, decode, decode_checked, quarantined
 from tripweave.operators.treatment import flag_untreated
+from tripweave.sources import ledger
 from tripweave.sources.jdbc import STAGING_TABLE, write_jdbc
-from tripweave.sources.tables import EVENT_DATE, replace_partitions, upsert_table, with_event_date
+from tripweave.sources.notes import read_note, write_note
+from tripweave.sources.scratch import staged
+from tripweave.sources.tables import EVENT_DATE, on_dates, replace_partitions, table_exists, upsert_table, with_event_date
 
 # Fixed value: the micro-batch interval.
 BATCH_INTERVAL = "5 seconds"
 
 BATCH_ID = "batch_id"
 WINDOW = "window"
+DAY = "window_day"
 BatchSink = Callable[[DataFrame, int], None]
 
 
@@ -75,18 +80,26 @@ def staging_sink(path: str, checkpoint: str | None = None) -> BatchSink:
 
     The stream, known by its checkpoint, and the batch are a partition below the event date:
     a batch that runs again after a failure replaces its own files, and streams that share
-    the table leave each other's alone. Without a checkpoint batches go by number alone. Tasks write where they are, so there is
+    the table leave each other's alone. Where its rows have gone into a marked day, which the table's ledger tells, they
+    are left out, so nothing is doubled or opened again. Without a checkpoint batches go by number alone. Tasks write where they are, so there is
     no shuffle and a busy date is no hot task. Small files grow with the number of
     batches: take a longer interval where seconds do not matter.
     """
 
     name = _batch_name(checkpoint)
+    last = [-1]
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        # Batches of one run come in order, so only the first of a run, or one out of order, may have been here before.
+        repeated, last[0] = last[0] < 0 or batch_id <= last[0], max(last[0], batch_id)
         if batch.isEmpty():
             return
-        staged = with_event_date(flag_untreated(batch)).withColumn(BATCH_ID, F.lit(name(batch.sparkSession, batch_id)))
-        replace_partitions(staged, path, [EVENT_DATE, BATCH_ID])
+        rows = with_event_date(flag_untreated(batch)).withColumn(BATCH_ID, F.lit(name(spark, batch_id)))
+        absorbed = ledger.absorbed_dates(spark, path, name(spark, batch_id)) if repeated else set()
+        if absorbed:
+            rows = rows.where(~on_dates(absorbed))
+        replace_partitions(rows, path, [EVENT_DATE, BATCH_ID])
 
     return write
 
@@ -179,10 +192,71 @@ def stream_daily_window(
 def append_closed_windows(
     trips: DataFrame, path: str, checkpoint: str, interval: str | None = BATCH_INTERVAL, watermark: str = "1 hour"
 ) -> StreamingQuery:
-    """Append each daily window once, when the watermark has passed its end; later trips of it are dropped."""
+    """Append each daily window once, when the watermark has passed its end; later trips of it are dropped.
+
+    ``windows_with_amendments`` keeps them.
+    """
     return append_stream(daily_window(trips.withWatermark("event_time", watermark)), path, checkpoint, interval)
 
 
+def windows_with_amendments(
+    trips: DataFrame, path: str, checkpoint: str, interval: str | None = BATCH_INTERVAL, watermark: timedelta = timedelta(hours=1)
+) -> StreamingQuery:
+    """Daily windows that are given out once, when the watermark has passed their end, and amended for trips that come later.
+
+    Below ``path``: ``closed`` has the windows as they were closed, ``late`` the trips that came after that, ``amendments`` what these
+    add to their windows, each by the batch that wrote it, and ``parts`` the sums of every batch by window, from
+    which windows are closed. Nothing is dropped: ``amended_windows`` gives closed windows with all their trips.
+
+    As in Spark's own windows the watermark of a batch is the latest event time of the batches before it less ``watermark``. It is
+    noted by batch, so a batch that runs again sees the same and replaces what it wrote.
+    There is no state in memory. A batch reads the parts of the windows that it closes.
+    """
+    delay = watermark // timedelta(microseconds=1)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        marks = {int(k): v for k, v in (read_note(spark, path, "watermarks") or {}).items() if int(k) < batch_id}
+        mark = marks.get(max(marks, default=-1))
+        on_time = F.lit(True) if mark is None else F.window("event_time", "1 day").end > F.timestamp_micros(F.lit(mark))
+        tagged = batch.where(F.col("event_time").isNotNull()).withColumn("_on_time", on_time)
+        with staged(tagged, "late-trips") as rows:
+            late = rows.where(~F.col("_on_time")).drop("_on_time")
+            parts = window_parts(rows.where("_on_time")).withColumn(DAY, F.to_date("window_start"))
+            for kind, part, by in (("late", late, []), ("amendments", window_parts(late), []), ("parts", parts, [DAY])):
+                replace_partitions(part.withColumn(BATCH_ID, F.lit(batch_id)), f"{path}/{kind}", [*by, BATCH_ID])
+            latest = rows.agg(F.max(F.unix_micros("event_time"))).first()[0]
+        after = max((x for x in (mark, None if latest is None else latest - delay) if x is not None), default=None)
+        if after is not None:
+            done = _read_parts(spark, f"{path}/parts", [DAY])
+            end = F.unix_micros("window_end")
+            closing = (end <= after) if mark is None else (end > mark) & (end <= after) & (F.col(DAY) >= F.date_sub(F.timestamp_micros(F.lit(mark)).cast("date"), 1))
+            closed = done.where((F.col(BATCH_ID) <= batch_id) & closing).drop(DAY, BATCH_ID)
+            sums = [F.sum(c).alias(c) for c in closed.columns if c not in ("window_start", "window_end")]
+            closed = closed.groupBy("window_start", "window_end").agg(*sums)
+            replace_partitions(closed.withColumn(BATCH_ID, F.lit(batch_id)), f"{path}/closed", [BATCH_ID])
+        # The batch before is all that one that runs again needs.
+        write_note(spark, path, "watermarks", {k: v for k, v in (marks | {batch_id: after}).items() if k >= batch_id - 1})
+
+    return foreach_batch(trips, write, checkpoint, interval)
+
+
+def _read_parts(spark: SparkSession, path: str, by: list[str]) -> DataFrame:
+    """Sums of windows with the columns that part them; none where nothing was written."""
+    nothing = spark.createDataFrame([], "event_time timestamp, fare_usd double, distance_km double")
+    schema = window_parts(nothing).schema
+    for column in by:
+        schema = schema.add(column, "date")
+    schema = schema.add(BATCH_ID, "long")
+    return spark.read.schema(schema).parquet(path) if table_exists(spark, path) else spark.createDataFrame([], schema)
+
+
+def amended_windows(spark: SparkSession, path: str) -> DataFrame:
+    """The closed windows of ``windows_with_amendments`` with the trips that came after, as rows of ``daily_window``."""
+    closed, more = (_read_parts(spark, f"{path}/{kind}", []) for kind in ("closed", "amendments"))
+    return whole_windows(closed.unionByName(more).drop(BATCH_ID))
+
+
 def dedup_stream(
     trips: DataFrame, key: str = "ride_id", watermark: str = "1 hour", salts: int = 64
 ) -> DataFrame:
