@@ -130,7 +130,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     )
     # One row per slice from here on.
     row = F.struct("id", "h", DRAW, "text")
-    ends = cut.groupBy(SLICE).agg(F.min(row).alias("first"), F.max(row).alias("last"), F.count_if(all_columns(texts)).alias("rows"))
+    ends = cut.groupBy(SLICE).agg(F.min(row).alias("first"), F.max(row).alias("last"), F.count_if(all_columns(cut)).alias("rows"))
     by_slice = Window.orderBy(SLICE)
     least = F.min(SLICE).over(by_slice.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     follows = ends.where("rows > 0").select(SLICE, F.coalesce(F.lead(SLICE).over(by_slice), least).alias("after"))
