@@ -60,3 +60,35 @@ def test_similar_sets_meet_in_a_band(percent):
         partner = size * 100 // percent
         assert band(partner) <= band(size) + 1
         assert bands.segments[band(size)] > bands.most_apart(size, min(partner, bands.low[band(size) + 1] - 1))
+
+
+def filled_in(seed, n, changes, length=120, templates=3, letters=400):
+    """Texts of a few templates, each with some words put in their place."""
+    rng = random.Random(seed)
+    bases = [[f"w{rng.randrange(letters)}" for _ in range(length)] for _ in range(templates)]
+    rows = []
+    for d in range(n):
+        words = list(rng.choice(bases))
+        for place in rng.sample(range(length), rng.choice(changes)):
+            words[place] = f"w{rng.randrange(letters)}"
+        rows.append((d, " ".join(words[: length - rng.choice([0, 0, 0, 3, 10])])))
+    return rows
+
+
+@pytest.mark.parametrize("rare, words, percent", [(2, 3, 90), (32, 2, 80)])
+def test_texts_of_one_template_equal_all_pairs(spark, monkeypatch, rare, words, percent):
+    monkeypatch.setattr(ngram_join, "RARE", rare)
+    rows = filled_in(rare, 150, (1, 2, 3, 4, 5, 6))
+    got = ngram_join.with_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), words, percent)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == sorted(brute.components(rows, words, percent))
+
+
+def test_dissimilar_texts_of_one_template_seldom_meet(spark, monkeypatch):
+    """Five words in three hundred apart, so none are similar: all would meet if all were compared that agree somewhere."""
+    compared, real = [], ngram_join._verified
+    monkeypatch.setattr(ngram_join, "_verified", lambda pairs, *a: compared.append(pairs.count()) or real(pairs, *a))
+    for n in (300,):
+        rows = filled_in(n, n, (5,), length=300, templates=1, letters=3000)
+        compared.clear()
+        got = ngram_join.op10_ngram_join(spark.createDataFrame([(d, t) for d, t in rows if len(t.split()) == 300], "doc_id long, text string")).collect()
+        assert len({r.component_id for r in got}) == len(got) and sum(compared) < 30 * len(got)

@@ -15,17 +15,27 @@ hashed into m > H segments, so such sets agree in a segment whole, or almost who
 Equal sets are one node from the start, and a bucket is never expanded into all its pairs. One
 member of each bucket, the one that lies in most buckets, meets the others; sets found similar are
 merged into classes, and a bucket whose other members are of one class is done. Members of the
-rest are not similar to the middle of their group, so they hold shingles that few others do:
-they are indexed by their rarest shingles, as many as they can miss of a similar set and one
-more. In these buckets, small as a rule, a number of leaders that grows by the round meets the
+rest are not similar to the middle of their group: texts from one template, say, that each fill it in
+otherwise. They are indexed a second time, by what few of them hold (a shingle is *rare* if RARE of them have it at most):
+
+* Two sets that share a rare shingle have one among the rarest of both, as many as a set can miss of a similar one and
+  one more. These are indexed as they are, and their buckets hold RARE sets at most.
+* Two sets that share none differ in all the rare shingles of both, which uses up most of what they may differ in.
+  Their other shingles are hashed into segments for what is left, on a level for each number of rare
+  shingles, and subsets of several segments are indexed, of as many as leave a bounded number of rows: with little
+  left to differ in, nearly all of the set must agree.
+
+In these buckets a number of leaders that grows by the round meets the
 members of other classes, until each bucket is of one class. So near copies cost one
-comparison each, and no pair of different classes that could be similar is left unverified.
+comparison each, texts of one template that are not similar seldom meet, and no pair of different classes that could be
+similar is left unverified.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -37,19 +47,23 @@ from tripweave.llm.common import Steps, bounded, filled, kept
 from tripweave.llm.components import components
 from tripweave.llm.shingles import Words, shingle_sets
 
-BAND_RATIO = 1.5
+BAND_RATIO = 1.5  # of the first index; a set lies in two bands at most
 FIRST_SLOTS = 256  # leaders that a bucket of rare shingles has at most in the first round
 MORE_SLOTS = 8  # times as many in each round after
+RARE = 32  # sets that have a shingle which counts as rare
+SUBSETS = 32  # rows of a set on one level of the second index, where one segment each would be fewer
+NARROW = 1.05  # size bands of the second index
 TEAM = 1000  # members compared with one leader in one task
 _DEEP = bs.U64(0x5851F42D4C957F2D)
 
 
 class Bands:
-    """Size bands, and for each the number of segments."""
+    """Size bands, and for each of the first index (no ``ratio`` given) the number of segments."""
 
-    def __init__(self, percent: int, ratio: float = BAND_RATIO) -> None:
+    def __init__(self, percent: int, ratio: float | None = None) -> None:
         self.percent = percent
-        self._ratio = max(ratio, 110 / percent)
+        self._allocates = ratio is None
+        self._ratio = ratio or max(BAND_RATIO, 110 / percent)
         self.low = [1]
         self.segments: list[int] = []
 
@@ -57,7 +71,8 @@ class Bands:
         while self.low[-1] <= size:
             low = self.low[-1]
             self.low.append(max(low + 1, math.ceil(low * self._ratio)))
-            self.segments.append(self._allocate(self.low[-1] - 1))
+            if self._allocates:
+                self.segments.append(self._allocate(self.low[-1] - 1))
 
     def most_apart(self, size, partner):
         return (100 - self.percent) * (size + partner) // (100 + self.percent)
@@ -219,19 +234,114 @@ def _tokens(words: int):
     return scan
 
 
-def _rare_shingles(texts: DataFrame, words: int, percent: int, steps: Steps) -> DataFrame:
-    """Index rows (key, s, n, i): the shingles of each set that are rarest among ``texts``, rarest first.
+def _subsets(budget: int) -> tuple[int, np.ndarray]:
+    """Segments for sets that differ in ``budget`` of them at most, and the subsets of segments of which they agree in one."""
+    together = 1  # sets that may not differ at all agree in the one segment there is
+    while budget and math.comb(budget + together + 1, together + 1) <= SUBSETS:
+        together += 1
+    segments = budget + together
+    return segments, np.array(list(combinations(range(segments), together)))
+
+
+def _levels(rare: np.ndarray | int) -> np.ndarray | int:
+    """The level of a number of rare shingles: the number itself, and ever wider steps beyond 32."""
+    wide = np.floor(np.log(np.maximum(rare, 32) / 32) / math.log(1.1)).astype(int)
+    return np.where(np.asarray(rare) < 32, rare, 32 + wide)
+
+
+def _least_rare(level: int) -> int:
+    return level if level < 32 else math.ceil(32 * 1.1 ** (level - 32) - 1e-9)
+
+
+def _common_segments(percent: int, owned: dict[int, list[int]]):
+    """Index rows (key, s, n, i, leads, owns) by the shingles of a set that are not rare.
+
+    A pair without a shared rare shingle meets in the size band of the larger set, which leads there, on the level of the one
+    with fewer rare shingles, which owns it. ``owned`` has the levels that occur in each band.
+    """
 
-    A set of n has as many as it can miss of a similar set, and one more, so similar sets meet in one.
-    Shingles of one set alone come first in that order; nothing meets there, so they are only counted.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands, plans = Bands(percent, NARROW), {}
+        for batch in batches:
+            names, sizes, rares = (batch.column(c).to_numpy() for c in ("s", "n", "r"))
+            common = batch.column("common")
+            flat, at = common.values.to_numpy(), common.offsets.to_numpy()
+            bands.reach(int(sizes.max(initial=1)) * 100 // percent + 1)
+            low = np.array(bands.low)
+            first = np.searchsorted(low, sizes, "right") - 1
+            last = np.searchsorted(low, sizes * 100 // percent, "right") - 1
+            levels = _levels(rares)
+            key, who, lead, own = [], [], [], []
+            for x in range(batch.num_rows):
+                token = flat[at[x] : at[x + 1]].astype(np.int64).view(bs.U64)
+                for b in range(first[x], last[x] + 1):
+                    top = int(low[b + 1]) - 1
+                    for level in owned.get(b, ()):
+                        if level > levels[x]:
+                            break
+                        fewest = _least_rare(level)
+                        most = bands.most_apart(top, min(top, int(sizes[x]) * 100 // percent))
+                        budget = bands.most_apart(top, top) - 2 * fewest
+                        if budget < 0 or most < fewest + rares[x]:
+                            continue
+                        if budget not in plans:
+                            plans[budget] = _subsets(budget)
+                        segments, subsets = plans[budget]
+                        salt = bs.mix(np.array([b * 4096 + level], bs.U64))
+                        cell = ((token >> bs.U64(16)) % bs.U64(segments)).astype(np.int64)
+                        total = np.zeros(segments, bs.U64)
+                        np.add.at(total, cell, bs.mix(token + salt))
+                        found = bs.mix(total[subsets].sum(axis=1, dtype=bs.U64) + bs.mix(np.arange(len(subsets), dtype=bs.U64) + salt))
+                        # Subsets without a shingle would agree everywhere; a set that has them is beside all others that do.
+                        some = np.bincount(cell, minlength=segments)[subsets].sum(axis=1) > 0
+                        found = found[some]
+                        if not some.all():
+                            found = np.append(found, bs.mix(salt + _DEEP))
+                        key.append(found)
+                        who.append(np.full(len(found), x))
+                        lead.append(np.full(len(found), b == first[x]))
+                        own.append(np.full(len(found), level == levels[x]))
+            if key:
+                who = np.concatenate(who)
+                columns = [bs.signed(np.concatenate(key)), names[who], sizes[who], rares[who].astype(np.int64) + 1, np.concatenate(lead), np.concatenate(own)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "s", "n", "i", "leads", "owns"])
+
+    return run
+
+
+def _second_index(texts: DataFrame, words: int, percent: int, steps: Steps) -> DataFrame:
+    """Index rows (key, s, n, i, leads, owns) of the sets that the first round left: ``i`` - 1 of a set's shingles are not shared with those it meets here.
+
+    Shingles of one set alone come first among the rarest; nothing meets there, so they are only counted.
     """
     tokens = texts.mapInArrow(_tokens(words), "s long, n long, h long")
     often = steps.kept(tokens.groupBy("h").agg(F.count("*").alias("f")).where("f > 1"), "sets-often")
-    ordered = tokens.join(often, "h").groupBy("s", "n").agg(F.sort_array(F.collect_list(F.struct("f", "h"))).alias("rare"))
-    ordered = ordered.withColumn("alone", F.col("n") - F.size("rare"))
+    ordered = tokens.join(often, "h", "left").groupBy("s", "n")
+    ordered = ordered.agg(F.sort_array(F.collect_list(F.when(F.col("f").isNotNull(), F.struct("f", "h")))).alias("held"))
+    ordered = ordered.withColumn("alone", F.col("n") - F.size("held"))
+    ordered = steps.kept(ordered.withColumn("r", F.col("alone") + F.size(F.filter("held", lambda t: t["f"] <= RARE))), "sets-ordered")
+
     length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - F.col("alone")
-    prefix = ordered.select("s", "n", "alone", F.posexplode(F.slice("rare", F.lit(1), F.greatest(length, F.lit(0)).cast("int"))).alias("i", "t"))
-    return prefix.select(F.col("t.h").alias("key"), "s", "n", (F.col("alone") + F.col("i") + 1).alias("i"))
+    prefix = ordered.select("s", "n", "alone", F.posexplode(F.slice("held", F.lit(1), F.greatest(length, F.lit(0)).cast("int"))).alias("i", "t"))
+    rare = prefix.where(F.col("t.f") <= RARE).select(F.col("t.h").alias("key"), "s", "n", (F.col("alone") + F.col("i") + 1).alias("i"))
+
+    common = ordered.select("s", "n", "r", F.transform(F.filter("held", lambda t: t["f"] > RARE), lambda t: t["h"]).alias("common"))
+    # A band has as many levels as its sets may differ in, there are as many bands as the sizes have digits, times fifty.
+    owned: dict[int, set[int]] = {}
+    bands = Bands(percent, NARROW)
+    # The set of a pair that has fewer rare shingles has no more than half of what the larger may differ in.
+    half = F.col("r") * percent * (100 + percent) <= F.col("n") * 100 * (100 - percent)
+    for row in ordered.where(half).groupBy("n").agg(F.collect_set("r").alias("r")).toLocalIterator():
+        bands.reach(row.n * 100 // percent + 1)
+        low = np.array(bands.low)
+        for b in range(int(np.searchsorted(low, row.n, "right")) - 1, int(np.searchsorted(low, row.n * 100 // percent, "right"))):
+            owned.setdefault(b, set()).update(int(_levels(r)) for r in row.r)
+    levels = {b: sorted(x) for b, x in owned.items()}
+    rows = common.mapInArrow(_common_segments(percent, levels), "key long, s long, n long, i long, leads boolean, owns boolean")
+    rows = steps.kept(rows, "sets-segments")
+    met = rows.groupBy("key").agg((F.bool_or("leads") & F.bool_or("owns") & (F.min("s") < F.max("s"))).alias("open")).where("open").select("key")
+    both = F.lit(True)
+    return rare.withColumns({"leads": both, "owns": both}).unionByName(rows.join(steps.kept(met, "sets-met"), "key", "left_semi"))
 
 
 def _with_class(rows: DataFrame, classes: DataFrame | None) -> DataFrame:
@@ -272,25 +382,25 @@ def linked_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, D
     several = rest.groupBy("key").agg((F.min("p") < F.max("p")).alias("several")).where("several").select("key")
     hard = rest.join(steps.kept(several, "sets-open"), "key", "left_semi").select("s").distinct()
 
-    # What is left is compared by rare shingles, bucket by bucket.
-    bucket = steps.kept(_rare_shingles(steps.kept(texts.join(hard, "s", "left_semi"), "sets-hard"), words, percent, steps), "sets-prefixes")
+    # What is left is indexed again, by what few of it hold, and compared bucket by bucket.
+    bucket = steps.kept(_second_index(steps.kept(texts.join(hard, "s", "left_semi"), "sets-hard"), words, percent, steps), "sets-prefixes")
     seen, slots = pairs, FIRST_SLOTS
     while True:
         bucket = _with_class(bucket, classes)
-        several = bucket.groupBy("key").agg((F.min("p") < F.max("p")).alias("several")).where("several").select("key")
+        several = bucket.groupBy("key").agg((F.bool_or("leads") & F.bool_or("owns") & (F.min("p") < F.max("p"))).alias("several")).where("several").select("key")
         bucket = steps.kept(bucket.join(steps.kept(several, "sets-open"), "key", "left_semi"), "sets-buckets")
         if bucket.isEmpty():
             break
         slot = F.pmod(F.xxhash64("s", "key"), F.lit(slots))
-        chosen = bucket.groupBy("key", slot.alias("slot")).agg(F.min(F.struct("s", "p", "n", "i")).alias("l"))
-        chosen = chosen.select("key", F.col("l.s").alias("leader"), F.col("l.p").alias("lp"), F.col("l.n").alias("ln"), F.col("l.i").alias("li"))
+        chosen = bucket.where("leads").groupBy("key", slot.alias("slot")).agg(F.min(F.struct("s", "p", "n", "i", "owns")).alias("l"))
+        chosen = chosen.select("key", F.col("l.s").alias("leader"), F.col("l.p").alias("lp"), F.col("l.n").alias("ln"), F.col("l.i").alias("li"), F.col("l.owns").alias("lowns"))
         chosen = steps.kept(chosen, "sets-leaders")
         # Where this is the first shingle two sets share, they share no more than follow it in both.
         enough = (F.least(F.col("n") - F.col("i"), F.col("ln") - F.col("li")) + 1) * (100 + percent) >= percent * (F.col("n") + F.col("ln"))
         leading = chosen.select("key", F.col("leader").alias("s"))
         # A pair of two leaders is met from both sides: keep one.
-        met = bucket.join(chosen, "key").where((F.col("lp") != F.col("p")) & enough)
-        met = met.join(leading.withColumn("leads", F.lit(True)), ["key", "s"], "left").where("leads is null or leader < s")
+        met = bucket.join(chosen, "key").where((F.col("lp") != F.col("p")) & (F.col("owns") | F.col("lowns")) & enough)
+        met = met.join(leading.withColumn("leading", F.lit(True)), ["key", "s"], "left").where("leading is null or leader < s")
         done = seen.union(seen.select(F.col("s").alias("leader"), F.col("leader").alias("s")))
         pairs = steps.kept(met.select("leader", "s").distinct().join(done, ["leader", "s"], "left_anti"), "sets-pairs")
         if not pairs.isEmpty():
