@@ -85,3 +85,35 @@ def test_runs_no_python(spark, sf_dir):
     for name in ("op5_quote_links", "op6_decontaminate"):
         plan = plan_of(registered()[name](spark, sf_dir))
         assert not [n for n in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoop", "ExistingRDD") if n in plan]
+
+
+def test_a_preface_that_many_items_share_leads_to_none_of_them(spark, monkeypatch):
+    """As many documents as items begin with the same 24 words; no document holds an item."""
+    candidates, real = [], decontaminate.kept
+
+    def counted(df, label):
+        out = real(df, label)
+        if label == "leak-candidates":
+            candidates.append(out.selectExpr("coalesce(sum(size(candidates)), 0)").first()[0])
+        return out
+
+    monkeypatch.setattr(decontaminate, "kept", counted)
+    rng = random.Random(3)
+    preface = " ".join(f"p{i}" for i in range(24))
+    text = lambda k: " ".join(f"w{rng.randrange(5000)}" for _ in range(k))
+    for n in (50, 100):
+        items = [(i, f"{preface} {text(30)}") for i in range(n)]
+        docs = [(i, f"{preface} {text(100)}") for i in range(n)] + [(1000, "so " + items[7][1])]
+        got = decontaminate.leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()
+        assert [(r.doc_id, r.item_id) for r in got] == [(1000, 7)]
+        assert candidates.pop() <= 2
+
+
+def test_a_text_beyond_one_block(spark):
+    rng = random.Random(8)
+    body = [f"w{rng.randrange(9000)}" for _ in range(120_000)]
+    item = " ".join(f"i{k}" for k in range(40))
+    docs = [(1, " ".join([*body[:90_000], item, *body[90_000:]])), (2, " ".join(body))]
+    items = [(5, item), (6, " ".join(body[50_000:50_030])), (7, "not here at all in any text")]
+    got = decontaminate.leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS))
+    assert Counter(map(tuple, got.collect())) == long_way(docs, items)

@@ -1,7 +1,8 @@
 """Benchmark items inside documents, by size-partitioned MinHash containment search.
 
 A sketch of a long document says little about a short passage in it, so sketches are of
-the items: the shingles with the least hashes. Items are partitioned by size, and for each
+the items: the shingles that the fewest items hold, and of these the ones with the least hashes. So
+a preface that many items share leads to none of them. Items are partitioned by size, and for each
 size band the sketch is long enough that a document with the wanted share of an item must hold
 at least HITS shingles of its sketch: it can miss no more than the rest. So the search
 compares documents with a small index and loses nothing; what it finds is verified by
@@ -39,6 +40,10 @@ def _hash(window: Column) -> Column:
     return F.xxhash64(window)
 
 
+def _tagged(hashes: Column, width: int) -> Column:
+    return F.transform(hashes, lambda h: F.struct(F.lit(width).alias("width"), h.alias("h")))
+
+
 def _plain(window: Column) -> Column:
     return F.array_join(window, " ")
 
@@ -56,13 +61,16 @@ def _items(benchmark: DataFrame, words: int, percent: int, text: str, item_id: s
 
 
 def _sketches(items: DataFrame) -> DataFrame:
-    """Per item the shingles of least hash (h), and how many of them a match must hold."""
+    """Per item the shingles (h) that the fewest items hold, those of least hash first, and how many of them a match must hold."""
     top = F.pow(2.0, F.ceil(F.log2(F.col("n").cast("double")))).cast("long")  # the largest size of the item's band
     length = F.least(F.col("n"), F.floor(top * (1 - F.col("need") / F.col("n"))) + HITS)
-    hashes = F.transform("shingles", lambda s: F.xxhash64(F.split(s, " ")))
-    sketch = items.withColumn("least", F.slice(F.array_sort(hashes), F.lit(1), length.cast("int")))
-    hits = F.least(F.lit(HITS), F.size("least") - (F.col("n") - F.col("need")))
-    return sketch.select("key", "n", "width", F.greatest(hits, F.lit(1)).alias("hits"), F.explode("least").alias("h"))
+    hashed = F.transform("shingles", lambda s: F.xxhash64(F.split(s, " ")))
+    each = items.select("key", "n", "need", "width", length.cast("int").alias("length"), F.explode(F.array_distinct(hashed)).alias("h"))
+    held = each.groupBy("width", "h").agg(F.count("*").alias("items"))
+    ranked = each.join(held, ["width", "h"]).groupBy("key", "n", "need", "width", "length")
+    sketch = ranked.agg(F.sort_array(F.collect_list(F.struct("items", "h"))).alias("rarest")).withColumn("rarest", F.slice("rarest", F.lit(1), F.col("length")))
+    hits = F.least(F.lit(HITS), F.size("rarest") - (F.col("n") - F.col("need")))
+    return sketch.select("key", "n", "width", F.greatest(hits, F.lit(1)).alias("hits"), F.explode("rarest.h").alias("h"))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, words: int = 5, percent: int = 80, text: str = "text", item_id: str = "item_id") -> DataFrame:
@@ -72,18 +80,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, words: int = 5, percent: int
     sketches = kept(_sketches(named), "item-sketches")
     small = sketches.count() <= BROADCAST_ROWS
     index = F.broadcast(sketches) if small else sketches
-    widths = sorted(r.width for r in items.select("width").distinct().collect())  # at most ``words`` of them
+    widths = sorted(r.width for r in items.select("width").distinct().collect()) or [words]  # at most ``words`` of them
 
     one, two = digests(filled(text))
     texts = docs.select(filled(text).alias("text"), one.alias("t1"), two.alias("t2"))
     split = texts.select("t1", "t2", words_of(F.col("text")).alias("words"))
-    found = None
-    for width in widths:
-        grams = split.select("t1", "t2", F.explode(_windows(F.col("words"), F.lit(width), _hash)).alias("h"))
-        hit = grams.join(index.where(F.col("width") == width), "h").select("t1", "t2", "key", "n", "hits", "h")
-        found = hit if found is None else found.union(hit)
-    if found is None:
-        found = texts.where("false").join(sketches, F.lit(False)).select("t1", "t2", "key", "n", "hits", "h")
+    grams = [_tagged(_windows(F.col("words"), F.lit(width), _hash), width) for width in widths]
+    each = split.select("t1", "t2", F.explode(F.concat(*grams)).alias("g")).select("t1", "t2", F.col("g.width").alias("width"), F.col("g.h").alias("h"))
+    found = each.join(index, ["width", "h"]).select("t1", "t2", "key", "n", "hits", "h")
     searched = found.groupBy("t1", "t2", "key", "n", "hits").agg(F.size(F.collect_set("h")).alias("got")).where("got >= hits")
     searched = kept(searched.groupBy("t1", "t2").agg(F.collect_set("key").alias("candidates")), "leak-candidates")
 
