@@ -180,7 +180,11 @@ def _middles(rows: DataFrame, values: Column) -> DataFrame:
 
 
 def _starts(rows: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Estimates to begin at, of (g1, g2, t1, t2, vector): 0 of all texts, 1 of medians, and of drawn texts."""
+    """Estimates to begin at, of (g1, g2, t1, t2, vector): 0 of all texts, 1 of medians, and of drawn texts.
+
+    They are written, so that Spark knows how few they are: it would send every vector to the task of its group to meet a
+    table whose size it can only guess.
+    """
     drawn = rows.join(sizes, ["g1", "g2"])
     mark = lambda k: F.pmod(F.xxhash64(F.lit(k), "t1", "t2"), F.col("n")) < DRAWN
     starts = F.array(F.lit(0), *(F.when(mark(k), F.lit(k)) for k in range(2, 2 + SEEDS)))
@@ -193,7 +197,8 @@ def _starts(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     variance = [F.pow(F.col("apart")[i] / 0.6745, 2.0) + FLOOR[i] ** 2 for i in range(_DIMS)]
     inverse = F.array(*(1 / variance[i] if i == j else F.lit(0.0) for i in range(_DIMS) for j in range(_DIMS)))
     plain = medians.join(spread, ["g1", "g2"])
-    return fitted.drop("size").union(plain.select("g1", "g2", F.lit(1).alias("start"), F.col("middle").alias("centre"), inverse.alias("inverse")))
+    of_medians = plain.select("g1", "g2", F.lit(1).alias("start"), F.col("middle").alias("centre"), inverse.alias("inverse"))
+    return kept(fitted.drop("size").union(of_medians), "rules-starts")
 
 
 def _measured(rows: DataFrame, estimates: DataFrame) -> DataFrame:
