@@ -1,3 +1,6 @@
+import math
+import time
+
 import pytest
 
 from tripweave.llm import html_text
@@ -12,7 +15,8 @@ PAGES = {
     "<table><tr><td colspan=2>wide<tr><td>a<td>b</table>after": "wide\na  b\n\nafter",
     "<table><td>a<td><table><td>in<td>ner</table></table>": "a  in  ner",
     "<pre>\n a\n   b</pre>c": " a\n   b\n\nc",
-    "<div hidden>x</div><i style='display : none'>y</i><p aria-hidden=true>z</p>shown": "shown",
+    # What is hidden from screen readers alone is seen by all others.
+    "<div hidden>x</div><i style='display : none'>y</i><p aria-hidden=true>z</p>shown": "z\n\nshown",
     "<style>/* p{} */ .gone, b#q { display:none } i{color:red}</style><p class='a gone'>x</p><b id=q>y</b><i id=q>z</i>": "z",
     "<head><title>t</title><script>a<b</script></head><body>in<!-- c --><noscript>n</noscript></body>": "in",
     "a &amp; &eacute;&nbsp;b&#x41;": "a & é bA",
@@ -38,6 +42,24 @@ def test_any_nesting_is_safe():
     assert visible_text("<ul><li>" * 2000 + "x").strip("- ") == "x"
 
 
+@pytest.mark.parametrize("tag", ["<div>", "<b>", "<ul><li>", "<table><tr><td>", "<p><span>", "<svg><g>"])
+def test_time_is_in_proportion_to_the_page(tag):
+    def seconds(size):
+        page = tag * (size // len(tag)) + "x" + "</i></p>" * 2000
+        best = math.inf
+        for _ in range(2):
+            start = time.process_time()
+            builder = html_text.TreeBuilder()
+            builder.feed(page)
+            builder.close()
+            best = min(best, time.process_time() - start)
+        return best
+
+    seconds(50_000)
+    half, whole = seconds(500_000), seconds(1_000_000)
+    assert whole < 15 and whole < 3.5 * half
+
+
 def test_pages(spark):
     rows = [(1, "u", None, "t"), (2, None, "", "t"), (3, "v", "<p>a", "t"), (3, "v", "<p>a", "t")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, tag string")
@@ -58,7 +80,7 @@ SHOWN = {
     "<style>.tab{display:block}</style><div hidden class=tab>a</div><div hidden>b</div>": "a",
     "<div style='visibility:hidden'>a <b style='visibility:visible'>b</b> c</div>": "b",
     "so <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac><annotation encoding=t>x=</annotation></math> holds": "so x= 1 2 holds",
-    "<span><math><semantics><mi>E</mi><annotation encoding='application/x-tex'>E</annotation></semantics></math></span><span aria-hidden=true>E</span>": "E",
+    "<span><math><semantics><mi>E</mi><annotation encoding='application/x-tex'>E</annotation></semantics></math></span><span aria-hidden=true>E</span>": "EE",
     "<svg><title>t</title><defs/><style>.x{fill:red}</style><desc>d</desc><rect/><text>one <tspan>label</tspan></text> <text>two</text></svg>on": "one label\ntwo\non",
     "<svg><defs><text>not drawn</text></defs></svg><p>a": "a",
 }

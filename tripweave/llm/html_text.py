@@ -9,6 +9,8 @@ explicit stacks, so nesting of any depth is safe.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections.abc import Iterable
 from html.parser import HTMLParser
 from itertools import zip_longest
 
@@ -66,26 +68,36 @@ class Node:
 
 
 class TreeBuilder(HTMLParser):
-    """The element tree of a page, and the rules of its style sheets on what is shown, by selectors without combinators."""
+    """The element tree of a page, and the rules of its style sheets on what is shown, by selectors without combinators.
+
+    The places of the open elements are kept by tag, so a search among them looks at the tags sought and not at all that
+    is open: the time is in proportion to the page, however deep it is.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = Node("html", {})
         self._open = [self.root]
+        self._places: dict[str, list[int]] = {}  # of the open elements of each tag, outermost first
         self.rules: dict[str, list[tuple]] = {}  # by one name of the selector: (tag, names, rank, what is said)
         self._read = 0
 
+    def _innermost(self, tags: Iterable[str]) -> int:
+        """The place of the nearest open element of ``tags``, 0 if there is none."""
+        return max((self._places[t][-1] for t in tags if self._places.get(t)), default=0)
+
+    def _cut(self, place: int) -> None:
+        """Close the open elements from a place on."""
+        for node in self._open[place:]:
+            self._places[node.tag].pop()
+        del self._open[place:]
+
     def _close(self, tags: set[str], limits: set[str]) -> None:
         """Close the outermost open element of ``tags`` inside the nearest of ``limits``."""
-        found = None
-        for depth in range(len(self._open) - 1, 0, -1):
-            tag = self._open[depth].tag
-            if tag in limits:
-                break
-            if tag in tags:
-                found = depth
-        if found is not None:
-            del self._open[found:]
+        limit = self._innermost(limits)
+        inside = [places[bisect_right(places, limit)] for t in tags if (places := self._places.get(t)) and places[-1] > limit]
+        if inside:
+            self._cut(min(inside))
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "html":
@@ -99,22 +111,24 @@ class TreeBuilder(HTMLParser):
         if tag in ("td", "th") and self._open[-1].tag in ("table", "thead", "tbody", "tfoot"):
             self._push("tr", {})
         if tag not in UNSEEN and self._open[-1].tag == "head":
-            self._open.pop()
+            self._cut(len(self._open) - 1)
         self._push(tag, dict(attrs))
         if tag in VOID:
-            self._open.pop()
+            self._cut(len(self._open) - 1)
 
     def parse_marked_section(self, i: int, report: int = 1) -> int:
         return self.parse_bogus_comment(i)  # a page may hold sections that are not HTML
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # the slash means nothing in HTML, but closes in drawings and formulas
-        if self._open[-1].tag == tag and any(node.tag in ("svg", "math") for node in self._open[:-1]):
-            self._open.pop()
+        here = len(self._open) - 1
+        if self._open[here].tag == tag and any(p and p[0] < here for p in map(self._places.get, ("svg", "math"))):
+            self._cut(here)
 
     def _push(self, tag: str, attrs: dict[str, str | None]) -> None:
         node = Node(tag, attrs)
         self._open[-1].children.append(node)
+        self._places.setdefault(tag, []).append(len(self._open))
         self._open.append(node)
 
     def handle_endtag(self, tag: str) -> None:
@@ -122,13 +136,10 @@ class TreeBuilder(HTMLParser):
             self._open[-1].children.append(Node("br", {}))
             return
         limits = set() if tag in SCOPES or tag in ("tr", "thead", "tbody", "tfoot") else SCOPES
-        for depth in range(len(self._open) - 1, 0, -1):
-            if self._open[depth].tag == tag:
-                del self._open[depth:]
-                return
-            if self._open[depth].tag in limits:
-                break
-        if tag == "p":
+        place = self._innermost([tag])
+        if place and place >= self._innermost(limits):
+            self._cut(place)
+        elif tag == "p":
             self._open[-1].children.append(Node("p", {}))
 
     def handle_data(self, data: str) -> None:
@@ -137,7 +148,7 @@ class TreeBuilder(HTMLParser):
             if _on_screen(here.attrs.get("media") or ""):
                 self._read_rules(re.sub(r"/\*.*?\*/", "", data, flags=re.S))
         elif here.tag == "head" and data.strip():
-            self._open.pop()
+            self._cut(len(self._open) - 1)
             self._open[-1].children.append(data)
         else:
             here.children.append(data)
@@ -202,7 +213,7 @@ def shown(node: Node, rules: dict[str, list[tuple]], visible: bool) -> bool | No
 
     As in a browser, what is important holds first, then the style of the element, then the more special rule, then the last.
     """
-    if node.tag in UNSEEN or (node.attrs.get("aria-hidden") or "").lower() == "true":
+    if node.tag in UNSEEN:
         return None
     best: dict[str, tuple] = {}
     if "hidden" in node.attrs or node.tag == "dialog" and "open" not in node.attrs:
