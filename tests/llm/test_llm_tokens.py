@@ -98,3 +98,35 @@ def test_cutting_at_safe_places_changes_no_ids(parts):
     ids = byte_bpe(default_path("byte_bpe_50k.json"))
     cut = [list(ids(p)) for p in safe_parts(text, 3)]
     assert sum(cut, []) == list(ids(text))
+
+
+LONG_RUNS = {
+    "blanks": "one" + " " * 2_000_000 + "two",
+    "line ends": "\n" * 2_000_000,
+    "mixed": "x" + " \t\n\r\x0b\x0c\u00a0\u3000" * 250_000 + " end",
+    "one letter": "a" * 2_000_000,
+    "several runs": ("word" + " " * 60_000) * 3 + "<|endoftext|>" + "\t" * 70_000 + " x y" * 9,
+}
+
+
+def test_long_runs_are_packed_with_the_ids_of_the_own_library(spark):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(default_path("byte_bpe_50k.json"))
+    docs = list(enumerate(LONG_RUNS.values()))
+    want = Counter()
+    for d, t in docs:
+        ids = np.array([*library.encode(t, add_special_tokens=False).ids, 0], "<u4")
+        for a in range(0, len(ids), 1024):
+            want[(d, a, len(ids[a : a + 1024]), zlib.crc32(ids[a : a + 1024].tobytes()), len(ids))] += 1
+    got = packing.op8_packing(spark.createDataFrame(docs, SHAPE)).collect()
+    assert Counter((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in got) == want
+
+
+def test_long_runs_are_counted_as_the_library_does(spark):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=default_path("piece_bpe_32k.model"))
+    docs = list(enumerate(LONG_RUNS.values()))
+    got = {r.doc_id: r.n_tokens for r in token_counts.op9_token_counts(spark.createDataFrame(docs, SHAPE)).collect()}
+    assert got == {d: len(model.encode(t)) for d, t in docs}
