@@ -64,7 +64,7 @@ def conversations(seed: int, n: int = 120) -> list[tuple]:
     return rows
 
 
-@pytest.mark.parametrize("shard_rows", [0, 3, 40, 100_000])
+@pytest.mark.parametrize("shard_rows", [3, 100_000])
 def test_equals_dictionaries(spark, shard_rows):
     rows = conversations(1)
     assert found(spark, rows, shard_rows=shard_rows) == brute(rows)
@@ -75,8 +75,7 @@ def test_copies_and_a_very_long_conversation(spark):
     rows = [(700, t, "user", f"turn {t}") for t in range(2000)]
     rows += [(1000 + c, t, "user", f"same {t}") for c in range(200) for t in range(10)]
     rows += conversations(2, 60)
-    for shard_rows in (500, 100_000):
-        assert found(spark, rows, shard_rows=shard_rows) == brute(rows)
+    assert found(spark, rows, shard_rows=500) == brute(rows)
 
 
 def test_nulls_ties_and_other_columns(spark):
