@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -84,6 +85,20 @@ def test_long_text_and_other_columns(spark):
     assert dict(result.dtypes) == {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"}
 
 
+def test_memory_of_a_full_shard_is_bounded():
+    """Every core of an executor holds the tree of one shard: from the cells to the tree, a full one takes 200 MB at most."""
+    rng = np.random.default_rng(3)
+    shard = ts._Shard()
+    for doc in range(400):
+        shard.add(doc, [b"%d" % t for t in rng.zipf(1.3, 600) % 30_000])
+    row = shard.row().to_pylist()[0]
+    tracemalloc.start()
+    tree, _, _ = ts._treap_of(row, 400, sum(row["lengths"]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert tree.impact[0] > 0 and peak / shard.cells * ts.SHARD_CELLS < 200e6
+
+
 def test_ranges_without_a_chance_are_not_opened(monkeypatch):
     """Of 4096 documents only some hold the rare terms asked for; most ranges are never halved."""
     rng = np.random.default_rng(0)

@@ -37,8 +37,10 @@ LENGTH_SHARE = 90
 
 TOP = 10
 #: A shard is closed at so many documents or cells; a document is never split.
-SHARD_DOCS = 8192
-SHARD_CELLS = 2_000_000
+SHARD_DOCS = 4096
+SHARD_CELLS = 1_000_000
+#: Cells whose impacts are worked out at once.
+CELLS_AT_ONCE = 1 << 18
 #: Items of one row of the query table, on average, and ranges that are halved at once.
 BLOCK_ITEMS = 256
 RANGES = 64
@@ -130,27 +132,34 @@ class Treap:
     """The compressed quadtree of one shard's impacts."""
 
     def __init__(self, rows: np.ndarray, columns: np.ndarray, impacts: np.ndarray) -> None:
-        codes = (_spread(rows) << np.uint64(1)) | _spread(columns)
+        # Narrow types, as a tree has several nodes per cell and every core of an executor holds one: impacts are below a million.
+        codes = _spread(columns)
+        codes |= _spread(rows) << np.uint64(1)
         order = np.argsort(codes)
-        codes, greatest = codes[order], impacts[order]
+        codes, greatest = codes[order], [impacts[order].astype(np.int32)]
+        del order
         self.height = int(max(int(rows.max()), int(columns.max()), 1)).bit_length()
-        levels = [(greatest, None, None)]
+        bits, firsts = [np.zeros(len(codes), np.uint8)], [np.zeros(len(codes), np.int32)]
         for _ in range(self.height):
-            quadrants, codes = codes & np.uint64(3), codes >> np.uint64(2)
+            quadrants = (codes & np.uint64(3)).astype(np.uint8)
+            codes >>= np.uint64(2)
             starts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
-            greatest = np.maximum.reduceat(greatest, starts)
-            bits = np.bitwise_or.reduceat(np.left_shift(1, quadrants.astype(np.int64)), starts)
+            greatest.append(np.maximum.reduceat(greatest[-1], starts))
+            bits.append(np.bitwise_or.reduceat(np.left_shift(np.uint8(1), quadrants), starts))
             codes = codes[starts]
-            levels.append((greatest, bits, starts))
-        levels.reverse()
-        firsts, end = [], 0
-        for greatest, bits, starts in levels:
-            end += len(greatest)
-            firsts.append(starts + end if starts is not None else np.zeros(len(greatest), np.int64))
+            firsts.append(starts.astype(np.int32))
+        del codes, quadrants, starts
+        end = 0
+        for level, starts in zip(reversed(greatest), reversed(firsts)):
+            end += len(level)
+            starts += end
+        firsts[0][:] = 0
         # One more node stands for empty squares: no impact, no children.
-        self.impact = np.concatenate([*(x[0] for x in levels), [0]]).astype(np.int64)
-        self.bits = np.concatenate([*(x[1] if x[1] is not None else np.zeros(len(x[0]), np.int64) for x in levels), [0]]).astype(np.int8)
-        self.first = np.concatenate([*firsts, [0]]).astype(np.int32)
+        self.impact = np.concatenate([*reversed(greatest), [0]], dtype=np.int32)
+        del greatest, level
+        self.bits = np.concatenate([*reversed(bits), [0]], dtype=np.int8, casting="unsafe")
+        del bits
+        self.first = np.concatenate([*reversed(firsts), [0]], dtype=np.int32)
         self.empty = len(self.impact) - 1
 
     def halves(self, nodes: np.ndarray, levels: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -201,13 +210,16 @@ NULL_ID = -(1 << 63)
 
 def _treap_of(shard: dict, documents: int, length: int) -> tuple[Treap, np.ndarray, dict[bytes, int]]:
     columns, frequencies = np.frombuffer(zstandard.decompress(shard["cells"]), "<i4").reshape(2, -1)
-    rows = np.repeat(np.arange(len(shard["df"]), dtype=np.int64), shard["df"])
+    rows = np.repeat(np.arange(len(shard["df"]), dtype=np.int32), shard["df"])
     share = {n: 100 - LENGTH_SHARE + (LENGTH_SHARE * n * documents) // length for n in set(shard["lengths"])}
-    m = np.array([share[n] for n in shard["lengths"]], np.int64)[columns]
-    tf = frequencies.astype(np.int64)
-    impacts = (IMPACT * tf) // (FREQUENCY_SCALE * tf + LENGTH_SCALE * m)
+    m = np.array([share[n] for n in shard["lengths"]], np.int64)
+    impacts = np.empty(len(rows), np.int32)
+    for a in range(0, len(rows), CELLS_AT_ONCE):
+        part = slice(a, a + CELLS_AT_ONCE)
+        tf = frequencies[part].astype(np.int64)
+        impacts[part] = (IMPACT * tf) // (FREQUENCY_SCALE * tf + LENGTH_SCALE * m[columns[part]])
     ids = np.array([NULL_ID if d is None else d for d in shard["docs"]], np.int64)
-    return Treap(rows, columns.astype(np.int64), impacts), ids, {t: i for i, t in enumerate(shard["terms"])}
+    return Treap(rows, columns, impacts), ids, {t: i for i, t in enumerate(shard["terms"])}
 
 
 def _searched(documents: int, length: int, top: int):
