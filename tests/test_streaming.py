@@ -1,6 +1,7 @@
 import re
 from datetime import timedelta
 
+import pyarrow as pa
 import pytest
 from helpers import T0, frame, plan_of, rows_of, trip
 from pyspark.sql import functions as F
@@ -179,6 +180,28 @@ def test_dedup_of_a_key_with_a_third_of_all_rows(spark, tmp_path):
     assert dedup(spark, tmp_path, trips, 8) == want
 
 
+def test_dedup_holds_each_key_in_one_state(spark, tmp_path):
+    trips = some_trips(spark, 40)
+    landing = str(tmp_path / "landing")
+    replay.land_in_event_order(trips.unionByName(trips), landing)
+    kept = jobs.dedup_stream(replay.replay_stream(spark, landing, trips), watermark="2 days")
+    query = jobs.append_stream(kept, str(tmp_path / "out"), str(tmp_path / "ck"), interval=None)
+    query.awaitTermination()
+    held = [sum(s.numRowsUpdated for s in p.stateOperators) for p in query.recentProgress]
+    assert sum(held) == 40 and {len(p.stateOperators) for p in query.recentProgress} == {1}
+
+
+def test_copies_in_a_batch_are_reduced_to_the_first_and_the_latest():
+    rows = {"_id": ["a", "b", "a", "a", "a", "b", "c", "c"], "event_time": [2, None, 5, 1, 5, None, None, 3], "n": list(range(8))}
+    batch = pa.RecordBatch.from_pydict({"_id": pa.array(rows["_id"]), "event_time": pa.array(rows["event_time"], pa.timestamp("us", "UTC")), "n": pa.array(rows["n"])})
+    (got,) = jobs._fewer_copies(iter([batch]))
+    assert got.column("n").to_pylist() == [0, 1, 2, 6, 7]
+    (got,) = jobs._fewer_copies(iter([got.slice(1, 3)]))
+    assert got.column("n").to_pylist() == [1, 2, 6]
+    (got,) = jobs._fewer_copies(iter([batch.slice(0, 0)]))
+    assert got.num_rows == 0
+
+
 def test_dedup_keeps_different_trips_without_a_key(spark, tmp_path):
     trips = frame(spark, [trip(None, fare=1.0), trip(None, fare=2.0), trip(None, fare=2.0), trip("a"), trip("a", fare=3.0)])
     got = dedup(spark, tmp_path, trips, 8)
